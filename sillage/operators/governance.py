@@ -37,11 +37,16 @@ def _ids_frame(spark, ids: Iterable[int] | DataFrame, column: str) -> DataFrame:
 
 
 def erase(df: DataFrame, ids: Iterable[int] | DataFrame, column: str = "user_id") -> DataFrame:
-    """Rows of ``df`` whose ``column`` is not in the erasure list (left anti join).
+    """Rows of ``df`` whose ``column`` is not in the erasure list.
 
-    The list is broadcast when its row count is proven small; otherwise the anti join
-    is a sort-merge join.  Rows with a null id are kept (they belong to nobody).
+    A literal list is an ``IN`` filter pushed to the scan.  A list given as a
+    DataFrame is a left anti join: broadcast when its row count is proven small,
+    else sort-merge.  Rows with a null id are kept (they belong to nobody).
     """
+    if not isinstance(ids, DataFrame):
+        # A literal list is a filter: pushed into the scan, no join at all.
+        ids = [int(i) for i in ids]
+        return df.filter(F.col(column).isNull() | ~F.col(column).isin(ids))
     lst = _ids_frame(df.sparkSession, ids, column)
     return df.join(broadcast_if_small(lst), column, "left_anti")
 
@@ -53,9 +58,12 @@ def erase_counts(tables: Mapping[str, DataFrame], ids: Iterable[int] | DataFrame
     for name, df in tables.items():
         if column not in df.columns:
             continue
-        lst = _ids_frame(df.sparkSession, ids, column)
-        c = (df.join(broadcast_if_small(lst), column, "left_semi")
-             .agg(F.count(F.lit(1)).alias("nb_supprimes"))
+        if isinstance(ids, DataFrame):
+            hit = df.join(broadcast_if_small(_ids_frame(df.sparkSession, ids, column)),
+                          column, "left_semi")
+        else:
+            hit = df.filter(F.col(column).isin([int(i) for i in ids]))
+        c = (hit.agg(F.count(F.lit(1)).alias("nb_supprimes"))
              .select(F.lit(name).alias("table"), "nb_supprimes"))
         out = c if out is None else out.unionByName(c)
     return out

@@ -33,36 +33,45 @@ def to_long(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.filter(F.col("valeur").isNotNull() & ~F.isnan("valeur"))
 
 
-def _brackets(long: DataFrame, probs: list[float], accuracy: int) -> DataFrame:
-    """Per column: n, min, max and, per quantile, an approximate [lo, hi] bracket."""
+def _bracket_aggs(probs: list[float], accuracy: int) -> list:
     margin = 3.0 / accuracy
     lows = [max(p - margin, 0.0) for p in probs]
     highs = [min(p + margin, 1.0) for p in probs]
-    agg = long.groupBy("colonne").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("valeur").alias("vmin"), F.max("valeur").alias("vmax"),
-        F.percentile_approx("valeur", lows + highs, accuracy).alias("apx"),
-    )
+    return [F.count(F.lit(1)).alias("n"),
+            F.min("valeur").alias("vmin"), F.max("valeur").alias("vmax"),
+            F.percentile_approx("valeur", lows + highs, accuracy).alias("apx")]
+
+
+def _bracket_cols(probs: list[float], accuracy: int) -> list:
+    margin = 3.0 / accuracy
     k = len(probs)
-    return agg.select(
-        "colonne", "n", "vmin", "vmax",
+    lows = [max(p - margin, 0.0) for p in probs]
+    highs = [min(p + margin, 1.0) for p in probs]
+    return [
         F.array(*[F.when(F.lit(lows[i]) <= 0.0, F.col("vmin")).otherwise(F.col("apx")[i])
                   for i in range(k)]).alias("lo"),
         F.array(*[F.when(F.lit(highs[i]) >= 1.0, F.col("vmax")).otherwise(F.col("apx")[k + i])
                   for i in range(k)]).alias("hi"),
-    )
+    ]
+
+
+def _brackets(long: DataFrame, probs: list[float], accuracy: int) -> DataFrame:
+    """Per column: n, min, max and, per quantile, an approximate [lo, hi] bracket."""
+    agg = long.groupBy("colonne").agg(*_bracket_aggs(probs, accuracy))
+    return agg.select("colonne", "n", "vmin", "vmax", *_bracket_cols(probs, accuracy))
 
 
 def exact_quantiles(long: DataFrame, probs: list[float] | None = None,
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, brackets: DataFrame | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles per ``colonne`` of a (colonne, valeur) table.
 
+    ``brackets`` may be passed when pass 1 was already fused into another aggregate.
     Returns (colonne, q_index, p, quantile).
     """
     probs = probs or QUANTILES
     k = len(probs)
     # Pass 1: global counts and approximate brackets (one row per column).
-    br = _brackets(long, probs, accuracy)
+    br = brackets if brackets is not None else _brackets(long, probs, accuracy)
     ranks = br.select(
         "colonne", "n",
         F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("qi", "p"),
@@ -106,21 +115,34 @@ def exact_quantiles(long: DataFrame, probs: list[float] | None = None,
 
 
 def describe(df: DataFrame, columns: list[str], decimals: int | None = 2,
-             accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """pandas-style describe in long form: one row per column with 8 statistics."""
-    long = to_long(df, columns)
-    moments = long.groupBy("colonne").agg(
-        F.count(F.lit(1)).cast("double").alias("count"),
-        F.avg("valeur").alias("mean"),
-        F.stddev_samp("valeur").alias("std"),
-        F.min("valeur").alias("min"),
-        F.max("valeur").alias("max"),
-    )
-    q = exact_quantiles(long, QUANTILES, accuracy)
+             accuracy: int = DEFAULT_ACCURACY, materialize_input: bool = True) -> DataFrame:
+    """pandas-style describe in long form: one row per column with 8 statistics.
+
+    The numeric projection is written once to the shared folder (it is read by
+    both passes, so the upstream plan is not recomputed); moments and quantile
+    brackets come from the same aggregate.
+    """
+    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    if materialize_input:
+        from .joins import materialize
+        narrow = materialize(narrow, "describe-input")
+    long = to_long(narrow, columns)
+    first = long.groupBy("colonne").agg(
+        F.avg("valeur").alias("mean"), F.stddev_samp("valeur").alias("std"),
+        *_bracket_aggs(QUANTILES, accuracy))
+    first = first.select("colonne", "mean", "std", "n", "vmin", "vmax",
+                         *_bracket_cols(QUANTILES, accuracy))
+    if materialize_input:
+        from .joins import materialize
+        first = materialize(first, "describe-pass1")
+    q = exact_quantiles(long, QUANTILES, accuracy,
+                        brackets=first.select("colonne", "n", "vmin", "vmax", "lo", "hi"))
     qw = q.groupBy("colonne").agg(*[
         F.max(F.when(F.col("qi") == i, F.col("quantile"))).alias(name)
         for i, name in enumerate(["p25", "p50", "p75"])])
-    out = moments.join(qw, "colonne", "left")
+    out = first.join(qw, "colonne", "left").select(
+        "colonne", F.col("n").cast("double").alias("count"), "mean", "std",
+        F.col("vmin").alias("min"), "p25", "p50", "p75", F.col("vmax").alias("max"))
     stats = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
     if decimals is not None:
         return out.select("colonne", *[F.round(F.col(s), decimals).alias(s) for s in stats])

@@ -6,9 +6,10 @@ JVM on the row that holds the review: no shuffle, no Python worker, and the cost
 of a review grows only with its own length.
 
 Small dictionaries (stop words, lemma pairs, lexicon) become literal arrays or maps
-in the plan.  A lexicon given as a DataFrame is used that way only when its row
-count is proven below ``MAX_LITERAL_ROWS``; a larger one is joined instead (each
-distinct review text is exploded to words and joined with the lexicon).
+in the plan.  Map lookups scan the keys, so a lexicon given as a DataFrame is used
+that way only when its row count is proven below ``MAX_LITERAL_ROWS``; a larger one
+is hash-joined instead (each distinct review text is exploded to words and joined
+with the lexicon, then the per-text means are joined back).
 
 Sentiment is the mean polarity (and subjectivity) of the review words found in
 the lexicon, 0.0 when none is found.  Unlike the reference's library, intensifiers
@@ -28,7 +29,7 @@ from .. import schemas as S
 from ..functions.columns import col_, review_clean, sentiment_label
 from .joins import row_count_at_most
 
-MAX_LITERAL_ROWS = 50_000
+MAX_LITERAL_ROWS = 1_000
 
 # Test lexicon (word, polarity, subjectivity); made up, see FIXTURES.md §4.
 TEST_LEXICON = [
