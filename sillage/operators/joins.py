@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,19 +19,46 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh parquet folder under ``spark.checkpoint.dir`` and read it back.
 
     This cuts lineage (a lost executor recomputes from the written table, not from
-    the source scans) and gives the planner the true size of the result.
+    the source scans) and gives the planner the true size of the result.  The row
+    count of the written table (a scan of parquet metadata-sized work) is kept on
+    the returned DataFrame as ``_sillage_rows`` for size checks.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._sillage_rows = out.count()
+    return out
+
+
+def known_rows(df: DataFrame) -> int | None:
+    return getattr(df, "_sillage_rows", None)
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    n = known_rows(df)
+    if n is not None:
+        return n <= max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only when the (materialised) side is proven small."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def right_size(df: DataFrame, rows_per_partition: int = 500_000) -> DataFrame:
+    """Coalesce a materialised table to about ``rows_per_partition`` rows per partition.
+
+    Iterative jobs (model training) pay a task launch per partition per iteration;
+    a small training set spread over many partitions spends its time scheduling.
+    Large tables keep (at least) their partition count.
+    """
+    n = known_rows(df)
+    if n is None:
+        return df
+    want = max(1, math.ceil(n / rows_per_partition))
+    out = df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+    out._sillage_rows = n
+    return out

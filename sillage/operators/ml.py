@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from .joins import known_rows, materialize, right_size
 
 ENCODED = {  # source column -> code column
     "category": "category_enc",
@@ -185,12 +186,15 @@ def compare_models(prepared: DataFrame, label: str = "intention_achat",
     ``prepared`` has the feature columns (not yet encoded), ``label`` and ``split``.
     """
     spark = prepared.sparkSession
+    # Training is iterative: read the prepared rows from a written table, not from
+    # the upstream plan, and keep the partition count proportional to the rows.
+    prepared = right_size(materialize(prepared, "ml-prepared"))
     train = prepared.filter(F.col("split") == "train")
     test = prepared.filter(F.col("split") == "test")
     enc = fit_encoders(train, list(ENCODED))
     prep = [filler(legacy_features), assembler(legacy_features)]
-    train_w = class_weights(enc.transform(train), label).cache()
-    n_train = train_w.count()
+    train_w = right_size(materialize(class_weights(enc.transform(train), label), "ml-train"))
+    n_train = known_rows(train_w)
     rows, fitted = [], {}
     best_f1, best_name, best_model = 0.0, None, None
     test_x = enc.transform(test)
@@ -207,7 +211,6 @@ def compare_models(prepared: DataFrame, label: str = "intention_achat",
                      float(met["accuracy"]), round(t_train, 3), round(t_inf, 4)))
         if met["f1"] > best_f1:
             best_f1, best_name, best_model = met["f1"], name, full
-    train_w.unpersist()
     res = spark.createDataFrame(rows, "modele string, precision double, rappel double, "
                                       "f1 double, accuracy double, temps_train double, "
                                       "temps_inference double")

@@ -11,7 +11,7 @@ from ..operators import profile as PR
 from ..operators import text as T
 from ..functions.columns import score_recommendation
 from ..operators.features import category_features, user_table
-from ..operators.joins import broadcast_if_small, materialize
+from ..operators.joins import broadcast_if_small, known_rows, materialize, right_size
 from ..operators.sinks import EpochSink
 from ..session import scratch_path
 from ..sources import fixtures as FX
@@ -130,11 +130,11 @@ def stream_scoring(spark, sf_dir):
     stream.  Each micro-batch is joined to the user and category feature tables
     (stream-static joins), gets its text features and profile, and is scored on the
     executors; the recommendation comes from the score."""
-    prep = _prepared(spark, sf_dir)
+    prep = right_size(materialize(_prepared(spark, sf_dir), "ml-prepared"))
     train = prep.filter(F.col("split") == "train")
     enc = M.fit_encoders(train, list(M.ENCODED))
-    x = M.class_weights(enc.transform(train), "intention_achat")
-    lr = M.classifiers(1000)["Logistic Regression"]
+    x = right_size(materialize(M.class_weights(enc.transform(train), "intention_achat"), "ml-train"))
+    lr = M.classifiers(known_rows(x))["Logistic Regression"]
     fitted = Pipeline(stages=[M.filler(), M.assembler(), lr]).fit(x)
     path = scratch_path(spark, "model")
     M.save(PipelineModel(stages=[*enc.stages, *fitted.stages]), path)

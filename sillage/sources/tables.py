@@ -12,3 +12,16 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` when the scan yields fewer partitions than the
+    cluster has task slots (a single small file is one task).
+
+    Large inputs already split into many partitions and are returned unchanged, so
+    this adds no shuffle at scale; hashing on a key keeps recomputation deterministic.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
