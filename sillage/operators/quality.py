@@ -144,27 +144,40 @@ def distribution(df: DataFrame, columns: list[str], decimals: int = 1) -> DataFr
                          F.round(F.col("nb") * 100.0 / total, decimals).alias("pct"))
 
 
-def histogram(df: DataFrame, column: str, bins: int, name: str | None = None) -> DataFrame:
-    """Q7: equal-width histogram like numpy: last bin closed, zero-width range ±0.5.
+def histograms(df: DataFrame, bins: dict[str, int]) -> DataFrame:
+    """Q7: equal-width histograms like numpy (last bin closed, zero-width range ±0.5)
+    for several columns of one table, in two passes over it.
 
-    The range comes from a scalar subquery (one aggregate row, evaluated once);
-    every bin is reported, empty ones with 0.
+    Pass 1 finds each column's range (one row per column, so the broadcast of that
+    table is bounded by the request); pass 2 counts rows per (column, bin).  Every
+    bin is reported, empty ones with 0.
     """
-    x = no_nan(F.col(column).cast("double"))
-    vals = df.select(x.alias("v")).filter(F.col("v").isNotNull())
-    rng = vals.agg(F.min("v").alias("vmin"), F.max("v").alias("vmax")).select(
+    cols = [c for c in bins if c in df.columns]
+    nbins = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(int(bins[c])))])
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("colonne"), no_nan(F.col(c).cast("double")).alias("v"))
+        for c in cols])).alias("kv")).select("kv.*").filter(F.col("v").isNotNull())
+    rng = long.groupBy("colonne").agg(F.min("v").alias("vmin"), F.max("v").alias("vmax")).select(
+        "colonne",
         F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")).alias("lo"),
         F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")).alias("hi"),
-    )
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
-    idx = F.least(F.floor((F.col("v") - lo) * (F.lit(float(bins)) / (hi - lo))),
-                  F.lit(bins - 1)).cast("int")
-    counts = vals.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("nb"))
-    all_bins = rng.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return (all_bins.join(counts, "bin", "left")
-            .select(F.lit(name or column).alias("colonne"), "bin",
+        nbins[F.col("colonne")].alias("bins"))
+    nb = F.col("bins")
+    idx = F.least(F.floor((F.col("v") - F.col("lo")) * (nb.cast("double") / (F.col("hi") - F.col("lo")))),
+                  nb - 1).cast("int")
+    counts = (long.join(F.broadcast(rng), "colonne")
+              .groupBy("colonne", idx.alias("bin")).agg(F.count(F.lit(1)).alias("nb")))
+    all_bins = rng.select("colonne", "lo", "hi", "bins",
+                          F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
+    w = (F.col("hi") - F.col("lo")) / nb.cast("double")
+    return (all_bins.join(counts, ["colonne", "bin"], "left")
+            .select("colonne", "bin",
                     (F.col("lo") + F.col("bin") * w).alias("borne_inf"),
-                    F.when(F.col("bin") == bins - 1, F.col("hi"))
+                    F.when(F.col("bin") == nb - 1, F.col("hi"))
                      .otherwise(F.col("lo") + (F.col("bin") + 1) * w).alias("borne_sup"),
                     F.coalesce(F.col("nb"), F.lit(0)).alias("nb")))
+
+
+def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+    """Q7 for one column."""
+    return histograms(df, {column: bins})

@@ -38,7 +38,7 @@ ENCODED_CTE = ("encoded AS (SELECT *, " + ", ".join(
     "SELECT event_id, " + ", ".join(M.ENCODED.values()) + " FROM encoded", *ML_CTES, ENCODED_CTE))
 def ml_encoded(spark, sf_dir):
     """M1: the five label codes, encoders fitted on the purchase/abandon rows."""
-    tgt = target_frame(spark, sf_dir)
+    tgt = materialize(target_frame(spark, sf_dir), "ml-target")
     enc = M.fit_encoders(tgt, list(M.ENCODED))
     return enc.transform(tgt).select("event_id", *M.ENCODED.values())
 
@@ -59,7 +59,7 @@ _SAFE_JOINS = " ".join(
 def encode_safe(spark, sf_dir):
     """M2: encoders fitted on purchase/abandon rows applied to every click;
     unseen labels → 0, counted in nb_inconnus."""
-    tgt = target_frame(spark, sf_dir)
+    tgt = materialize(target_frame(spark, sf_dir).select(*M.BASE_ENCODED), "ml-target")
     enc = M.fit_encoders(tgt, M.BASE_ENCODED)
     return enc.transform(FX.clicks(spark, sf_dir)).select(
         "event_id", *[M.ENCODED[c] for c in M.BASE_ENCODED], "nb_inconnus")
@@ -74,7 +74,7 @@ _FEATURES = M.feature_columns(False)
     *ML_CTES, ENCODED_CTE))
 def ml_features(spark, sf_dir):
     """The 27 model features as plain columns (null → 0)."""
-    tgt = target_frame(spark, sf_dir)
+    tgt = materialize(target_frame(spark, sf_dir), "ml-target")
     enc = M.fit_encoders(tgt, list(M.ENCODED))
     return M.assemble(enc.transform(tgt)).select("event_id", "intention_achat", *_FEATURES)
 

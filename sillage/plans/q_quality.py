@@ -107,9 +107,12 @@ LEFT JOIN (
 
 def _histograms(spark, sf_dir):
     t = dq_tables(spark, sf_dir)
-    out = None
+    per_table: dict[str, dict[str, int]] = {}
     for table, c, bins in HISTOGRAMS:
-        h = Q.histogram(t[table], c, bins)
+        per_table.setdefault(table, {})[c] = bins
+    out = None
+    for table, spec in per_table.items():
+        h = Q.histograms(t[table], spec)
         out = h if out is None else out.unionByName(h)
     return out
 
