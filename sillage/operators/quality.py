@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -138,10 +138,12 @@ def distribution(df: DataFrame, columns: list[str], decimals: int = 1) -> DataFr
         F.struct(F.lit(c).alias("colonne"), F.col(c).cast("string").alias("valeur"))
         for c in cols])).alias("kv")).select("kv.*").filter(F.col("valeur").isNotNull())
     counts = long.groupBy("colonne", "valeur").agg(F.count(F.lit(1)).alias("nb"))
-    # The window runs over the aggregated table: one row per distinct value.
-    total = F.sum("nb").over(Window.partitionBy("colonne"))
-    return counts.select("colonne", "valeur", "nb",
-                         F.round(F.col("nb") * 100.0 / total, decimals).alias("pct"))
+    # Per-column totals: one row per requested column, so the broadcast is bounded
+    # by the request; no task ever holds all values of a column.
+    totals = counts.groupBy("colonne").agg(F.sum("nb").alias("_total"))
+    return (counts.join(F.broadcast(totals), "colonne")
+            .select("colonne", "valeur", "nb",
+                    F.round(F.col("nb") * 100.0 / F.col("_total"), decimals).alias("pct")))
 
 
 def histograms(df: DataFrame, bins: dict[str, int]) -> DataFrame:

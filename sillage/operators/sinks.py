@@ -107,3 +107,10 @@ def preview(df: DataFrame, n: int, order_cols: list[str], columns: list) -> Data
     total = df.agg(F.count(F.lit(1))).scalar()
     top = df.orderBy(*order_cols).limit(n)
     return top.select(*columns, total.alias("nb_lignes"))
+
+
+def write_json_report(df: DataFrame, path: str) -> DataFrame:
+    """K6: a results table written as JSON lines (executor-side) and read back with
+    its own schema."""
+    df.write.mode("overwrite").json(path)
+    return df.sparkSession.read.schema(df.schema).json(path)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from .. import schemas as S
 from ..operators import governance as G
+from ..operators import sinks as K
+from ..session import scratch_path
 from ..sources import fixtures as FX
 from . import oracle as O
 from .catalog import register
@@ -46,7 +48,8 @@ def _erase_counts(spark, sf_dir):
     j = FX.journey(spark, sf_dir)
     tables = {"clickstream": j.clicks, "transactions": j.transactions,
               "service_client": j.support, "clickstream_enrichi": enriched(spark, sf_dir)}
-    return G.erase_counts(tables, ERASE_IDS)
+    report = G.erase_counts(tables, ERASE_IDS)
+    return K.write_json_report(report, scratch_path(spark, "rapport-effacement"))
 
 
 def _ret_sql(name: str, view: str) -> str:

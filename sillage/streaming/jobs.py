@@ -53,14 +53,20 @@ def start(df: DataFrame, spec: StreamSpec, output_mode: str = "append") -> Strea
     return w.start()
 
 
-def run_consumers(spark: SparkSession, specs: dict[str, StreamSpec], variant: str = "A") -> None:
-    """The three queries side by side until one of them stops."""
+def run_consumers(spark: SparkSession, specs: dict[str, StreamSpec], variant: str = "A",
+                  wait: str = "any") -> list[StreamingQuery]:
+    """The three queries side by side; ``wait="any"`` returns when one stops
+    (like the reference), ``"all"`` when all have stopped, ``"none"`` at once."""
     builders = {"clickstream": lambda s: clicks_stream(spark, s, variant),
                 "transactions": lambda s: transactions_stream(spark, s),
                 "service_client": lambda s: support_stream(spark, s)}
-    for topic, spec in specs.items():
-        start(builders[topic](spec.source), spec)
-    spark.streams.awaitAnyTermination()
+    queries = [start(builders[topic](spec.source), spec) for topic, spec in specs.items()]
+    if wait == "any":
+        spark.streams.awaitAnyTermination()
+    elif wait == "all":
+        for q in queries:
+            q.awaitTermination()
+    return queries
 
 
 def conversion_stream(clicks: DataFrame, watermark: str | None = "2 minutes") -> DataFrame:

@@ -41,3 +41,22 @@ def test_stream_conversion_equals_batch(spark):
     got = table.read(spark).select("minute", "achats", "abandons")
     want = A.conversion_by_minute(clicks, None)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_three_consumers_side_by_side(spark):
+    frames = {"clickstream": (FX.clicks(spark, SMALL, with_event_id=False), S.CLICKSTREAM_SCHEMA),
+              "transactions": (FX.transactions(spark, SMALL, with_event_id=False),
+                               S.TRANSACTION_SCHEMA),
+              "service_client": (FX.support(spark, SMALL, with_event_id=False), S.SUPPORT_SCHEMA)}
+    specs = {}
+    for topic, (df, schema) in frames.items():
+        landing = land_json(df, schema, f"t-{topic}")
+        specs[topic] = J.StreamSpec(f"t6_{topic}", {"format": "files", "path": landing},
+                                    K.EpochSink(scratch_path(spark, f"t6-{topic}")),
+                                    scratch_path(spark, f"t6-ckpt-{topic}"), None)
+    qs = J.run_consumers(spark, specs, wait="all")
+    assert all(q.exception() is None for q in qs)
+    for topic, (df, _) in frames.items():
+        got = specs[topic].sink.read(spark)
+        assert got.count() == df.count()
+        assert got.filter(F.col("_corrupt_record").isNotNull()).count() == 0
