@@ -1,7 +1,8 @@
 """Privacy operators: pseudonymisation, minimisation, erasure, retention.
 
-Erasure and retention never rewrite a table in place: they return the kept rows,
-and ``sinks.write_version`` stores them as a new version folder next to the old one.
+Erasure and retention never rewrite a table in place: the operators return the
+kept rows, and ``apply_erasure`` / ``apply_retention`` store them as a new version
+of each ``sinks.VersionedTable`` next to the old one.
 """
 
 from __future__ import annotations
@@ -90,3 +91,33 @@ def retention_report(tables: Mapping[str, DataFrame], as_of: str,
             "nb_conserves", "nb_expires")
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def apply_erasure(spark, tables: Mapping[str, str], ids: Iterable[int] | DataFrame,
+                  column: str = "user_id") -> DataFrame:
+    """G3 applied: every versioned table holding ``column`` gets a new version without
+    the erased ids; returns the per-table count of removed rows."""
+    from .sinks import VersionedTable
+
+    current = {}
+    for name, path in tables.items():
+        df = VersionedTable(path).read(spark)
+        if df is not None and column in df.columns:
+            current[name] = df
+    report = erase_counts(current, ids, column).collect()
+    for name, df in current.items():
+        VersionedTable(tables[name]).write(erase(df, ids, column))
+    return spark.createDataFrame(report, "table string, nb_supprimes long")
+
+
+def apply_retention(spark, tables: Mapping[str, str], as_of: str,
+                    days: Mapping[str, int] | None = None) -> None:
+    """G4 applied: each versioned table gets a new version without expired rows."""
+    from .sinks import VersionedTable
+
+    days = days or S.RETENTION_DAYS
+    for name, path in tables.items():
+        t = VersionedTable(path)
+        df = t.read(spark)
+        if df is not None:
+            t.write(retention_filter(df, as_of, days[name]))

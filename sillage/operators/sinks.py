@@ -65,14 +65,15 @@ def upsert(current: DataFrame | None, batch: DataFrame, keys: list[str], epoch_i
     return latest_per_key(u, keys, order_col)
 
 
-class KeyedTable:
-    """K2: ``foreachBatch`` target keeping the latest row per key in versioned folders."""
+class VersionedTable:
+    """A table stored as version folders ``<path>/v=<n>``; the highest committed
+    version (``_SUCCESS`` marker present) is current.  Writers never touch the folder
+    they read, so a failed job leaves the current version intact (K4, G3, G4)."""
 
-    def __init__(self, path: str, keys: list[str]):
+    def __init__(self, path: str):
         self.path = path.rstrip("/")
-        self.keys = keys
 
-    def _versions(self, spark: SparkSession) -> list[int]:
+    def versions(self, spark: SparkSession) -> list[int]:
         fs, base, jvm = _fs(spark, self.path)
         if not fs.exists(base):
             return []
@@ -84,18 +85,33 @@ class KeyedTable:
         return sorted(out)
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self._versions(spark) if before is None or v < before]
+        vs = [v for v in self.versions(spark) if before is None or v < before]
         if not vs:
             return None
         return spark.read.parquet(f"{self.path}/v={vs[-1]}")
 
+    def write(self, df: DataFrame, version: int | None = None) -> int:
+        """Store ``df`` as a new version (default: one above the current); returns it."""
+        if version is None:
+            vs = self.versions(df.sparkSession)
+            version = (vs[-1] + 1) if vs else 0
+        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        return version
+
+
+class KeyedTable(VersionedTable):
+    """K2: ``foreachBatch`` target keeping the latest row per key in versioned folders."""
+
+    def __init__(self, path: str, keys: list[str]):
+        super().__init__(path)
+        self.keys = keys
+
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
         spark = df.sparkSession
-        if df.isEmpty() or epoch_id in self._versions(spark):
+        if df.isEmpty() or epoch_id in self.versions(spark):
             return  # nothing new, or this epoch is already committed (replay)
         current = self.read(spark, before=epoch_id)
-        merged = upsert(current, df, self.keys, epoch_id)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={epoch_id}")
+        self.write(upsert(current, df, self.keys, epoch_id), epoch_id)
 
 
 def preview(df: DataFrame, n: int, order_cols: list[str], columns: list) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import col_, review_clean, sentiment_label
-from .joins import row_count_at_most
+from .joins import broadcast_if_small, materialize, row_count_at_most
 
 MAX_LITERAL_ROWS = 1_000
 
@@ -127,6 +127,9 @@ def _sentiment_by_join(df: DataFrame, lexicon: DataFrame, clean_col: str) -> Dat
     scored = (exploded.join(lexicon.select("word", "polarity", "subjectivity"), "word")
               .groupBy("_txt").agg(F.avg("polarity").alias("_pol"),
                                    F.avg("subjectivity").alias("_sub")))
+    # One row per distinct scored text: broadcast when proven small, else a
+    # sort-merge join in which AQE splits a hot text (e.g. a very common review).
+    scored = broadcast_if_small(materialize(scored, "sentiment-texts"))
     out = (df.withColumn("_txt", F.coalesce(F.col(clean_col), F.lit("")))
            .join(scored, "_txt", "left")
            .na.fill({"_pol": 0.0, "_sub": 0.0}).drop("_txt"))

@@ -255,3 +255,66 @@ def test_compare_models_small(spark, rounds):
         M.save(cmp.best_model, path)
         scored = M.score(M.load(path), q_ml.target_frame(spark, SMALL))
         assert scored.filter(F.col("proba_achat").isNull()).count() == 0
+
+
+def test_apply_erasure_and_retention_write_new_versions(spark):
+    c = clicks(spark, [("a", 1, "X", 1.0, 1.0, "view", 1, "g", None, 1704067200.0),
+                       ("b", 2, "X", 1.0, 1.0, "view", 1, "g", None, 1712000000.0)])
+    tx = spark.createDataFrame([(1, 5.0, 1712000000.0)], "user_id int, montant_paye double, timestamp double")
+    paths = {"clickstream": scratch_path(spark, "t-v-c"), "transactions": scratch_path(spark, "t-v-t")}
+    K.VersionedTable(paths["clickstream"]).write(c)
+    K.VersionedTable(paths["transactions"]).write(tx)
+    rep = {r["table"]: r["nb_supprimes"] for r in G.apply_erasure(spark, paths, [1]).collect()}
+    assert rep == {"clickstream": 1, "transactions": 1}
+    vc = K.VersionedTable(paths["clickstream"])
+    assert vc.versions(spark) == [0, 1]
+    assert [r["session_id"] for r in vc.read(spark).collect()] == ["b"]
+    assert vc.read(spark, before=1).count() == 2  # the old version is untouched
+    G.apply_retention(spark, {"clickstream": paths["clickstream"]}, "2024-04-15 00:00:00")
+    assert vc.versions(spark) == [0, 1, 2] and vc.read(spark).count() == 1
+
+
+def test_hot_user_sort_merge_path_equals_broadcast_path(spark):
+    """One user holds a third of the clicks; the sort-merge fallback (AQE skew split
+    forced on) gives the same enriched rows as the broadcast path."""
+    rows = []
+    for i in range(3000):
+        user = 1 if i % 3 == 0 else 2 + i % 97
+        rows.append((f"s{i}", user, f"C{i % 5}", float(i % 50), 1.0,
+                     ["view", "purchase", "abandon", "add_to_cart"][i % 4], i % 30, "g", None,
+                     float(i)))
+    c = clicks(spark, rows)
+    cols = ["session_id", "nb_actions_user", "taux_achat_user", "score_engagement_total",
+            "taux_achat_categorie"]
+    fast = E.enriched_clicks(c).select(*cols)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        slow = E.enriched_clicks(c, broadcast_max_rows=0).select(*cols)
+        plan = slow._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert slow.exceptAll(fast).count() == 0 and fast.exceptAll(slow).count() == 0
+        hot = slow.filter("nb_actions_user = 1000").count()
+        assert hot == 1000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_user_table_is_one_shuffle_over_three_scans(spark):
+    from sillage.sources import fixtures as FX
+    from tests.conftest import SMALL
+    j = FX.journey(spark, SMALL)
+    plan = E.user_table(j.clicks, j.transactions, j.support)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("hashpartitioning(user_id") == 1
+    assert plan.count("partial_count") >= 1
+    assert plan.count("events.parquet") == 3
