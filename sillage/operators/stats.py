@@ -7,19 +7,23 @@ keeps every distinct value of a group in one aggregation buffer, and
 
 1. one aggregate per column gives count, moments and ``percentile_approx`` values
    at ``p ± margin`` — a bracket that must contain the exact order statistics;
-2. one more pass over the data counts the rows below each bracket and keeps only
-   the distinct values inside it (about ``6 n / accuracy`` ranks, collapsed to
-   distinct values with their counts);
+2. a pass counts the rows below each bracket and estimates the distinct values
+   inside it (about ``6 n / accuracy`` ranks); a bracket with more than
+   ``MAX_BRACKET_DISTINCT`` distinct values is narrowed by counting it in 1024
+   equal-width buckets and keeping the exact [min, max] of the buckets that hold
+   the target ranks (repeat while needed);
 3. a window over each (column, quantile) bracket — bounded by the bracket size,
    never by the group size — picks the exact order statistics.
 
-The data are scanned a fixed number of times and no task ever holds a whole column.
+Only tables with one row per column (or per column, quantile and bucket) cross the
+driver; no task ever holds a whole column.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 QUANTILES = [0.25, 0.5, 0.75]
 DEFAULT_ACCURACY = 10_000
@@ -61,35 +65,106 @@ def _brackets(long: DataFrame, probs: list[float], accuracy: int) -> DataFrame:
     return agg.select("colonne", "n", "vmin", "vmax", *_bracket_cols(probs, accuracy))
 
 
+MAX_BRACKET_DISTINCT = 1_000_000
+NARROW_BUCKETS = 1024
+MAX_ROUNDS = 8
+
+
+def _bracket_stats(long: DataFrame, bounds: DataFrame, k: int) -> DataFrame:
+    """Per column and quantile: rows below the bracket, approx distinct values inside."""
+    j = long.join(F.broadcast(bounds), "colonne")
+    v, lo, hi = F.col("valeur"), F.col("lo"), F.col("hi")
+    inside = [(v >= lo[i]) & (v <= hi[i]) for i in range(k)]
+    agg = j.groupBy("colonne").agg(
+        *[F.count_if(v < lo[i]).alias(f"b{i}") for i in range(k)],
+        *[F.approx_count_distinct(F.when(inside[i], v)).alias(f"d{i}") for i in range(k)])
+    return agg.select("colonne", F.array(*[F.col(f"b{i}") for i in range(k)]).alias("below"),
+                      F.array(*[F.col(f"d{i}") for i in range(k)]).alias("distinct"))
+
+
+def _narrow(long: DataFrame, state: DataFrame, k: int, wide: list[tuple[str, int]]) -> DataFrame:
+    """Shrink the wide brackets: equal-width buckets inside each, counted in one pass;
+    the new bracket is the exact [min, max] of the buckets holding ranks k0 and k1."""
+    spark = long.sparkSession
+    nb = NARROW_BUCKETS
+    wide_df = spark.createDataFrame(wide, "colonne string, qi int")
+    st = state.select("colonne", F.posexplode("lo").alias("qi", "lo"), "hi", "below", "k0", "k1")
+    st = st.select("colonne", "qi", "lo", F.col("hi")[F.col("qi")].alias("hi"),
+                   F.col("below")[F.col("qi")].alias("below"),
+                   F.col("k0")[F.col("qi")].alias("k0"), F.col("k1")[F.col("qi")].alias("k1"))
+    st = st.join(F.broadcast(wide_df), ["colonne", "qi"])  # only the wide ones
+    v, lo, hi = F.col("valeur"), F.col("lo"), F.col("hi")
+    width = hi - lo
+    b = F.least(F.floor(F.when(width > 0, (v - lo) / width * nb).otherwise(0.0)),
+                F.lit(nb - 1)).cast("int")
+    buckets = (long.join(F.broadcast(st), "colonne")
+               .filter((v >= lo) & (v <= hi))
+               .groupBy("colonne", "qi", b.alias("b"))
+               .agg(F.count(F.lit(1)).alias("cnt"), F.min(v).alias("bmin"), F.max(v).alias("bmax")))
+    # At most #columns x #quantiles x NARROW_BUCKETS rows from here on.
+    w = Window.partitionBy("colonne", "qi").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (buckets.withColumn("cum_in", F.sum("cnt").over(w))
+           .join(F.broadcast(st.select("colonne", "qi", "below", "k0", "k1")), ["colonne", "qi"])
+           .withColumn("first", F.col("below") + F.col("cum_in") - F.col("cnt"))
+           .withColumn("last", F.col("below") + F.col("cum_in")))
+    has = lambda r: (F.col("first") <= r) & (r < F.col("last"))
+    return cum.groupBy("colonne", "qi").agg(
+        F.min(F.when(has(F.col("k0")), F.col("bmin"))).alias("new_lo"),
+        F.max(F.when(has(F.col("k1")), F.col("bmax"))).alias("new_hi"))
+
+
 def exact_quantiles(long: DataFrame, probs: list[float] | None = None,
-                    accuracy: int = DEFAULT_ACCURACY, brackets: DataFrame | None = None) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, brackets: DataFrame | None = None,
+                    max_bracket: int = MAX_BRACKET_DISTINCT) -> DataFrame:
     """Exact linear-interpolation quantiles per ``colonne`` of a (colonne, valeur) table.
 
     ``brackets`` may be passed when pass 1 was already fused into another aggregate.
-    Returns (colonne, q_index, p, quantile).
+    Brackets whose approximate distinct count exceeds ``max_bracket`` are narrowed
+    (at most ``MAX_ROUNDS`` rounds; each round divides the value range by 1024) so
+    the final sort of a bracket is bounded.  Returns (colonne, qi, p, quantile).
     """
     probs = probs or QUANTILES
     k = len(probs)
+    spark = long.sparkSession
     # Pass 1: global counts and approximate brackets (one row per column).
     br = brackets if brackets is not None else _brackets(long, probs, accuracy)
-    ranks = br.select(
-        "colonne", "n",
-        F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("qi", "p"),
-        "lo", "hi",
-    ).select(
-        "colonne", "n", "qi", "p",
-        F.col("lo")[F.col("qi")].alias("lo"), F.col("hi")[F.col("qi")].alias("hi"),
-        F.floor(F.col("p") * (F.col("n") - 1)).cast("long").alias("k0"),
-        (F.col("p") * (F.col("n") - 1) - F.floor(F.col("p") * (F.col("n") - 1))).alias("frac"),
-    )
-    # Pass 2: one scan; the bracket table has (#columns x #quantiles) rows, so its
-    # broadcast size is fixed by the request, not by the data.
-    bounds = br.select("colonne", "lo", "hi")
+    base = br.select(
+        "colonne", "n", "lo", "hi",
+        F.array(*[F.floor(F.lit(p) * (F.col("n") - 1)).cast("long") for p in probs]).alias("k0"),
+        F.array(*[F.least(F.floor(F.lit(p) * (F.col("n") - 1)).cast("long") + 1, F.col("n") - 1)
+                  for p in probs]).alias("k1"),
+        F.array(*[(F.lit(p) * (F.col("n") - 1) - F.floor(F.lit(p) * (F.col("n") - 1)))
+                  for p in probs]).alias("frac"))
+    # The state has one row per column: its size is fixed by the request.
+    state = spark.createDataFrame(base.collect(), base.schema)
+    with_below = StructType(list(base.schema.fields)
+                            + [StructField("below", ArrayType(LongType()), True)])
+    for rnd in range(MAX_ROUNDS + 1):
+        stats = _bracket_stats(long, state.select("colonne", "lo", "hi"), k).collect()
+        below = {r["colonne"]: list(r["below"]) for r in stats}
+        wide = [(r["colonne"], i) for r in stats for i in range(k) if r["distinct"][i] > max_bracket]
+        rows = []
+        for r in state.collect():
+            rows.append({**r.asDict(), "below": below.get(r["colonne"], [0] * k)})
+        state = spark.createDataFrame(rows, with_below)
+        if not wide or rnd == MAX_ROUNDS:
+            break  # counts above are for the final bounds
+        new = {(r["colonne"], r["qi"]): (r["new_lo"], r["new_hi"])
+               for r in _narrow(long, state, k, wide).collect()}
+        rows = []
+        for r in state.collect():
+            d = r.asDict()
+            lo, hi = list(d["lo"]), list(d["hi"])
+            for i in range(k):
+                if (d["colonne"], i) in new and new[(d["colonne"], i)][0] is not None:
+                    lo[i], hi[i] = new[(d["colonne"], i)]
+            d.update(lo=lo, hi=hi)
+            d.pop("below")
+            rows.append(d)
+        state = spark.createDataFrame(rows, base.schema)
+    # Final pass: distinct values inside each bracket, ranked by a bounded window.
+    bounds = state.select("colonne", "lo", "hi")
     j = long.join(F.broadcast(bounds), "colonne")
-    below = j.groupBy("colonne").agg(*[
-        F.count_if(F.col("valeur") < F.col("lo")[i]).alias(f"b{i}") for i in range(k)])
-    below_long = below.select("colonne", F.posexplode(F.array(*[F.col(f"b{i}") for i in range(k)]))
-                              .alias("qi", "below"))
     inside = (j.select("colonne", "valeur", F.explode(F.filter(
         F.sequence(F.lit(0), F.lit(k - 1)),
         lambda i: (F.col("valeur") >= F.col("lo")[i]) & (F.col("valeur") <= F.col("hi")[i])
@@ -97,31 +172,33 @@ def exact_quantiles(long: DataFrame, probs: list[float] | None = None,
         .groupBy("colonne", "qi", "valeur").agg(F.count(F.lit(1)).alias("cnt")))
     w = Window.partitionBy("colonne", "qi").orderBy("valeur").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cum = inside.withColumn("cum_in", F.sum("cnt").over(w))
-    x = (cum.join(below_long, ["colonne", "qi"])
-         .join(F.broadcast(ranks.select("colonne", "qi", "p", "k0", "frac", "n")), ["colonne", "qi"])
+    ranks = state.select("colonne", F.posexplode("k0").alias("qi", "k0"), "k1", "frac", "below")
+    ranks = ranks.select("colonne", "qi", "k0", F.col("k1")[F.col("qi")].alias("k1"),
+                         F.col("frac")[F.col("qi")].alias("frac"),
+                         F.col("below")[F.col("qi")].alias("below"))
+    x = (inside.withColumn("cum_in", F.sum("cnt").over(w))
+         .join(F.broadcast(ranks), ["colonne", "qi"])
          .withColumn("cum", F.col("below") + F.col("cum_in"))
          .withColumn("first", F.col("cum") - F.col("cnt")))
-    # value at rank r is the row with first <= r < cum
-    k0 = F.col("k0")
-    k1 = F.least(k0 + 1, F.col("n") - 1)
-    res = x.groupBy("colonne", "qi", "p", "frac").agg(
+    k0, k1 = F.col("k0"), F.col("k1")
+    res = x.groupBy("colonne", "qi", "frac").agg(
         F.min(F.when((F.col("first") <= k0) & (k0 < F.col("cum")), F.col("valeur"))).alias("v0"),
         F.min(F.when((F.col("first") <= k1) & (k1 < F.col("cum")), F.col("valeur"))).alias("v1"),
     )
-    out = res.select("colonne", "qi", "p",
-                     (F.col("v0") + F.col("frac") * (F.col("v1") - F.col("v0"))).alias("quantile"))
-    return out
+    pdf = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "qi int, p double")
+    return res.join(F.broadcast(pdf), "qi").select(
+        "colonne", "qi", "p", (F.col("v0") + F.col("frac") * (F.col("v1") - F.col("v0"))).alias("quantile"))
 
 
 def describe(df: DataFrame, columns: list[str], decimals: int | None = 2,
              accuracy: int = DEFAULT_ACCURACY, materialize_input: bool = True) -> DataFrame:
     """pandas-style describe in long form: one row per column with 8 statistics.
 
-    The numeric projection is written once to the shared folder (it is read by
-    both passes, so the upstream plan is not recomputed); moments and quantile
-    brackets come from the same aggregate.
+    The numeric projection is written once to the shared folder (every pass reads
+    it, so the upstream plan is not recomputed); moments and quantile brackets come
+    from the same aggregate, whose one-row-per-column result seeds the exact pass.
     """
+    spark = df.sparkSession
     narrow = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     if materialize_input:
         from .joins import materialize
@@ -132,15 +209,13 @@ def describe(df: DataFrame, columns: list[str], decimals: int | None = 2,
         *_bracket_aggs(QUANTILES, accuracy))
     first = first.select("colonne", "mean", "std", "n", "vmin", "vmax",
                          *_bracket_cols(QUANTILES, accuracy))
-    if materialize_input:
-        from .joins import materialize
-        first = materialize(first, "describe-pass1")
+    first = spark.createDataFrame(first.collect(), first.schema)  # one row per column
     q = exact_quantiles(long, QUANTILES, accuracy,
                         brackets=first.select("colonne", "n", "vmin", "vmax", "lo", "hi"))
     qw = q.groupBy("colonne").agg(*[
         F.max(F.when(F.col("qi") == i, F.col("quantile"))).alias(name)
         for i, name in enumerate(["p25", "p50", "p75"])])
-    out = first.join(qw, "colonne", "left").select(
+    out = F.broadcast(first).join(qw, "colonne", "left").select(
         "colonne", F.col("n").cast("double").alias("count"), "mean", "std",
         F.col("vmin").alias("min"), "p25", "p50", "p75", F.col("vmax").alias("max"))
     stats = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]

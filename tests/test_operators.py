@@ -318,3 +318,16 @@ def test_user_table_is_one_shuffle_over_three_scans(spark):
     assert plan.count("hashpartitioning(user_id") == 1
     assert plan.count("partial_count") >= 1
     assert plan.count("events.parquet") == 3
+
+
+def test_exact_quantiles_with_narrowing(spark):
+    from sillage.operators import stats as ST2
+    rng = np.random.default_rng(7)
+    vals = np.concatenate([rng.exponential(size=20000), np.full(3000, 1.5)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "a double")
+    long = ST2.to_long(df, ["a"])
+    # a tiny bracket limit forces several narrowing rounds
+    q = {r["qi"]: r["quantile"] for r in
+         ST2.exact_quantiles(long, [0.1, 0.5, 0.99], accuracy=50, max_bracket=20).collect()}
+    for i, p in enumerate([10, 50, 99]):
+        assert math.isclose(q[i], float(np.percentile(vals, p)), rel_tol=0, abs_tol=1e-12)
