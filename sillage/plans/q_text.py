@@ -41,12 +41,13 @@ SENTIMENT_SQL = (f"CASE WHEN {POL_SQL} > 0.2 THEN 'positif' WHEN {POL_SQL} < -0.
 
 
 def _count_in_sql(words) -> str:
-    return f"len(list_filter({TOKENS_SQL}, lambda t: list_contains({O.sql_array(words)}, t)))"
+    return (f"CAST(len(list_filter({TOKENS_SQL}, lambda t: list_contains({O.sql_array(words)}, t))) "
+            f"AS INTEGER)")
 
 
 NLP_CTE = f"""
 nlp AS (
-  SELECT *, len({TOKENS_SQL}) AS nb_tokens,
+  SELECT *, CAST(len({TOKENS_SQL}) AS INTEGER) AS nb_tokens,
     {_count_in_sql(S.POSITIVE_WORDS)} AS nb_mots_positifs,
     {_count_in_sql(S.NEGATIVE_WORDS)} AS nb_mots_negatifs,
     {_count_in_sql(S.POSITIVE_WORDS)} - {_count_in_sql(S.NEGATIVE_WORDS)} AS score_nlp,
@@ -122,7 +123,7 @@ for _v, _key in (("A", "reco_rules_a"), ("B", "reco_rules_b")):
 
 register("review_tokens", O.with_fixtures(
     f"SELECT event_id, array_to_string({_tokens_sql(T.TEST_STOP_WORDS)}, ' ') AS tokens, "
-    f"len({_tokens_sql(T.TEST_STOP_WORDS)}) AS nb_tokens FROM clicks"))(
+    f"CAST(len({_tokens_sql(T.TEST_STOP_WORDS)}) AS INTEGER) AS nb_tokens FROM clicks"))(
     lambda spark, sf_dir: _clicks_with(
         spark, sf_dir,
         F.concat_ws(" ", T.tokens(C.review_clean(), T.TEST_STOP_WORDS)).alias("tokens"),

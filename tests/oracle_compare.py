@@ -35,6 +35,13 @@ def _norm(v):
     return v
 
 
+def _kind(dtype) -> str:
+    s = str(dtype)
+    if s.startswith("datetime64"):
+        return "datetime"
+    return s
+
+
 def frame_key(df: pd.DataFrame) -> list[tuple]:
     cols = sorted(df.columns)
     rows = [tuple(_norm(r[c]) for c in cols) for r in df.to_dict("records")]
@@ -59,6 +66,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
         return f"{name}: COLUMNS spark={sorted(sdf.columns)} duck={sorted(ddf.columns)}", False
     if len(sdf) != len(ddf):
         return f"{name}: ROWS spark={len(sdf)} duck={len(ddf)}", False
+    dt = [(c, str(sdf[c].dtype), str(ddf[c].dtype)) for c in sorted(sdf.columns)
+          if _kind(sdf[c].dtype) != _kind(ddf[c].dtype)]
+    if dt:
+        print(f"  {name}: dtype differences {dt}")
     a, b = frame_key(sdf), frame_key(ddf)
     bad = [(x, y) for x, y in zip(a, b) if x != y]
     if bad:
