@@ -114,3 +114,19 @@ def no_nan(c: str | Column) -> Column:
     """NaN → null, so comparisons and averages skip it like pandas does."""
     x = col_(c)
     return F.when(F.isnan(x), F.lit(None)).otherwise(x)
+
+
+# Currency: amounts and prices carry two decimals.  Summing them as exact cents makes
+# totals and means independent of summation order (so of partitioning and engine).
+MONEY = "decimal(18,2)"
+
+
+def money_sum(c: str | Column) -> Column:
+    """Exact sum of a currency column (cents), as double; null when no value."""
+    return F.sum(col_(c).cast(MONEY)).cast("double")
+
+
+def money_avg(c: str | Column) -> Column:
+    """Mean of a currency column from the exact sum; null when no value."""
+    n = F.count(col_(c))
+    return F.when(n > 0, F.sum(col_(c).cast(MONEY)).cast("double") / n)

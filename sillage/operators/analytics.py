@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.columns import minute_of, review_clean
+from ..functions.columns import minute_of, money_sum, review_clean
 
 
 def filter_clicks(clicks: DataFrame, category: str | None = None,
@@ -63,8 +63,8 @@ def kpis(clicks: DataFrame, transactions: DataFrame | None = None,
         F.count_if((src == 0) & (act == "abandon")).alias("nb_abandons"),
         F.count_if(src == 1).alias("nb_transactions"),
         F.count_if(src == 2).alias("nb_tickets"),
-        F.sum("montant").alias("_rev"),
-        F.sum(F.when(st == S.SUCCESS_STATUS, F.col("montant"))).alias("_rev_ok"),
+        money_sum("montant").alias("_rev"),
+        money_sum(F.when(st == S.SUCCESS_STATUS, F.col("montant"))).alias("_rev_ok"),
         F.count_if((src == 1) & F.coalesce(st.rlike(S.FAILED_STATUS_REGEX), F.lit(False)))
         .alias("nb_echecs_regex"),
         F.count_if((src == 1) & st.isin(*S.FAILED_STATUSES)).alias("nb_echecs"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.columns import action_score, safe_ratio
+from ..functions.columns import action_score, money_avg, money_sum, safe_ratio
 from .joins import broadcast_if_small, materialize
 
 USER_CLICK_COLS = ["nb_actions_user", "nb_achats_user", "nb_abandons_user", "duree_moy_user",
@@ -65,9 +65,9 @@ def user_spend(transactions: DataFrame) -> DataFrame:
                             & F.col("user_id").isNotNull())
         .groupBy("user_id")
         .agg(
-            F.sum(F.col("montant_paye").cast("double")).alias("montant_total_depense"),
+            money_sum("montant_paye").alias("montant_total_depense"),
             F.count(F.lit(1)).alias("nb_transactions_reussies"),
-            F.avg(F.col("montant_paye").cast("double")).alias("panier_moyen"),
+            money_avg("montant_paye").alias("panier_moyen"),
         )
     )
 
@@ -92,7 +92,7 @@ def category_features(clicks: DataFrame) -> DataFrame:
         .agg(
             safe_ratio(F.count_if(F.col("action") == "purchase"), F.count(F.lit(1)))
             .alias("taux_achat_categorie"),
-            F.avg(F.col("price").cast("double")).alias("prix_moy_categorie"),
+            money_avg("price").alias("prix_moy_categorie"),
         )
     )
 
@@ -135,9 +135,9 @@ def user_table(clicks: DataFrame, transactions: DataFrame | None,
             F.count_if((src == 0) & (F.col("action") == "abandon")).alias("nb_abandons_user"),
             F.avg("duree").alias("duree_moy_user"),
             F.sum("score").alias("score_engagement_total"),
-            F.sum(F.when(ok, F.col("montant"))).alias("montant_total_depense"),
+            money_sum(F.when(ok, F.col("montant"))).alias("montant_total_depense"),
             F.count_if(ok).alias("nb_transactions_reussies"),
-            F.avg(F.when(ok, F.col("montant"))).alias("panier_moyen"),
+            money_avg(F.when(ok, F.col("montant"))).alias("panier_moyen"),
             F.count_if(src == 2).alias("nb_tickets_support"),
             F.count_if((src == 2) & (F.col("motif") == "remboursement")).alias("nb_remboursements"),
         )

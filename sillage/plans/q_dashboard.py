@@ -30,8 +30,9 @@ FROM (
     (SELECT count(*) FROM {clicks} WHERE action = 'abandon') AS nb_abandons,
     (SELECT count(*) FROM transactions) AS nb_transactions,
     (SELECT count(*) FROM support) AS nb_tickets,
-    (SELECT sum(montant_paye) FROM transactions) AS rev,
-    (SELECT sum(montant_paye) FROM transactions WHERE statut_paiement = 'succès') AS rev_ok,
+    (SELECT CAST(sum(CAST(montant_paye AS DECIMAL(18,2))) AS DOUBLE) FROM transactions) AS rev,
+    (SELECT CAST(sum(CAST(montant_paye AS DECIMAL(18,2))) AS DOUBLE) FROM transactions
+      WHERE statut_paiement = 'succès') AS rev_ok,
     (SELECT count(*) FROM transactions
       WHERE coalesce(regexp_matches(statut_paiement, 'choue|failed', 'i'), false)) AS nb_echecs_regex,
     (SELECT count(*) FROM transactions WHERE statut_paiement IN ('échoué','echoue','failed'))

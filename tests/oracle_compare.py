@@ -25,7 +25,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if os.environ.get("ORACLE_EXACT") else round(v, 6)
     if isinstance(v, pd.Timestamp):
         return v.tz_localize(None).isoformat() if v.tzinfo else v.isoformat()
     if hasattr(v, "isoformat"):
