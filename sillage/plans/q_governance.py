@@ -68,3 +68,12 @@ def _retention(spark, sf_dir):
     return G.retention_report({"clickstream": j.clicks, "transactions": j.transactions,
                                "service_client": j.support}, AS_OF)
 
+
+
+@register("pseudonymise_preview", O.with_fixtures(
+    "SELECT session_id, user_id, substr(sha256(CAST(CAST(user_id AS BIGINT) AS VARCHAR)), 1, 12) "
+    "AS user_id_anonyme FROM clicks ORDER BY \"timestamp\", session_id LIMIT 5"))
+def _pseudonymise_preview(spark, sf_dir):
+    """S6 + G1: the five-row before/after view, on a defined order (top-n, not a scan cap)."""
+    top = FX.clicks(spark, sf_dir).orderBy("timestamp", "session_id").limit(5)
+    return G.pseudonymise(top.select("session_id", "user_id"))

@@ -36,19 +36,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def ensure_utc(spark: SparkSession) -> None:
+    """Event times are epoch seconds and the test tables hold zone-less timestamps;
+    both are read as UTC, so the session time zone must be UTC."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator reads the setting the cluster gives.  Only when it
     is unset (local tests) do we create one, under the system temp folder.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+        path = path or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    except Exception:  # Spark Connect: no SparkContext, the session conf is the source
+        sc = None
     if not path:
         path = tempfile.mkdtemp(prefix="sillage-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 

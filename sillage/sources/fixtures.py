@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_utc
 from .tables import read_table, spread
 
 # Fixed review phrases appended to the benchmark text, by event_id % 6
@@ -54,7 +55,8 @@ def _action(user: Column, etype: Column) -> Column:
 
 
 def clicks(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> DataFrame:
-    """Clickstream view; one row per ``events`` row."""
+    """Clickstream view; one row per ``events`` row (``ts`` is read as UTC)."""
+    ensure_utc(spark)
     ev = spread(read_table(spark, sf_dir, "events"), "event_id").select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),

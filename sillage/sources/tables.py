@@ -21,7 +21,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     Large inputs already split into many partitions and are returned unchanged, so
     this adds no shuffle at scale; hashing on a key keeps recomputation deterministic.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect has no RDD view; leave partitioning to AQE
+        return df
+    if parts < slots:
         return df.repartition(slots, key)
     return df
