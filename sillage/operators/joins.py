@@ -9,10 +9,30 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-# Largest row count we hand to a broadcast join (per-key feature rows are ~150 bytes,
-# so this stays well below executor memory).  Beyond it, the join stays sort-merge
-# and AQE splits skewed partitions.
+# Largest side we hand to a broadcast join: at most this many rows and about this
+# many bytes (row width estimated from the schema).  Beyond it, the join stays
+# sort-merge and AQE splits skewed partitions.
 BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4,
+          "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def row_width(df: DataFrame) -> int:
+    """Rough bytes per row: fixed sizes for numbers, 32 for strings, 64 for nested."""
+    total = 8  # row header
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if t in _WIDTH:
+            total += _WIDTH[t]
+        elif t.startswith("decimal"):
+            total += 16
+        elif t == "string" or t == "binary":
+            total += 32
+        else:
+            total += 64
+    return total
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -43,9 +63,12 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the (materialised) side is proven small."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only when the (materialised) side is proven small in rows and
+    in estimated bytes."""
+    limit = min(max_rows, max_bytes // row_width(df))
+    return F.broadcast(df) if row_count_at_most(df, limit) else df
 
 
 def right_size(df: DataFrame, rows_per_partition: int = 500_000) -> DataFrame:
