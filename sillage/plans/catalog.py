@@ -11,11 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources import fixtures as FX
-from . import oracle as O
-from ..operators import analytics as A
-from ..operators import features as E
-
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
@@ -51,4 +46,4 @@ def _load_all() -> None:
             raise
 
 
-__all__ = ["register", "queries", "oracle_sql", "FX", "O", "A", "E"]
+__all__ = ["register", "queries", "oracle_sql"]
