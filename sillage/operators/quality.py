@@ -165,18 +165,26 @@ def histograms(df: DataFrame, bins: dict[str, int]) -> DataFrame:
         F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")).alias("hi"),
         nbins[F.col("colonne")].alias("bins"))
     nb = F.col("bins")
-    idx = F.least(F.floor((F.col("v") - F.col("lo")) * (nb.cast("double") / (F.col("hi") - F.col("lo")))),
-                  nb - 1).cast("int")
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    step = (hi - lo) / nb.cast("double")
+
+    def edge(i):  # numpy's linspace edges: i * step + lo, the last one exactly hi
+        return F.when(i == nb, hi).otherwise(i.cast("double") * step + lo)
+
+    i0 = F.least(F.floor((v - lo) * (nb.cast("double") / (hi - lo))), nb - 1).cast("int")
+    # numpy then moves a value sitting within an ulp of an edge to the side the edge says
+    idx = (F.when(v < edge(i0), i0 - 1)
+           .when((i0 != nb - 1) & (v >= edge(i0 + 1)), i0 + 1)
+           .otherwise(i0))
     counts = (long.join(F.broadcast(rng), "colonne")
               .groupBy("colonne", idx.alias("bin")).agg(F.count(F.lit(1)).alias("nb")))
     all_bins = rng.select("colonne", "lo", "hi", "bins",
                           F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
-    w = (F.col("hi") - F.col("lo")) / nb.cast("double")
+    b = F.col("bin")
     return (all_bins.join(counts, ["colonne", "bin"], "left")
             .select("colonne", "bin",
-                    (F.col("lo") + F.col("bin") * w).alias("borne_inf"),
-                    F.when(F.col("bin") == nb - 1, F.col("hi"))
-                     .otherwise(F.col("lo") + (F.col("bin") + 1) * w).alias("borne_sup"),
+                    edge(b).alias("borne_inf"),
+                    edge(b + 1).alias("borne_sup"),
                     F.coalesce(F.col("nb"), F.lit(0)).alias("nb")))
 
 

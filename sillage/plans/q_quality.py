@@ -86,9 +86,17 @@ FROM (
 
 
 def _hist_sql(view: str, c: str, bins: int) -> str:
+    nb = float(bins)
+
+    def edge(i: str) -> str:
+        return f"(CASE WHEN {i} = {bins} THEN hi ELSE CAST({i} AS DOUBLE) * ((hi - lo) / {nb}) + lo END)"
+
+    i0 = f"CAST(least(floor((v - lo) * ({nb} / (hi - lo))), {bins - 1}) AS INTEGER)"
     return f"""
-SELECT '{c}' AS colonne, b.bin, r.lo + b.bin * ((r.hi - r.lo) / {float(bins)}) AS borne_inf,
-  CASE WHEN b.bin = {bins - 1} THEN r.hi ELSE r.lo + (b.bin + 1) * ((r.hi - r.lo) / {float(bins)}) END
+SELECT '{c}' AS colonne, b.bin,
+  CASE WHEN b.bin = {bins} THEN r.hi ELSE CAST(b.bin AS DOUBLE) * ((r.hi - r.lo) / {nb}) + r.lo END
+    AS borne_inf,
+  CASE WHEN b.bin + 1 = {bins} THEN r.hi ELSE CAST(b.bin + 1 AS DOUBLE) * ((r.hi - r.lo) / {nb}) + r.lo END
     AS borne_sup,
   coalesce(cnt.nb, 0) AS nb
 FROM (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
@@ -96,12 +104,15 @@ FROM (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
       FROM (SELECT CAST({c} AS DOUBLE) AS v FROM {view} WHERE {c} IS NOT NULL)) r
 CROSS JOIN (SELECT CAST(unnest(range(0, {bins})) AS INTEGER) AS bin) b
 LEFT JOIN (
-  SELECT CAST(least(floor((v - lo) * ({float(bins)} / (hi - lo))), {bins - 1}) AS INTEGER) AS bin,
+  SELECT CASE WHEN v < {edge('i0')} THEN i0 - 1
+              WHEN i0 <> {bins - 1} AND v >= {edge('i0 + 1')} THEN i0 + 1
+              ELSE i0 END AS bin,
          count(*) AS nb
-  FROM (SELECT CAST({c} AS DOUBLE) AS v FROM {view} WHERE {c} IS NOT NULL),
-       (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
-               CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi
-        FROM (SELECT CAST({c} AS DOUBLE) AS v FROM {view} WHERE {c} IS NOT NULL))
+  FROM (SELECT v, lo, hi, {i0} AS i0
+        FROM (SELECT CAST({c} AS DOUBLE) AS v FROM {view} WHERE {c} IS NOT NULL),
+             (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+                     CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi
+              FROM (SELECT CAST({c} AS DOUBLE) AS v FROM {view} WHERE {c} IS NOT NULL)))
   GROUP BY 1) cnt ON cnt.bin = b.bin"""
 
 
