@@ -31,13 +31,14 @@ def land_json(df, schema, name: str, partitions: int | None = None) -> str:
 
 
 def _stream_to_table(spark, sf_dir, name, schema, builder, sink_cls=K.EpochSink,
-                     output_mode="append", **sink_kw):
+                     output_mode="append", files_per_batch=None, **sink_kw):
     frames = {"clickstream": lambda: FX.clicks(spark, sf_dir, with_event_id=False),
               "transactions": lambda: FX.transactions(spark, sf_dir, with_event_id=False),
               "service_client": lambda: FX.support(spark, sf_dir, with_event_id=False)}
     landing = land_json(frames[name](), schema, name)
     sink = sink_cls(scratch_path(spark, f"sink-{name}"), **sink_kw)
-    df = builder(spark, {"format": "files", "path": landing})
+    df = builder(spark, {"format": "files", "path": landing,
+                         "maxFilesPerTrigger": files_per_batch})
     J.run_once(df, sink, scratch_path(spark, f"ckpt-{name}"), f"{name}_{abs(hash(landing)) % 10**8}",
                output_mode)
     return sink.read(spark)
@@ -169,3 +170,21 @@ def batch_preview(spark, sf_dir):
         F.concat(F.lit("résolu: "), F.when(F.col("resolu"), "True")
                  .when(~F.col("resolu"), "False").otherwise("None")).alias("statut")])
     return c.unionByName(t).unionByName(s)
+
+
+@register("stream_clicks_keyed", O.with_fixtures(
+    f"SELECT {', '.join(CLICK_STREAM_COLS)}, {O.REVIEW_CLEAN_SQL} AS review_clean, "
+    f"{O.action_score_sql()} AS action_score, "
+    f"CASE WHEN action = 'abandon' THEN {O._q(S.RECO_TEXTS['B']['abandon'])} "
+    f"WHEN action = 'add_to_cart' THEN {O._q(S.RECO_TEXTS['B']['add_to_cart'])} "
+    f"WHEN action = 'purchase' THEN {O._q(S.RECO_TEXTS['B']['purchase'])} "
+    f"ELSE {O._q(S.RECO_TEXTS['B']['other'])} END AS recommandation, "
+    "CAST(NULL AS VARCHAR) AS _corrupt_record FROM clicks"))
+def stream_clicks_keyed(spark, sf_dir):
+    """T1 + K2 (keyed-store consumer): clickstream with text set B, upserted per
+    micro-batch into a table keyed by (session_id, timestamp), two files per batch."""
+    out = _stream_to_table(spark, sf_dir, "clickstream", S.CLICKSTREAM_SCHEMA,
+                           lambda sp, src: J.clicks_stream(sp, src, "B"),
+                           sink_cls=K.KeyedTable, files_per_batch=2,
+                           keys=["session_id", "timestamp"])
+    return out.drop("_epoch")
