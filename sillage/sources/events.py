@@ -78,5 +78,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """K5: CSV export with a header line, quoted fields, no index column."""
+    """K5: CSV export with a header line, quoted fields, no index column.
+
+    As with a pandas export, an empty string and a null are both an empty field and
+    both read back as null.
+    """
     df.write.mode("overwrite").options(**_CSV_OPTS).csv(path)

@@ -331,3 +331,50 @@ def test_exact_quantiles_with_narrowing(spark):
          ST2.exact_quantiles(long, [0.1, 0.5, 0.99], accuracy=50, max_bracket=20).collect()}
     for i, p in enumerate([10, 50, 99]):
         assert math.isclose(q[i], float(np.percentile(vals, p)), rel_tol=0, abs_tol=1e-12)
+
+
+def test_score_recommendation_texts(spark):
+    df = spark.createDataFrame([(1, 85.3, "neutre"), (1, 60.0, "positif"), (0, 30.5, "negatif"),
+                                (0, 10.0, "neutre")], "prediction int, proba double, sentiment string")
+    got = [r[0] for r in df.select(C.score_recommendation("prediction", "proba", "sentiment")).collect()]
+    assert got == [" ACHAT PROBABLE (85.3%) — Suggérer produits similaires",
+                   " ACHAT POSSIBLE (60.0%) — Proposer livraison gratuite",
+                   "  RISQUE ABANDON (69.5%) — Envoyer coupon -20%",
+                   "  NAVIGATION (90.0%) — Continuer navigation"]
+
+
+def test_filters_funnel_and_distinct_values(spark):
+    c = clicks(spark, [("a", 1, "X", 1.0, 1.0, "purchase", 5, "google", None, 0.0),
+                       ("b", 1, None, 1.0, 1.0, "teleport", 5, None, None, 0.0),
+                       ("c", 1, "Y", 1.0, 1.0, "view", 5, "email", None, 0.0)])
+    assert A.filter_clicks(c, "Toutes", "Toutes").count() == 3
+    assert A.filter_clicks(c, "X", None).count() == 1
+    f = [(r["action"], r["etape"]) for r in A.funnel(c).collect()]
+    assert f == [("view", 1), ("purchase", 4), ("teleport", None)]
+    vals = {(r["filtre"], r["valeur"]) for r in A.distinct_filters(c).collect()}
+    assert ("category", None) in vals and ("source", "email") in vals and len(vals) == 6
+
+
+def test_minimise_keeps_needed_existing_columns(spark):
+    c = clicks(spark, [("a", 1, "X", 1.0, 1.0, "view", 5, "google", "txt", 0.0)])
+    assert G.minimise(c).columns == ["session_id", "user_id", "action", "category", "price",
+                                     "rating", "source", "timestamp"]
+    assert G.minimise(c.drop("rating")).columns[-2:] == ["source", "timestamp"]
+
+
+def test_csv_roundtrip_quotes_newlines_and_blanks(spark):
+    df = spark.createDataFrame([("a,b", 'say "hi"\nnext', " x "), (None, "", "")],
+                               "c1 string, c2 string, c3 string")
+    path = scratch_path(spark, "t-csv")
+    EV.write_csv(df, path)
+    back = EV.read_csv(spark, path, df.schema)
+    got = sorted(back.collect(), key=str)
+    assert got[0] == df.collect()[0]  # commas, quotes, newlines, edge spaces survive
+    assert tuple(got[1]) == (None, None, None)  # empty text reads back as null, like pandas
+
+
+def test_retention_filter_uses_explicit_instant(spark):
+    c = clicks(spark, [("a", 1, "X", 1.0, 1.0, "view", 1, "g", None, 1704067200.0),
+                       ("b", 2, "X", 1.0, 1.0, "view", 1, "g", None, 1712000000.0)])
+    kept = G.retention_filter(c, "2024-04-15 00:00:00", 90)
+    assert [r["session_id"] for r in kept.collect()] == ["b"]
