@@ -154,26 +154,28 @@ def user_table(clicks: DataFrame, transactions: DataFrame | None,
     )
 
 
+def join_features(clicks: DataFrame, users: DataFrame, cats: DataFrame,
+                  broadcast_max_rows: int | None = None) -> DataFrame:
+    """J1-J2 + fills: attach per-user and per-category feature tables to the clicks.
+
+    Both tables should be materialised (``joins.materialize``) so the broadcast
+    decision is made on their true row count.
+    """
+    kw = {} if broadcast_max_rows is None else {"max_rows": broadcast_max_rows}
+    out = (clicks.join(broadcast_if_small(users, **kw), "user_id", "left")
+           .join(broadcast_if_small(cats, **kw), "category", "left"))
+    out = out.select(*clicks.columns, *S.ENRICHED_COLUMNS)
+    return out.na.fill({c: 0 for c in FILL_ZERO})
+
+
 def enriched_clicks(clicks: DataFrame, transactions: DataFrame | None = None,
-                    support: DataFrame | None = None, materialize_keys: bool = True,
+                    support: DataFrame | None = None,
                     broadcast_max_rows: int | None = None) -> DataFrame:
-    """J1-J2 + fills: every click with its 13 user and category features.
+    """Every click with its 13 user and category features.
 
-    ``materialize_keys`` writes the two key tables to the shared folder first, which
-    is what makes the broadcast decision a checked one; pass False inside a
-    streaming micro-batch that must stay a single plan.
+    The two key tables are written to the shared folder first, which is what makes
+    the broadcast decision a checked one.
     """
-    users = user_table(clicks, transactions, support)
-    cats = category_features(clicks)
-    if materialize_keys:
-        users = materialize(users, "user-features")
-        cats = materialize(cats, "category-features")
-        kw = {} if broadcast_max_rows is None else {"max_rows": broadcast_max_rows}
-        users = broadcast_if_small(users, **kw)
-        cats = broadcast_if_small(cats, **kw)
-    out = (clicks.join(users, "user_id", "left")
-           .join(cats, "category", "left"))
-    fills = {c: 0 for c in FILL_ZERO}
-    cols = [c for c in clicks.columns]
-    out = out.select(*cols, *S.ENRICHED_COLUMNS)
-    return out.na.fill(fills)
+    users = materialize(user_table(clicks, transactions, support), "user-features")
+    cats = materialize(category_features(clicks), "category-features")
+    return join_features(clicks, users, cats, broadcast_max_rows)

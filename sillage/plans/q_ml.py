@@ -10,7 +10,7 @@ from ..operators import ml as M
 from ..operators import profile as PR
 from ..operators import text as T
 from ..functions.columns import score_recommendation
-from ..operators.features import category_features, user_table
+from ..operators.features import category_features, join_features, user_table
 from ..operators.joins import broadcast_if_small, known_rows, materialize, right_size
 from ..operators.sinks import EpochSink
 from ..session import scratch_path
@@ -82,8 +82,7 @@ def ml_features(spark, sf_dir):
 @register("ml_split")
 def ml_split(spark, sf_dir):
     """M3: stratified, reproducible 80/20 split of the purchase/abandon rows."""
-    return M.stratified_split(target_frame(spark, sf_dir), "intention_achat", KEY).select(
-        "event_id", "intention_achat", "split")
+    return _prepared(spark, sf_dir).select("event_id", "intention_achat", "split")
 
 
 _BASELINE_PRED = "CAST(taux_achat_user > 0.5 AS INTEGER)"
@@ -114,8 +113,37 @@ def ml_metrics(spark, sf_dir):
     return M.binary_metrics(pred)
 
 
-def _prepared(spark, sf_dir):
-    return M.stratified_split(target_frame(spark, sf_dir), "intention_achat", KEY)
+def _prepared(spark, sf_dir, legacy: bool = False):
+    """Purchase/abandon rows with their split, features and profile, for training.
+
+    The split is drawn first.  Unless ``legacy``, the user and category features are
+    built only from rows outside the test part — clicks of test rows and the
+    payments and tickets of their sessions are left out — so a test row's own
+    action never reaches its features (the reference computes them on all rows).
+    """
+    j = FX.journey(spark, sf_dir)
+    a = F.col("action")
+    labelled = j.clicks.filter(a.isin("purchase", "abandon")).select(
+        "event_id", KEY, (a == "purchase").cast("int").alias("intention_achat"))
+    split = materialize(M.stratified_split(labelled, "intention_achat", KEY)
+                        .select("event_id", KEY, "split"), "ml-split")
+    clicks = j.clicks.join(broadcast_if_small(split.drop(KEY)), "event_id", "left")
+    if legacy:
+        f_clicks, f_tx, f_sup = clicks, j.transactions, j.support
+    else:
+        test = broadcast_if_small(split.filter(F.col("split") == "test").select(KEY))
+        f_clicks = clicks.filter(F.coalesce(F.col("split"), F.lit("")) != "test")
+        f_tx = j.transactions.join(test, KEY, "left_anti")
+        f_sup = j.support.join(test, KEY, "left_anti")
+    users = materialize(user_table(f_clicks, f_tx, f_sup), "ml-user-features")
+    cats = materialize(category_features(f_clicks), "ml-category-features")
+    base = join_features(clicks, users, cats)
+    return PR.with_target(nlp_and_profile(base))
+
+
+def nlp_and_profile(df):
+    df = T.with_sentiment(T.with_nlp(df, T.TEST_STOP_WORDS, T.TEST_LEMMAS), T.TEST_LEXICON)
+    return PR.with_profile(df)
 
 
 @register("ml_compare")
