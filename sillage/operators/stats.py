@@ -136,9 +136,21 @@ def exact_quantiles(long: DataFrame, probs: list[float] | None = None,
         F.array(*[(F.lit(p) * (F.col("n") - 1) - F.floor(F.lit(p) * (F.col("n") - 1)))
                   for p in probs]).alias("frac"))
     # The state has one row per column: its size is fixed by the request.
-    state = spark.createDataFrame(base.collect(), base.schema)
+    base_rows = base.collect()
+    state = spark.createDataFrame(base_rows, base.schema)
     with_below = StructType(list(base.schema.fields)
                             + [StructField("below", ArrayType(LongType()), True)])
+    # percentile_approx misplaces a rank by at most n/accuracy, so a bracket spans at
+    # most about 8 n / accuracy ranks: when that is under the limit, no round is needed
+    # and the rows below each bracket are counted inside the final plan.
+    max_n = max([r["n"] for r in base_rows] or [0])
+    if 8 * max_n / accuracy <= max_bracket:
+        bounds = state.select("colonne", "lo", "hi")
+        below = (long.join(F.broadcast(bounds), "colonne").groupBy("colonne")
+                 .agg(F.array(*[F.count_if(F.col("valeur") < F.col("lo")[i])
+                                for i in range(k)]).alias("below")))
+        state = state.join(below, "colonne", "left")
+        return _final_pass(long, state, probs, k)
     for rnd in range(MAX_ROUNDS + 1):
         stats = _bracket_stats(long, state.select("colonne", "lo", "hi"), k).collect()
         below = {r["colonne"]: list(r["below"]) for r in stats}
@@ -162,7 +174,12 @@ def exact_quantiles(long: DataFrame, probs: list[float] | None = None,
             d.pop("below")
             rows.append(d)
         state = spark.createDataFrame(rows, base.schema)
-    # Final pass: distinct values inside each bracket, ranked by a bounded window.
+    return _final_pass(long, state, probs, k)
+
+
+def _final_pass(long: DataFrame, state: DataFrame, probs: list[float], k: int) -> DataFrame:
+    """Distinct values inside each bracket, ranked by a window bounded by the bracket."""
+    spark = long.sparkSession
     bounds = state.select("colonne", "lo", "hi")
     j = long.join(F.broadcast(bounds), "colonne")
     inside = (j.select("colonne", "valeur", F.explode(F.filter(

@@ -378,3 +378,9 @@ def test_retention_filter_uses_explicit_instant(spark):
                        ("b", 2, "X", 1.0, 1.0, "view", 1, "g", None, 1712000000.0)])
     kept = G.retention_filter(c, "2024-04-15 00:00:00", 90)
     assert [r["session_id"] for r in kept.collect()] == ["b"]
+
+
+def test_feature_list_leaves_out_target_derived_column():
+    assert "risque_abandon" not in M.feature_columns()
+    assert M.feature_columns(legacy_features=True)[-1] == "risque_abandon"
+    assert len(M.feature_columns()) == 27
