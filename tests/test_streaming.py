@@ -60,3 +60,15 @@ def test_three_consumers_side_by_side(spark):
         got = specs[topic].sink.read(spark)
         assert got.count() == df.count()
         assert got.filter(F.col("_corrupt_record").isNotNull()).count() == 0
+
+
+def test_stream_scoring_profiles_equal_batch_profiles(spark):
+    import __spark_entry__ as entry
+    qs = entry.queries()
+    streamed = qs["stream_scoring"](spark, SMALL)
+    assert streamed.count() == FX.clicks(spark, SMALL).count()
+    got = {r["profil_comportemental"]: r["count"]
+           for r in streamed.groupBy("profil_comportemental").count().collect()}
+    want = {r["profil_comportemental"]: r["nb"] for r in qs["profile_counts"](spark, SMALL).collect()}
+    assert got == want
+    assert streamed.filter(F.col("proba_achat").isNull() | F.col("recommandation").isNull()).count() == 0
