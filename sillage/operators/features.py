@@ -3,10 +3,10 @@
 Shape of the plan for ``enriched_clicks``:
 
 1. clicks, transactions and support are projected to one narrow union and
-   aggregated once by ``user_id`` (map-side partial aggregation, one shuffle of
-   partial rows; a hot user costs one partial row per input partition);
-2. clicks are aggregated by ``category``;
-3. both small tables are written to the shared folder and joined back to the clicks
+   aggregated once with grouping sets ``(user_id)`` and ``(category)`` (map-side
+   partial aggregation, one shuffle of partial rows; a hot user costs one partial
+   row per input partition);
+2. the two key tables are written to the shared folder and joined back to the clicks
    with a broadcast when their row count is proven small, else by sort-merge join
    where AQE splits a skewed user.
 
@@ -97,53 +97,54 @@ def category_features(clicks: DataFrame) -> DataFrame:
     )
 
 
-def user_table(clicks: DataFrame, transactions: DataFrame | None,
-               support: DataFrame | None) -> DataFrame:
-    """E1-E11 in one aggregation over a union of the three tables (one shuffle).
-
-    Users that appear only in payments or tickets get a row too; a left join from
-    the clicks ignores them.
-    """
+def _narrow_union(clicks: DataFrame, transactions: DataFrame | None,
+                  support: DataFrame | None) -> DataFrame:
+    """The columns the key tables need, from the three tables, in one union."""
     nul_d = F.lit(None).cast("double")
     nul_s = F.lit(None).cast("string")
     parts = [clicks.select(
-        F.col("user_id").cast("int").alias("user_id"), F.lit(0).alias("src"),
+        F.col("user_id").cast("int").alias("user_id"), F.col("category"), F.lit(0).alias("src"),
         F.col("action"), F.col("duree_visite").cast("double").alias("duree"),
-        _score(clicks).cast("long").alias("score"),
+        _score(clicks).cast("long").alias("score"), F.col("price").cast("double").alias("price"),
         nul_d.alias("montant"), nul_s.alias("statut"), nul_s.alias("motif"))]
     if transactions is not None:
         parts.append(transactions.select(
-            F.col("user_id").cast("int").alias("user_id"), F.lit(1).alias("src"),
-            nul_s.alias("action"), nul_d.alias("duree"), F.lit(None).cast("long").alias("score"),
+            F.col("user_id").cast("int").alias("user_id"), nul_s.alias("category"),
+            F.lit(1).alias("src"), nul_s.alias("action"), nul_d.alias("duree"),
+            F.lit(None).cast("long").alias("score"), nul_d.alias("price"),
             F.col("montant_paye").cast("double").alias("montant"),
             F.col("statut_paiement").alias("statut"), nul_s.alias("motif")))
     if support is not None:
         parts.append(support.select(
-            F.col("user_id").cast("int").alias("user_id"), F.lit(2).alias("src"),
-            nul_s.alias("action"), nul_d.alias("duree"), F.lit(None).cast("long").alias("score"),
+            F.col("user_id").cast("int").alias("user_id"), nul_s.alias("category"),
+            F.lit(2).alias("src"), nul_s.alias("action"), nul_d.alias("duree"),
+            F.lit(None).cast("long").alias("score"), nul_d.alias("price"),
             nul_d.alias("montant"), nul_s.alias("statut"), F.col("motif_contact").alias("motif")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
+    return u
+
+
+def _user_aggs() -> list:
     src, ok = F.col("src"), (F.col("statut") == S.SUCCESS_STATUS)
-    agg = (
-        u.filter(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(
-            F.count_if(src == 0).alias("nb_actions_user"),
-            F.count_if((src == 0) & (F.col("action") == "purchase")).alias("nb_achats_user"),
-            F.count_if((src == 0) & (F.col("action") == "abandon")).alias("nb_abandons_user"),
-            F.avg("duree").alias("duree_moy_user"),
-            F.sum("score").alias("score_engagement_total"),
-            money_sum(F.when(ok, F.col("montant"))).alias("montant_total_depense"),
-            F.count_if(ok).alias("nb_transactions_reussies"),
-            money_avg(F.when(ok, F.col("montant"))).alias("panier_moyen"),
-            F.count_if(src == 2).alias("nb_tickets_support"),
-            F.count_if((src == 2) & (F.col("motif") == "remboursement")).alias("nb_remboursements"),
-        )
-    )
+    return [
+        F.count_if(src == 0).alias("nb_actions_user"),
+        F.count_if((src == 0) & (F.col("action") == "purchase")).alias("nb_achats_user"),
+        F.count_if((src == 0) & (F.col("action") == "abandon")).alias("nb_abandons_user"),
+        F.avg("duree").alias("duree_moy_user"),
+        F.sum("score").alias("score_engagement_total"),
+        money_sum(F.when(ok, F.col("montant"))).alias("montant_total_depense"),
+        F.count_if(ok).alias("nb_transactions_reussies"),
+        money_avg(F.when(ok, F.col("montant"))).alias("panier_moyen"),
+        F.count_if(src == 2).alias("nb_tickets_support"),
+        F.count_if((src == 2) & (F.col("motif") == "remboursement")).alias("nb_remboursements"),
+    ]
+
+
+def _user_cols() -> list:
     n = F.col("nb_actions_user")
-    return agg.select(
+    return [
         "user_id",
         F.when(n > 0, n).alias("nb_actions_user"),
         "nb_achats_user", "nb_abandons_user", "duree_moy_user",
@@ -151,7 +152,53 @@ def user_table(clicks: DataFrame, transactions: DataFrame | None,
         "score_engagement_total",
         "montant_total_depense", "nb_transactions_reussies", "panier_moyen",
         "nb_tickets_support", "nb_remboursements",
-    )
+    ]
+
+
+def _category_aggs() -> list:
+    clk = F.col("src") == 0
+    return [
+        safe_ratio(F.count_if(clk & (F.col("action") == "purchase")), F.count_if(clk))
+        .alias("taux_achat_categorie"),
+        money_avg(F.when(clk, F.col("price"))).alias("prix_moy_categorie"),
+    ]
+
+
+def user_table(clicks: DataFrame, transactions: DataFrame | None,
+               support: DataFrame | None) -> DataFrame:
+    """E1-E11 in one aggregation over a union of the three tables (one shuffle).
+
+    Users that appear only in payments or tickets get a row too; a left join from
+    the clicks ignores them.
+    """
+    u = _narrow_union(clicks, transactions, support)
+    agg = u.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(*_user_aggs())
+    return agg.select(*_user_cols())
+
+
+def key_tables(clicks: DataFrame, transactions: DataFrame | None,
+               support: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Per-user (E1-E11) and per-category (E12-E13) tables from one scan and one shuffle.
+
+    A grouping-sets aggregate over the narrow union computes both keys at once
+    (map-side partial aggregation for each set); the result is written once to the
+    shared folder and read back as two tables, each with its row count for the
+    broadcast check.
+    """
+    u = _narrow_union(clicks, transactions, support)
+    agg = (u.groupingSets([["user_id"], ["category"]], "user_id", "category")
+           .agg(*_user_aggs(), *_category_aggs(), F.grouping_id().alias("gid")))
+    # gid 1: grouped by user_id (category rolled up); gid 2: grouped by category.
+    both = materialize(agg.filter(((F.col("gid") == 1) & F.col("user_id").isNotNull())
+                                  | ((F.col("gid") == 2) & F.col("category").isNotNull())),
+                       "key-tables")
+    counts = {r["gid"]: r["count"] for r in both.groupBy("gid").count().collect()}
+    users = both.filter(F.col("gid") == 1).select(*_user_cols())
+    cats = both.filter(F.col("gid") == 2).select("category", "taux_achat_categorie",
+                                                 "prix_moy_categorie")
+    users._sillage_rows = counts.get(1, 0)
+    cats._sillage_rows = counts.get(2, 0)
+    return users, cats
 
 
 def join_features(clicks: DataFrame, users: DataFrame, cats: DataFrame,
@@ -173,9 +220,8 @@ def enriched_clicks(clicks: DataFrame, transactions: DataFrame | None = None,
                     broadcast_max_rows: int | None = None) -> DataFrame:
     """Every click with its 13 user and category features.
 
-    The two key tables are written to the shared folder first, which is what makes
-    the broadcast decision a checked one.
+    The two key tables come from one grouping-sets aggregate written to the shared
+    folder first, which is what makes the broadcast decision a checked one.
     """
-    users = materialize(user_table(clicks, transactions, support), "user-features")
-    cats = materialize(category_features(clicks), "category-features")
+    users, cats = key_tables(clicks, transactions, support)
     return join_features(clicks, users, cats, broadcast_max_rows)
