@@ -10,7 +10,7 @@ from ..operators import ml as M
 from ..operators import profile as PR
 from ..operators import text as T
 from ..functions.columns import score_recommendation
-from ..operators.features import category_features, join_features, user_table
+from ..operators.features import join_features, key_tables
 from ..operators.joins import broadcast_if_small, known_rows, materialize, right_size
 from ..operators.sinks import EpochSink
 from ..session import scratch_path
@@ -135,8 +135,7 @@ def _prepared(spark, sf_dir, legacy: bool = False):
         f_clicks = clicks.filter(F.coalesce(F.col("split"), F.lit("")) != "test")
         f_tx = j.transactions.join(test, KEY, "left_anti")
         f_sup = j.support.join(test, KEY, "left_anti")
-    users = materialize(user_table(f_clicks, f_tx, f_sup), "ml-user-features")
-    cats = materialize(category_features(f_clicks), "ml-category-features")
+    users, cats = key_tables(f_clicks, f_tx, f_sup)
     base = join_features(clicks, users, cats)
     return PR.with_target(nlp_and_profile(base))
 
@@ -169,8 +168,8 @@ def stream_scoring(spark, sf_dir):
     model = M.load(path)
 
     j = FX.journey(spark, sf_dir)
-    users = broadcast_if_small(materialize(user_table(j.clicks, j.transactions, j.support), "users"))
-    cats = broadcast_if_small(materialize(category_features(j.clicks), "cats"))
+    users, cats = key_tables(j.clicks, j.transactions, j.support)
+    users, cats = broadcast_if_small(users), broadcast_if_small(cats)
     landing = land_json(FX.clicks(spark, sf_dir, with_event_id=False), S.CLICKSTREAM_SCHEMA,
                         "clickstream")
     stream = J.clicks_stream(spark, {"format": "files", "path": landing}, None)
