@@ -188,3 +188,19 @@ def stream_clicks_keyed(spark, sf_dir):
                            sink_cls=K.KeyedTable, files_per_batch=2,
                            keys=["session_id", "timestamp"])
     return out.drop("_epoch")
+
+
+@register("stream_kpis", O.with_fixtures("""
+SELECT nb_evenements, nb_achats, nb_abandons,
+  CASE WHEN nb_achats + nb_abandons > 0
+       THEN round(nb_achats * 100.0 / (nb_achats + nb_abandons), 1) ELSE 0.0 END AS taux_conversion
+FROM (SELECT count(*) AS nb_evenements, count(*) FILTER (WHERE action = 'purchase') AS nb_achats,
+             count(*) FILTER (WHERE action = 'abandon') AS nb_abandons FROM clicks)"""))
+def stream_kpis(spark, sf_dir):
+    """T8 (KPI tiles): a streaming global aggregate in update mode over several
+    micro-batches; the keyed sink keeps the latest row."""
+    out = _stream_to_table(spark, sf_dir, "clickstream", S.CLICKSTREAM_SCHEMA,
+                           lambda sp, src: J.kpi_stream(J.clicks_stream(sp, src, None)),
+                           sink_cls=K.KeyedTable, output_mode="update", files_per_batch=3,
+                           keys=["cle"])
+    return out.select("nb_evenements", "nb_achats", "nb_abandons", "taux_conversion")

@@ -85,6 +85,22 @@ def conversion_stream(clicks: DataFrame, watermark: str | None = "2 minutes") ->
             .select(F.col("w.start").cast("timestamp_ntz").alias("minute"), "achats", "abandons"))
 
 
+def kpi_stream(clicks: DataFrame) -> DataFrame:
+    """T8 (KPI tiles): events, purchases, abandons and conversion rate, kept current.
+
+    A global aggregate: its state is one row whatever the volume, so no watermark is
+    needed; each update replaces the single row of the sink.
+    """
+    a = F.col("action")
+    agg = clicks.agg(F.count(F.lit(1)).alias("nb_evenements"),
+                     F.count_if(a == "purchase").alias("nb_achats"),
+                     F.count_if(a == "abandon").alias("nb_abandons"))
+    den = F.col("nb_achats") + F.col("nb_abandons")
+    return agg.select(F.lit("global").alias("cle"), "nb_evenements", "nb_achats", "nb_abandons",
+                      F.when(den > 0, F.round(F.col("nb_achats") * 100.0 / den, 1))
+                       .otherwise(F.lit(0.0)).alias("taux_conversion"))
+
+
 def run_once(df: DataFrame, sink, checkpoint: str, name: str,
              output_mode: str = "append") -> None:
     """Run a streaming plan over everything available now, then stop."""

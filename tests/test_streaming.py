@@ -72,3 +72,25 @@ def test_stream_scoring_profiles_equal_batch_profiles(spark):
     want = {r["profil_comportemental"]: r["nb"] for r in qs["profile_counts"](spark, SMALL).collect()}
     assert got == want
     assert streamed.filter(F.col("proba_achat").isNull() | F.col("recommandation").isNull()).count() == 0
+
+
+def test_command_lines(spark, tmp_path):
+    from sillage.plans.__main__ import main as run_query
+    from sillage.streaming.__main__ import main as run_consumers_cli
+
+    out = str(tmp_path / "kpis")
+    run_query(["kpis", SMALL, "--out", out, "--csv"])
+    assert spark.read.parquet(out).count() == 1
+    assert spark.read.option("header", True).csv(out + "_csv").count() == 1
+
+    landing = tmp_path / "landing"
+    for topic, df, sch in [("clickstream", FX.clicks(spark, SMALL, False), S.CLICKSTREAM_SCHEMA),
+                           ("transactions", FX.transactions(spark, SMALL, False), S.TRANSACTION_SCHEMA),
+                           ("service_client", FX.support(spark, SMALL, False), S.SUPPORT_SCHEMA)]:
+        land = land_json(df, sch, f"t-cli-{topic}")
+        spark.read.text(land).write.text(str(landing / topic))
+    run_consumers_cli(["--format", "files", "--landing", str(landing), "--out",
+                       str(tmp_path / "out"), "--available-now"])
+    got = K.EpochSink(str(tmp_path / "out" / "clickstream")).read(spark)
+    assert got.count() == FX.clicks(spark, SMALL).count()
+    assert "recommendation" in got.columns
