@@ -48,12 +48,12 @@ def score_recommendation(prediction: str | Column, proba: str | Column,
     """Recommendation from a model score (prediction 0/1, purchase probability in %)."""
     p, pr, s = col_(prediction), col_(proba), col_(sentiment)
     inv = F.round(F.lit(100.0) - pr, 1)
+    t = S.SCORE_RECO_TEXTS
     return (
-        F.when((p == 1) & (pr > 80),
-               F.format_string(" ACHAT PROBABLE (%s%%) — Suggérer produits similaires", pr))
-        .when(p == 1, F.format_string(" ACHAT POSSIBLE (%s%%) — Proposer livraison gratuite", pr))
-        .when(s == "negatif", F.format_string("  RISQUE ABANDON (%s%%) — Envoyer coupon -20%%", inv))
-        .otherwise(F.format_string("  NAVIGATION (%s%%) — Continuer navigation", inv))
+        F.when((p == 1) & (pr > S.SCORE_RECO_PROBABLE_ABOVE), F.format_string(t["probable"], pr))
+        .when(p == 1, F.format_string(t["possible"], pr))
+        .when(s == "negatif", F.format_string(t["risque"], inv))
+        .otherwise(F.format_string(t["navigation"], inv))
     )
 
 
@@ -61,12 +61,14 @@ def behaviour_profile(taux: Column, abandons: Column, achats: Column, actions: C
                       score: Column, sentiment: Column) -> Column:
     """First matching rule wins; ``actions`` is floored at 1 like the reference."""
     acts = F.greatest(F.coalesce(actions, F.lit(1)), F.lit(1))
+    fidele, promos, impulsif, comparateur, standard = S.PROFILES
     return (
-        F.when((taux > 0.4) & (score > 10), "client_fidele")
-        .when((abandons > achats) & (sentiment == "negatif"), "chasseur_promos")
-        .when((achats > 0) & (acts / F.greatest(achats, F.lit(1)) < 3), "acheteur_impulsif")
-        .when((acts > 10) & (taux < 0.1), "comparateur")
-        .otherwise("visiteur_standard")
+        F.when((taux > S.LOYAL_RATE_ABOVE) & (score > S.LOYAL_SCORE_ABOVE), fidele)
+        .when((abandons > achats) & (sentiment == "negatif"), promos)
+        .when((achats > 0) & (acts / F.greatest(achats, F.lit(1))
+                              < S.IMPULSIVE_ACTIONS_PER_PURCHASE_BELOW), impulsif)
+        .when((acts > S.BROWSER_ACTIONS_ABOVE) & (taux < S.BROWSER_RATE_BELOW), comparateur)
+        .otherwise(standard)
     )
 
 

@@ -93,6 +93,15 @@ RECO_TEXTS = {
 }
 RECO_COLUMN = {"A": "recommendation", "B": "recommandation"}
 
+# Recommendation from a model score: texts (``%s`` is the percentage) and threshold.
+SCORE_RECO_TEXTS = {
+    "probable": " ACHAT PROBABLE (%s%%) — Suggérer produits similaires",
+    "possible": " ACHAT POSSIBLE (%s%%) — Proposer livraison gratuite",
+    "risque": "  RISQUE ABANDON (%s%%) — Envoyer coupon -20%%",
+    "navigation": "  NAVIGATION (%s%%) — Continuer navigation",
+}
+SCORE_RECO_PROBABLE_ABOVE = 80
+
 # Funnel stage order.
 FUNNEL_ORDER = ["view", "search", "add_to_cart", "purchase", "abandon"]
 
@@ -130,9 +139,16 @@ FAILED_STATUS_REGEX = "(?i)choue|failed"
 FAILED_STATUSES = ["échoué", "echoue", "failed"]
 SUCCESS_STATUS = "succès"
 
-# Profile names.
+# Profile names and the thresholds of their rules (first matching rule wins):
+# client_fidele: purchase rate > 0.4 and engagement > 10; acheteur_impulsif:
+# actions per purchase < 3; comparateur: more than 10 actions and rate < 0.1.
 PROFILES = ["client_fidele", "chasseur_promos", "acheteur_impulsif", "comparateur",
             "visiteur_standard"]
+LOYAL_RATE_ABOVE = 0.4
+LOYAL_SCORE_ABOVE = 10
+IMPULSIVE_ACTIONS_PER_PURCHASE_BELOW = 3
+BROWSER_ACTIONS_ABOVE = 10
+BROWSER_RATE_BELOW = 0.1
 
 # The 28 model features, in the trained order (the last one leaks the target and
 # is only kept with ``legacy_features=True``).
