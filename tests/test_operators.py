@@ -384,3 +384,16 @@ def test_feature_list_leaves_out_target_derived_column():
     assert "risque_abandon" not in M.feature_columns()
     assert M.feature_columns(legacy_features=True)[-1] == "risque_abandon"
     assert len(M.feature_columns()) == 27
+
+
+def test_erasure_list_as_dataframe_uses_anti_join(spark):
+    c = clicks(spark, [("a", 1, "X", 1.0, 1.0, "view", 1, "g", None, 0.0),
+                       ("b", 2, "X", 1.0, 1.0, "view", 1, "g", None, 0.0),
+                       ("c", 3, "X", 1.0, 1.0, "view", 1, "g", None, 0.0),
+                       ("d", None, "X", 1.0, 1.0, "view", 1, "g", None, 0.0)])
+    ids = spark.createDataFrame([(1,), (3,), (3,), (None,)], "uid long")
+    kept = G.erase(c, ids)
+    assert sorted(r["session_id"] for r in kept.collect()) == ["b", "d"]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan
+    assert G.erase_counts({"clickstream": c}, ids).first()["nb_supprimes"] == 2
