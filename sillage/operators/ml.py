@@ -131,6 +131,7 @@ def classifiers(n_train: int, label: str = "intention_achat", weight_col: str =
             maxIter=1000, regParam=1.0 / max(n_train, 1), standardization=False, **common),
         "Random Forest": RandomForestClassifier(
             numTrees=rf_trees, featureSubsetStrategy="sqrt", maxDepth=rf_depth, seed=seed,
+            cacheNodeIds=True,
             **common),
         "Gradient Boosting": GBTClassifier(maxIter=gbt_rounds, stepSize=0.1, maxDepth=3,
                                            seed=seed, **common),
