@@ -13,13 +13,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "sillage") -> SparkSession:
     """Session with UTC time zone, UI off, AQE (coalescing + skew join) on.
 
-    On a cluster ``master`` is left to spark-submit; tests pass ``local[*]``.
+    On a cluster ``master`` is left to spark-submit (``None``) and shuffle/scan sizes
+    are set for large inputs; tests and the bench pass ``local[N]``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    local = bool(master) and master.startswith("local")
     cpus = os.environ.get("BENCH_CPUS")
-    parts = shuffle_partitions or (int(cpus) if cpus else 8)
+    if local:
+        parts = shuffle_partitions or (int(cpus) if cpus else 8)
+    else:
+        # Cluster: start high and let AQE coalesce shuffle output to ~256 MB partitions,
+        # so a 100 TB shuffle never has multi-GB partitions that spill or fail.
+        parts = shuffle_partitions or 8000
+        builder = (builder.config("spark.sql.files.maxPartitionBytes", "256m")
+                   .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+                   .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1g"))
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
