@@ -397,3 +397,18 @@ def test_erasure_list_as_dataframe_uses_anti_join(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan
     assert G.erase_counts({"clickstream": c}, ids).first()["nb_supprimes"] == 2
+
+
+def test_keyed_table_ignores_and_rebuilds_an_uncommitted_version(spark):
+    import os
+    path = scratch_path(spark, "t-crash")
+    t = K.KeyedTable(path, ["k"])
+    t(spark.createDataFrame([("a", 1)], "k string, v int"), 0)
+    # a writer died while producing version 1: files but no _SUCCESS marker
+    spark.createDataFrame([("a", 99)], "k string, v int").write.parquet(f"{path}/v=1")
+    os.remove(f"{path}/v=1/_SUCCESS")
+    assert t.versions(spark) == [0]
+    assert t.read(spark).first()["v"] == 1
+    t(spark.createDataFrame([("a", 2), ("b", 5)], "k string, v int"), 1)  # the replay
+    assert t.versions(spark) == [0, 1]
+    assert {r["k"]: r["v"] for r in t.read(spark).collect()} == {"a": 2, "b": 5}
