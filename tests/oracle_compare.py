@@ -1,6 +1,9 @@
 """Run catalogue queries in Spark and their SQL in DuckDB; compare results.
 
 Usage: python tests/oracle_compare.py [sf_dir] [name ...]
+
+Floats are compared rounded to 6 decimals; with ORACLE_EXACT=1 they must be equal
+bit-for-bit.  Column dtypes that differ between the engines are reported.
 """
 
 from __future__ import annotations
