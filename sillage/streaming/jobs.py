@@ -111,4 +111,5 @@ def run_once(df: DataFrame, sink, checkpoint: str, name: str,
 
 
 __all__ = ["StreamSpec", "EpochSink", "KeyedTable", "clicks_stream", "transactions_stream",
-           "support_stream", "conversion_stream", "run_once", "run_consumers", "start"]
+           "support_stream", "conversion_stream", "kpi_stream", "run_once", "run_consumers",
+           "start"]
