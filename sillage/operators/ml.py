@@ -134,7 +134,7 @@ def classifiers(n_train: int, label: str = "intention_achat", weight_col: str =
             cacheNodeIds=True,
             **common),
         "Gradient Boosting": GBTClassifier(maxIter=gbt_rounds, stepSize=0.1, maxDepth=3,
-                                           seed=seed, **common),
+                                           seed=seed, cacheNodeIds=True, **common),
     }
 
 
