@@ -146,29 +146,78 @@ def grouped(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
+#: Nodes of a partition's links held at once while they are contracted.
+HELD_NODES = 300_000
+#: So many contracted links end in one task; more go through star rounds first.
+LOCAL_LINKS = 300_000
+
+
+def _forest(held: int | None, id_type: pa.DataType):
+    """Links (a, b) -> (id, root) stars with the same components, in bounded memory: after
+    ``held`` nodes the stars so far are handed on and the search starts afresh."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict = {}
+
+        def find(x):
+            top = x
+            while up[top] != top:
+                top = up[top]
+            while up[x] != top:
+                up[x], x = top, up[x]
+            return top
+
+        def stars(loops: bool) -> pa.RecordBatch:
+            ids = [x for x in up if loops or up[x] != x]
+            return pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array([find(x) for x in ids], id_type)], ["id", "root"])
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if a is None or b is None:
+                    continue
+                up.setdefault(a, a)
+                up.setdefault(b, b)
+                x, y = find(a), find(b)
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+            if held and len(up) > held:
+                yield stars(False)
+                up.clear()
+        yield stars(not held)
+
+    return run
+
+
+def connected_components(edges: DataFrame, name: str = "cc", local_links: int = LOCAL_LINKS) -> DataFrame:
     """(id, root) for every id in ``edges`` (a, b): root is the least id that links reach.
 
-    Alternating star operations: each round hangs every node under the least neighbour
-    seen, so long chains shrink geometrically and no component meets in one task.  Each
-    round is written to the shared folder; rounds end when the edges no longer change.
-    Ids may be of any orderable type; null ends and loops are ignored.
+    Every partition first contracts its own links to stars.  While more than
+    ``local_links`` are left, a round of alternating star operations hangs every node under
+    the least neighbour seen, so chains shrink geometrically and no component meets in one
+    task (a hub's links are joined, not grouped, so they are split when skewed).  What is
+    left, a bounded number of links, is finished in one task.  Each step is written to the
+    shared folder.  Ids may be long, string or binary; null ends and loops are ignored.
     """
-    now = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("u"),
-                                                   F.least("a", "b").alias("v")).distinct(), name)
-    if now._sillage_rows == 0:
-        return now.select(F.col("u").alias("id"), F.col("v").alias("root"))
+    kind = edges.schema["a"].dataType.simpleString()
+    arrow = {"binary": pa.binary(), "string": pa.string(), "int": pa.int32()}.get(kind, pa.int64())
+    schema = f"id {kind}, root {kind}"
+
+    def contract(links: DataFrame) -> DataFrame:
+        return materialize(links.mapInArrow(_forest(HELD_NODES, arrow), schema), name)
+
+    now = contract(edges.select("a", "b").where("a != b"))
     sign = None
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    while now._sillage_rows > local_links:
+        rows = now.select(F.col("id").alias("u"), F.col("root").alias("v")).distinct()
+        both = rows.unionByName(rows.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        rest = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = materialize(rest.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)
-        seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if seen == sign:
-            break
+        rest = large.join(low, "u").where("v != m").select("v", "m")
+        now = contract(rest.unionByName(low.select(F.col("u").alias("v"), "m")))
+        seen = now.distinct().agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("id", "root"))).first()
+        if seen == sign:  # stars already
+            roots = now.distinct()
+            return materialize(roots.unionByName(roots.select(F.col("root").alias("id"), "root").distinct()), name)
         sign = seen
-    roots = now.select(F.col("u").alias("id"), F.col("v").alias("root"))
-    return roots.unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
+    return materialize(now.coalesce(1).mapInArrow(_forest(None, arrow), schema), name)

@@ -45,8 +45,10 @@ from ..operators.joins import broadcast_if_small, materialize
 from .common import NOT_SPACE, Words, connected_components, distinct, grouped, mix64, row_key, small_batches
 
 WIDTH, THRESHOLD = 3, (90, 100)
-CHUNK, CHUNK_TOKENS = 2048, 4_000_000
-LEAF, FANOUT = 8, 4
+CHUNK, CHUNK_TOKENS = 4096, 4_000_000
+LEAF, FANOUT = 32, 4
+#: 64-bit words of two leaves' bitmaps compared at once.
+LEAF_WORDS = 1 << 19
 MAX_BITS = 1 << 17
 
 
@@ -193,6 +195,13 @@ class Tree:
         return (num + den) * min(common, most_x) >= num * (least_x + least_y)
 
 
+def _linked_sets(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    common = int((b[at] == a).sum())
+    return den * common >= num * (len(a) + len(b) - common)
+
+
 def tree_links(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray | None, num: int, den: int) -> list[tuple[int, int]]:
     """Verified links that join what ``label`` has apart; with ``side``, only across sides.
 
@@ -204,24 +213,25 @@ def tree_links(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray | Non
     maps = bitmaps([sets[k] for k in order])
     tree, out = Tree(sizes, maps), []
 
+    rows = max(1, LEAF_WORDS // (maps.shape[1] * LEAF))
+
     def leaves(x: int, y: int) -> None:
-        for i in range(tree.low[x], tree.high[x]):
-            start = i + 1 if x == y else tree.low[y]
-            js = np.arange(start, tree.high[y])
-            js = js[(label[js] != label[i]) & (sizes[js] * num <= sizes[i] * den)]
+        js = slice(tree.low[y], tree.high[y])
+        for low in range(tree.low[x], tree.high[x], rows):
+            here = slice(low, min(low + rows, tree.high[x]))
+            size, other = sizes[here, None], sizes[None, js]
+            open_ = (label[here, None] != label[None, js]) & (other * num <= size * den) & (other * den >= size * num)
             if side is not None:
-                js = js[side[js] != side[i]]
-            if not len(js):
+                open_ &= side[here, None] != side[None, js]
+            if x == y:
+                open_ &= np.arange(here.start, here.stop)[:, None] < np.arange(js.start, js.stop)
+            if not open_.any():
                 continue
-            apart = np.bitwise_count(maps[js] ^ maps[i]).sum(axis=1, dtype=np.int64)
-            for j in js[apart * (num + den) <= (den - num) * (sizes[js] + sizes[i])].tolist():
-                if label[j] == label[i]:
-                    continue
-                a, b = sets[order[i]], sets[order[j]]
-                at = np.searchsorted(b, a)
-                at[at == len(b)] = 0
-                common = int((b[at] == a).sum())
-                if den * common >= num * (len(a) + len(b) - common):
+            apart = np.bitwise_count(maps[here, None] ^ maps[None, js]).sum(axis=2, dtype=np.int64)
+            open_ &= apart * (num + den) <= (den - num) * (size + other)
+            for i, j in np.argwhere(open_).tolist():
+                i, j = i + here.start, j + js.start
+                if label[i] != label[j] and _linked_sets(sets[order[i]], sets[order[j]], num, den):
                     out.append((int(order[i]), int(order[j])))
                     label[label == label[j]] = label[i]
 
