@@ -118,17 +118,19 @@ def no_nan(c: str | Column) -> Column:
     return F.when(F.isnan(x), F.lit(None)).otherwise(x)
 
 
-# Currency: amounts and prices carry two decimals.  Summing them as exact cents makes
-# totals and means independent of summation order (so of partitioning and engine).
-MONEY = "decimal(18,2)"
+# Currency: summed as decimals with ten places, so nothing is rounded to cents row by row
+# and totals and means don't depend on summation order (so on partitioning and engine).
+# NaN and infinite amounts are missing values, in the sum and in the count alike.
+MONEY = "decimal(38,10)"
 
 
 def money_sum(c: str | Column) -> Column:
-    """Exact sum of a currency column (cents), as double; null when no value."""
-    return F.sum(col_(c).cast(MONEY)).cast("double")
+    """Exact sum of a currency column, as double; null when no value."""
+    return F.sum(no_nan(c).try_cast(MONEY)).cast("double")
 
 
 def money_avg(c: str | Column) -> Column:
     """Mean of a currency column from the exact sum; null when no value."""
-    n = F.count(col_(c))
-    return F.when(n > 0, F.sum(col_(c).cast(MONEY)).cast("double") / n)
+    amount = no_nan(c).try_cast(MONEY)
+    n = F.count(amount)
+    return F.when(n > 0, F.sum(amount).cast("double") / n)

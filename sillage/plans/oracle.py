@@ -44,12 +44,12 @@ clicks AS (
     CAST(floor(e.value) AS INTEGER) AS duree_visite,
     {_case('e.event_id % 7', FX.SOURCE_BY_MOD7, 'reseaux_sociaux')} AS source,
     CASE WHEN e.event_id % 6 = 3 THEN NULL
-         ELSE concat(substr(b.text, 1, 80), ' ', {_case('e.event_id % 6', PHRASE_LIST)}) END
+         ELSE concat(b.text, ' ', {_case('e.event_id % 6', PHRASE_LIST)}) END
       AS review_text,
     epoch_us(e.ts) / 1e6 AS "timestamp"
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e
   LEFT JOIN part p ON p.p_partkey = e.k
-  LEFT JOIN benchmark b ON b.item_id = e.event_id % 40
+  LEFT JOIN benchmark b ON b.item_id = e.event_id % (SELECT count(*) FROM benchmark)
 )"""
 
 TX_CTE = f"""

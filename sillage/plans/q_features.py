@@ -19,9 +19,9 @@ SELECT user_id, count(*) AS nb_actions_user,
 FROM clicks WHERE user_id IS NOT NULL GROUP BY user_id"""
 
 USER_SPEND_SQL = """
-SELECT user_id, CAST(sum(CAST(montant_paye AS DECIMAL(18,2))) AS DOUBLE) AS montant_total_depense,
+SELECT user_id, CAST(sum(CAST(montant_paye AS DECIMAL(38,10))) AS DOUBLE) AS montant_total_depense,
   count(*) AS nb_transactions_reussies,
-  CAST(sum(CAST(montant_paye AS DECIMAL(18,2))) AS DOUBLE) / count(montant_paye) AS panier_moyen
+  CAST(sum(CAST(montant_paye AS DECIMAL(38,10))) AS DOUBLE) / count(montant_paye) AS panier_moyen
 FROM transactions WHERE statut_paiement = 'succès' AND user_id IS NOT NULL GROUP BY user_id"""
 
 USER_SUPPORT_SQL = """
@@ -33,7 +33,7 @@ CATEGORY_SQL = """
 SELECT category,
   count(*) FILTER (WHERE action = 'purchase') / count(*) AS taux_achat_categorie,
   CASE WHEN count(price) > 0
-       THEN CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) END AS prix_moy_categorie
+       THEN CAST(sum(CAST(price AS DECIMAL(38,10))) AS DOUBLE) / count(price) END AS prix_moy_categorie
 FROM clicks WHERE category IS NOT NULL GROUP BY category"""
 
 CLICK_COLS = ["event_id", "session_id", "user_id", "product_id", "product_title", "category",

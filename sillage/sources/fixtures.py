@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..session import ensure_utc
 from .tables import read_table, spread
 
@@ -54,8 +55,13 @@ def _action(user: Column, etype: Column) -> Column:
     )
 
 
-def clicks(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> DataFrame:
-    """Clickstream view; one row per ``events`` row (``ts`` is read as UTC)."""
+def clicks(spark: SparkSession, sf_dir: str, with_event_id: bool = True,
+           columns: list[str] | None = None) -> DataFrame:
+    """Clickstream view; one row per ``events`` row (``ts`` is read as UTC).
+
+    ``columns`` names the columns wanted (default: all); a dimension table none of them
+    comes from is not joined."""
+    needs = set(columns or [f.name for f in S.CLICKSTREAM_SCHEMA.fields])
     ensure_utc(spark)
     ev = spread(read_table(spark, sf_dir, "events"), "event_id").select(
         "event_id", "ts", "user_id", "event_type", "value",
@@ -64,11 +70,17 @@ def clicks(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> Data
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
     bench = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
-    j = (ev.join(part, ev.k == part.p_partkey, "left")
-         .join(bench, (ev.event_id % 40) == bench.item_id, "left"))
+    j = ev
+    if needs & {"product_title", "category", "price", "rating"}:
+        j = j.join(part, ev.k == part.p_partkey, "left")
+    if "review_text" in needs:
+        # every benchmark row in turn: its number of rows is a scalar subquery
+        items = bench.agg(F.count(F.lit(1))).scalar()
+        j = j.withColumn("item", F.col("event_id") % items).join(bench, F.col("item") == bench.item_id, "left")
     eid = F.col("event_id")
     phrase = _pick(eid % 6, [PHRASES[0], PHRASES[1], PHRASES[2], None, PHRASES[4], PHRASES[5]])
-    cols = [
+    # columns of tables that were not joined are left out below, before they are resolved
+    rules = [
         F.lpad(F.lower(F.hex(eid)), 8, "0").alias("session_id"),
         F.col("user_id").cast("int").alias("user_id"),
         F.col("k").cast("int").alias("product_id"),
@@ -81,10 +93,11 @@ def clicks(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> Data
         F.floor("value").cast("int").alias("duree_visite"),
         _pick(eid % 7, SOURCE_BY_MOD7, "reseaux_sociaux").alias("source"),
         F.when(eid % 6 == 3, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.substring("text", 1, 80), F.lit(" "), phrase))
+         .otherwise(F.concat(F.col("text"), F.lit(" "), phrase))
          .alias("review_text"),
         (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("timestamp"),
     ]
+    cols = [c for f, c in zip(S.CLICKSTREAM_SCHEMA.fields, rules, strict=True) if f.name in needs]
     if with_event_id:
         cols = [eid] + cols
     return j.select(*cols)
@@ -92,7 +105,8 @@ def clicks(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> Data
 
 def transactions(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> DataFrame:
     """One payment per purchase click."""
-    c = clicks(spark, sf_dir).filter(F.col("action") == "purchase")
+    c = clicks(spark, sf_dir, columns=["session_id", "user_id", "product_id", "product_title", "category", "price", "action",
+                                       "timestamp"]).filter(F.col("action") == "purchase")
     eid = F.col("event_id")
     cols = [
         "session_id", "user_id", "product_id", "product_title", "category",
@@ -109,7 +123,7 @@ def transactions(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -
 
 def support(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> DataFrame:
     """Support tickets for 20 % of sessions."""
-    c = clicks(spark, sf_dir).filter((F.col("event_id") * 7) % 10 < 2)
+    c = clicks(spark, sf_dir, columns=["session_id", "user_id", "timestamp"]).filter((F.col("event_id") * 7) % 10 < 2)
     eid = F.col("event_id")
     cols = [
         "session_id", "user_id",
@@ -125,9 +139,7 @@ def support(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> Dat
 
 def defective(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks with injected defects plus 20 duplicated sessions, for quality checks."""
-    c = clicks(spark, sf_dir).select(
-        "event_id", "session_id", "user_id", "action", "category", "price", "rating",
-        "duree_visite")
+    c = clicks(spark, sf_dir, columns=["session_id", "user_id", "action", "category", "price", "rating", "duree_visite"])
     eid = F.col("event_id")
     changed = c.select(
         "event_id", "session_id", "user_id",
