@@ -1,8 +1,8 @@
 """Privacy operators: pseudonymisation, minimisation, erasure, retention.
 
 Erasure and retention never rewrite a table in place: the operators return the
-kept rows, and ``apply_erasure`` / ``apply_retention`` store them as a new version
-of each ``sinks.VersionedTable`` next to the old one.
+kept rows, and ``apply_erasure`` / ``apply_retention`` store them as a new version of
+each table (erasure then deletes the versions that hold the user).
 """
 
 from __future__ import annotations
@@ -70,54 +70,74 @@ def erase_counts(tables: Mapping[str, DataFrame], ids: Iterable[int] | DataFrame
     return out
 
 
-def retention_filter(df: DataFrame, as_of: str, days: int,
+def _cutoff(as_of: str, period: tuple[int, int]) -> Column:
+    """``as_of`` less (calendar years, days)."""
+    years, days = period
+    return F.to_timestamp(F.lit(as_of)) - F.make_interval(years=F.lit(years), days=F.lit(days))
+
+
+def retention_filter(df: DataFrame, as_of: str, period: int | tuple[int, int],
                      ts_seconds: str | Column = "timestamp") -> DataFrame:
-    """Rows not older than ``days`` before ``as_of`` (an explicit instant, never now())."""
-    cutoff = F.to_timestamp(F.lit(as_of)) - F.make_interval(days=F.lit(days))
-    return df.filter(event_time(ts_seconds) >= cutoff)
+    """Rows not older than ``period`` (days, or (calendar years, days)) before ``as_of``
+    (an explicit instant, never now()).  Rows without a date are kept: nothing says they
+    have expired; the report counts them."""
+    when = event_time(ts_seconds)
+    return df.filter(when.isNull() | (when >= _cutoff(as_of, (0, period) if isinstance(period, int) else period)))
 
 
 def retention_report(tables: Mapping[str, DataFrame], as_of: str,
-                     days: Mapping[str, int] | None = None) -> DataFrame:
-    """G4 report: kept and expired rows per table under its retention period."""
-    days = days or S.RETENTION_DAYS
+                     periods: Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
+    """G4 report: kept, expired and undated rows per table under its retention period."""
+    periods = periods or S.RETENTION
     out = None
     for name, df in tables.items():
-        cutoff = F.to_timestamp(F.lit(as_of)) - F.make_interval(days=F.lit(days[name]))
-        keep = event_time("timestamp") >= cutoff
-        r = df.agg(F.count_if(keep).alias("nb_conserves"),
-                   F.count_if(~keep).alias("nb_expires")).select(
-            F.lit(name).alias("table"), F.lit(days[name]).alias("jours"),
-            "nb_conserves", "nb_expires")
+        when = event_time("timestamp")
+        keep = when >= _cutoff(as_of, periods[name])
+        r = df.agg(F.count_if(keep).alias("nb_conserves"), F.count_if(~keep).alias("nb_expires"),
+                   F.count_if(when.isNull()).alias("nb_sans_date")).select(
+            F.lit(name).alias("table"), F.lit(periods[name][0]).alias("annees"),
+            F.lit(periods[name][1]).alias("jours"), "nb_conserves", "nb_expires", "nb_sans_date")
         out = r if out is None else out.unionByName(r)
     return out
 
 
 def apply_erasure(spark, tables: Mapping[str, str], ids: Iterable[int] | DataFrame,
                   column: str = "user_id") -> DataFrame:
-    """G3 applied: every versioned table holding ``column`` gets a new version without
-    the erased ids; returns the per-table count of removed rows."""
-    from .sinks import VersionedTable
-
-    current = {}
+    """G3 applied: every stored table holding ``column`` is rewritten without the erased
+    ids, versions and epochs that still hold them are deleted, and the count of removed
+    rows per table is returned.  Stop the streams that write these tables first: a batch in
+    flight would be built on the version before.  A path that holds neither versions nor
+    epochs is an error, not a table without the user."""
+    from .sinks import EpochSink, VersionedTable
+
+    stored = {}
     for name, path in tables.items():
-        df = VersionedTable(path).read(spark)
-        if df is not None and column in df.columns:
-            current[name] = df
-    report = erase_counts(current, ids, column).collect()
-    for name, df in current.items():
-        VersionedTable(tables[name]).write(erase(df, ids, column))
+        if VersionedTable(path).versions(spark):
+            stored[name] = (VersionedTable(path), VersionedTable(path).read(spark))
+        elif EpochSink(path).epochs(spark):
+            stored[name] = (EpochSink(path), EpochSink(path).read(spark))
+        else:
+            raise ValueError(f"no stored table to erase from at {path}")
+    stored = {name: (t, df) for name, (t, df) in stored.items() if column in df.columns}
+    if not stored:
+        return spark.createDataFrame([], "table string, nb_supprimes long")
+    report = erase_counts({name: df for name, (_, df) in stored.items()}, ids, column).collect()
+    for table, df in stored.values():
+        if isinstance(table, EpochSink):
+            table.replace(spark, lambda rows: erase(rows, ids, column))
+        else:
+            table.drop_before(spark, table.write(erase(df, ids, column)))
     return spark.createDataFrame(report, "table string, nb_supprimes long")
 
 
 def apply_retention(spark, tables: Mapping[str, str], as_of: str,
-                    days: Mapping[str, int] | None = None) -> None:
+                    periods: Mapping[str, tuple[int, int]] | None = None) -> None:
     """G4 applied: each versioned table gets a new version without expired rows."""
     from .sinks import VersionedTable
 
-    days = days or S.RETENTION_DAYS
+    periods = periods or S.RETENTION
     for name, path in tables.items():
         t = VersionedTable(path)
         df = t.read(spark)
         if df is not None:
-            t.write(retention_filter(df, as_of, days[name]))
+            t.write(retention_filter(df, as_of, periods[name]))

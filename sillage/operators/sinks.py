@@ -4,18 +4,23 @@ The reference appends every micro-batch to a document store (a replayed batch is
 inserted twice) and upserts into a keyed store row by row from the driver.  Here
 every write is a Spark job on the executors into the shared folder:
 
-* ``EpochSink``  – each micro-batch overwrites ``<path>/epoch=<id>``; replaying an
-  epoch rewrites the same folder, so the table holds it once.
-* ``KeyedTable`` – last-write-wins on a key.  Each batch produces a new version
-  folder ``<path>/v=<epoch>`` from the latest committed version plus the batch;
-  a version is committed when its ``_SUCCESS`` marker exists, so a crash midway
-  leaves the previous version readable and a replay rebuilds the same version.
+* ``EpochSink``  – each micro-batch overwrites its own folder; replaying an epoch
+  rewrites the same folder, so the table holds it once.
+* ``KeyedTable`` – last-write-wins on a key.  Each batch produces a new version folder
+  from the latest committed version plus the batch; a version is committed when its
+  ``_SUCCESS`` marker exists, so a crash midway leaves the previous version readable.
+* ``CountTable`` – the same, adding each batch's counts by key.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _fs(spark: SparkSession, path: str):
@@ -24,8 +29,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def query_id(spark: SparkSession) -> str:
+    """Short id of the streaming query a ``foreachBatch`` call belongs to (it lives in the
+    checkpoint, so a new checkpoint is a new id); ``""`` outside a stream."""
+    return (spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "")[:8]
+
+
 class EpochSink:
-    """K1/T5: ``foreachBatch`` target writing each non-empty batch to its own folder."""
+    """K1/T5: ``foreachBatch`` target writing each non-empty batch to its own folder.
+
+    The folder carries the checkpoint's query id, so a stream restarted with a new
+    checkpoint appends beside the old epochs instead of writing over them."""
 
     def __init__(self, path: str, partition_cols: list[str] | None = None):
         self.path = path.rstrip("/")
@@ -34,13 +48,39 @@ class EpochSink:
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
         if df.isEmpty():
             return
+        self._write(df, f"epoch={epoch_id}-{query_id(df.sparkSession)}".rstrip("-"))
+
+    def _write(self, df: DataFrame, folder: str) -> None:
         w = df.write.mode("overwrite")
         if self.partition_cols:
             w = w.partitionBy(*self.partition_cols)
-        w.parquet(f"{self.path}/epoch={epoch_id}")
+        w.parquet(f"{self.path}/{folder}")
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+    def epochs(self, spark: SparkSession) -> list[str]:
+        """Folders of committed epochs (``_SUCCESS`` marker present)."""
+        fs, base, jvm = _fs(spark, self.path)
+        if not fs.exists(base):
+            return []
+        paths = [st.getPath() for st in fs.listStatus(base)]
+        return sorted(p.getName() for p in paths if p.getName().startswith("epoch=")
+                      and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+    def read(self, spark: SparkSession, schema: str | StructType | None = None) -> DataFrame:
+        """All committed epochs; with none yet, an empty frame of ``schema``."""
+        folders = self.epochs(spark)
+        if not folders:
+            return spark.createDataFrame([], schema or StructType())
+        return spark.read.option("basePath", self.path).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def replace(self, spark: SparkSession, change) -> None:
+        """Rewrite every epoch as ``change(rows)``.  The new folder is complete before the
+        old one goes; names with a leading underscore are invisible to readers."""
+        for folder in self.epochs(spark):
+            fs, old, jvm = _fs(spark, f"{self.path}/{folder}")
+            new = f"_new-{folder}"
+            self._write(change(spark.read.parquet(str(old))), new)
+            fs.delete(old, True)
+            fs.rename(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{new}"), old)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "_epoch") -> DataFrame:
@@ -59,48 +99,71 @@ def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "_epoch") ->
 
 def upsert(current: DataFrame | None, batch: DataFrame, keys: list[str], epoch_id: int,
            order_col: str = "_epoch") -> DataFrame:
-    """K2: current table + batch, last write wins per key (later epoch, then content)."""
+    """K2: current table + batch, last write wins per key (later write, then content).
+
+    Rows without a complete key (undecodable lines) replace nothing and are all kept."""
     b = batch.withColumn(order_col, F.lit(int(epoch_id)).cast("long"))
     u = b if current is None else current.unionByName(b)
-    return latest_per_key(u, keys, order_col)
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    return latest_per_key(u.filter(whole), keys, order_col).unionByName(u.filter(~whole))
 
 
 class VersionedTable:
-    """A table stored as version folders ``<path>/v=<n>``; the highest committed
-    version (``_SUCCESS`` marker present) is current.  Writers never touch the folder
-    they read, so a failed job leaves the current version intact (K4, G3, G4)."""
+    """A table stored as version folders; the highest committed version (``_SUCCESS``
+    marker present) is current.  Writers never touch the folder they read, so a failed
+    job leaves the current version intact (K4, G3, G4).
+
+    A folder is named ``v=<n>`` or, when a stream writes it, ``v=<n>.e=<epoch>.q=<query>``:
+    version numbers and epochs are apart, and both are committed by one marker."""
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
 
-    def versions(self, spark: SparkSession) -> list[int]:
+    def _entries(self, spark: SparkSession) -> list[tuple[int, int | None, str, str]]:
+        """(version, last epoch, query id, folder) of committed versions, ascending."""
         fs, base, jvm = _fs(spark, self.path)
         if not fs.exists(base):
             return []
         out = []
         for st in fs.listStatus(base):
             name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
+            m = re.fullmatch(r"v=(\d+)(?:\.e=(\d+)\.q=(.*))?", name)
+            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append((int(m[1]), int(m[2]) if m[2] else None, m[3] or "", name))
         return sorted(out)
 
+    def versions(self, spark: SparkSession) -> list[int]:
+        return [e[0] for e in self._entries(spark)]
+
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self.versions(spark) if before is None or v < before]
-        if not vs:
-            return None
-        return spark.read.parquet(f"{self.path}/v={vs[-1]}")
-
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Store ``df`` as a new version (default: one above the current); returns it."""
-        if version is None:
-            vs = self.versions(df.sparkSession)
-            version = (vs[-1] + 1) if vs else 0
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        es = [e for e in self._entries(spark) if before is None or e[0] < before]
+        return spark.read.parquet(f"{self.path}/{es[-1][3]}") if es else None
+
+    def write(self, df: DataFrame, epoch: int | None = None, query: str = "") -> int:
+        """Store ``df`` as the next version and return its number; without ``epoch`` the
+        last epoch written by a stream stays on record."""
+        es = self._entries(df.sparkSession)
+        version = es[-1][0] + 1 if es else 0
+        if epoch is None and es:
+            _, epoch, query, _ = es[-1]
+        name = f"v={version}" if epoch is None else f"v={version}.e={epoch}.q={query}"
+        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
         return version
 
+    def drop_before(self, spark: SparkSession, version: int) -> None:
+        """Delete the versions before ``version`` (erased rows must not stay on disk)."""
+        fs, base, jvm = _fs(spark, self.path)
+        for st in fs.listStatus(base):
+            m = re.match(r"v=(\d+)", st.getPath().getName())
+            if m and int(m[1]) < version:
+                fs.delete(st.getPath(), True)
+
 
 class KeyedTable(VersionedTable):
-    """K2: ``foreachBatch`` target keeping the latest row per key in versioned folders."""
+    """K2: ``foreachBatch`` target keeping the latest row per key in versioned folders.
+
+    A batch is skipped as a replay only if the same query (checkpoint) has already
+    committed its epoch; a stream with a new checkpoint is a new writer."""
 
     def __init__(self, path: str, keys: list[str]):
         super().__init__(path)
@@ -108,10 +171,27 @@ class KeyedTable(VersionedTable):
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
         spark = df.sparkSession
-        if df.isEmpty() or epoch_id in self.versions(spark):
-            return  # nothing new, or this epoch is already committed (replay)
-        current = self.read(spark, before=epoch_id)
-        self.write(upsert(current, df, self.keys, epoch_id), epoch_id)
+        if df.isEmpty():
+            return
+        query = query_id(spark)
+        es = self._entries(spark)
+        if es and es[-1][1] is not None and es[-1][2] == query and epoch_id <= es[-1][1]:
+            return  # this epoch is already committed (replay)
+        version = es[-1][0] + 1 if es else 0
+        self.write(self.merged(self.read(spark), df, version), epoch_id, query)
+
+    def merged(self, current: DataFrame | None, batch: DataFrame, version: int) -> DataFrame:
+        return upsert(current, batch, self.keys, version)
+
+
+class CountTable(KeyedTable):
+    """Running totals by key: each batch's partial sums are added to the table.
+
+    The totals need no streaming state and no watermark, so no row is ever too late."""
+
+    def merged(self, current: DataFrame | None, batch: DataFrame, version: int) -> DataFrame:
+        u = batch if current is None else current.unionByName(batch)
+        return u.groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in batch.columns if c not in self.keys])
 
 
 def preview(df: DataFrame, n: int, order_cols: list[str], columns: list) -> DataFrame:

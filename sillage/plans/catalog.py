@@ -38,12 +38,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from . import q_dashboard, q_features, q_governance, q_quality, q_streaming, q_text  # noqa: F401
-    try:
-        from . import q_ml  # noqa: F401
-    except ImportError as e:
-        if "q_ml" not in str(e):
-            raise
+    from . import q_dashboard, q_features, q_governance, q_ml, q_quality, q_streaming, q_text  # noqa: F401
 
 
 __all__ = ["register", "queries", "oracle_sql"]

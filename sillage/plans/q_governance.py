@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import schemas as S
 from ..operators import governance as G
 from ..operators import sinks as K
@@ -52,12 +54,18 @@ def _erase_counts(spark, sf_dir):
     return K.write_json_report(report, scratch_path(spark, "rapport-effacement"))
 
 
+#: For the query: every 50th payment has lost its date.
+UNDATED = 50
+
+
 def _ret_sql(name: str, view: str) -> str:
-    d = S.RETENTION_DAYS[name]
-    keep = (f"make_timestamp(CAST(round(\"timestamp\" * 1000000) AS BIGINT)) >= "
-            f"TIMESTAMP '{AS_OF}' - INTERVAL {d} DAY")
-    return (f"SELECT '{name}' AS \"table\", {d} AS jours, count(*) FILTER (WHERE {keep}) AS nb_conserves, "
-            f"count(*) FILTER (WHERE NOT ({keep})) AS nb_expires FROM {view}")
+    years, days = S.RETENTION[name]
+    ts = f'CASE WHEN event_id % {UNDATED} = 0 THEN NULL ELSE "timestamp" END' if name == "transactions" else '"timestamp"'
+    keep = (f"make_timestamp(CAST(round(({ts}) * 1000000) AS BIGINT)) >= "
+            f"TIMESTAMP '{AS_OF}' - INTERVAL {years} YEAR - INTERVAL {days} DAY")
+    return (f"SELECT '{name}' AS \"table\", {years} AS annees, {days} AS jours, "
+            f"count(*) FILTER (WHERE {keep}) AS nb_conserves, count(*) FILTER (WHERE NOT ({keep})) AS nb_expires, "
+            f"count(*) FILTER (WHERE ({ts}) IS NULL) AS nb_sans_date FROM {view}")
 
 
 @register("retention", O.with_fixtures("\nUNION ALL ".join([
@@ -65,11 +73,27 @@ def _ret_sql(name: str, view: str) -> str:
     _ret_sql("service_client", "support")])))
 def _retention(spark, sf_dir):
     j = FX.journey(spark, sf_dir)
-    return G.retention_report({"clickstream": j.clicks, "transactions": j.transactions,
+    undated = j.transactions.withColumn("timestamp", F.when(F.col("event_id") % UNDATED != 0, F.col("timestamp")))
+    return G.retention_report({"clickstream": j.clicks, "transactions": undated,
                                "service_client": j.support}, AS_OF)
 
 
 
+@register("erase_applied", O.with_fixtures(f"""
+SELECT session_id, user_id FROM clicks WHERE user_id IS NULL OR user_id NOT IN ({_IDS})
+UNION ALL SELECT 'late', 7"""))
+def _erase_applied(spark, sf_dir):
+    """G3 on a live keyed table: two batches, erasure, and one more batch of the stream
+    (the erased user comes back with a new session, which must not be lost)."""
+    clicks = FX.clicks(spark, sf_dir).select("event_id", "session_id", "user_id")
+    table = K.KeyedTable(scratch_path(spark, "erase-live"), ["session_id"])
+    for epoch in (0, 1):
+        table(clicks.filter(F.col("event_id") % 2 == epoch).drop("event_id"), epoch)
+    G.apply_erasure(spark, {"clickstream": table.path}, ERASE_IDS)
+    table(spark.createDataFrame([("late", 7)], "session_id string, user_id int"), 2)
+    return table.read(spark).select("session_id", "user_id")
+
+
 @register("pseudonymise_preview", O.with_fixtures(
     "SELECT session_id, user_id, substr(sha256(CAST(CAST(user_id AS BIGINT) AS VARCHAR)), 1, 12) "
     "AS user_id_anonyme FROM clicks ORDER BY \"timestamp\", session_id LIMIT 5"))

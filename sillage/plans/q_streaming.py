@@ -89,12 +89,11 @@ def stream_support(spark, sf_dir):
 
 @register("stream_conversion", O.with_fixtures(_MINUTE_SQL))
 def stream_conversion(spark, sf_dir):
-    """Per-minute purchases/abandons kept current by an update-mode stream,
-    upserted by minute into a keyed table."""
+    """Per-minute purchases/abandons, added up by minute over several micro-batches."""
     out = _stream_to_table(
         spark, sf_dir, "clickstream", S.CLICKSTREAM_SCHEMA,
         lambda sp, src: J.conversion_stream(J.clicks_stream(sp, src, None)),
-        sink_cls=K.KeyedTable, output_mode="update", keys=["minute"])
+        sink_cls=K.CountTable, files_per_batch=3, keys=["minute"])
     return out.select("minute", "achats", "abandons")
 
 

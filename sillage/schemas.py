@@ -129,8 +129,9 @@ NEEDED_COLUMNS = ["session_id", "user_id", "action", "category", "price", "ratin
                   "source", "timestamp"]
 SENSITIVE_COLUMNS = ["review_text", "page_visitee", "duree_visite"]
 
-# Retention periods per table, in days (90 days, 5 years, 3 years).
-RETENTION_DAYS = {"clickstream": 90, "transactions": 5 * 365, "service_client": 3 * 365}
+# Retention periods per table: (calendar years, days).  Enriched clicks are clicks.
+RETENTION = {"clickstream": (0, 90), "transactions": (5, 0), "service_client": (3, 0),
+             "clickstream_enrichi": (0, 90)}
 
 # Dashboard alert thresholds.
 ALERT_CONVERSION_MIN = 50.0

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
-from ..functions.columns import event_time
-from ..operators.sinks import EpochSink, KeyedTable
+from ..functions.columns import minute_of
+from ..operators.sinks import CountTable, EpochSink, KeyedTable
 from ..sources import events as EV
 
 
@@ -69,20 +69,17 @@ def run_consumers(spark: SparkSession, specs: dict[str, StreamSpec], variant: st
     return queries
 
 
-def conversion_stream(clicks: DataFrame, watermark: str | None = "2 minutes") -> DataFrame:
-    """Purchases and abandons per event-time minute, kept current (update mode).
+def conversion_stream(clicks: DataFrame) -> DataFrame:
+    """Purchases and abandons with their event-time minute, one row per click.
 
-    The watermark bounds the state: a minute older than the watermark is final and
-    dropped from state; events later than that are ignored.
+    A ``CountTable`` keyed by minute adds them up batch by batch.  No watermark: a click
+    that comes late is added to its minute whenever it comes, and the stream holds no state.
     """
-    ev = (clicks.filter(F.col("action").isin("purchase", "abandon"))
-          .withColumn("event_time", event_time("timestamp")))
-    if watermark:
-        ev = ev.withWatermark("event_time", watermark)
-    return (ev.groupBy(F.window("event_time", "1 minute").alias("w"))
-            .agg(F.count_if(F.col("action") == "purchase").alias("achats"),
-                 F.count_if(F.col("action") == "abandon").alias("abandons"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("minute"), "achats", "abandons"))
+    a = F.col("action")
+    return (clicks.filter(a.isin("purchase", "abandon"))
+            .select(minute_of("timestamp").alias("minute"),
+                    (a == "purchase").cast("long").alias("achats"),
+                    (a == "abandon").cast("long").alias("abandons")))
 
 
 def kpi_stream(clicks: DataFrame) -> DataFrame:
@@ -110,6 +107,6 @@ def run_once(df: DataFrame, sink, checkpoint: str, name: str,
         raise RuntimeError(str(q.exception()))
 
 
-__all__ = ["StreamSpec", "EpochSink", "KeyedTable", "clicks_stream", "transactions_stream",
+__all__ = ["StreamSpec", "EpochSink", "KeyedTable", "CountTable", "clicks_stream", "transactions_stream",
            "support_stream", "conversion_stream", "kpi_stream", "run_once", "run_consumers",
            "start"]
