@@ -57,7 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator reads the setting the cluster gives.  Only when it
-    is unset (local tests) do we create one, under the system temp folder.
+    is unset and the master is local do we create one, under the system temp folder; on
+    a cluster an unset folder is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -66,8 +67,9 @@ def shared_dir(spark: SparkSession) -> str:
     except Exception:  # Spark Connect: no SparkContext, the session conf is the source
         sc = None
     if not path:
-        path = tempfile.mkdtemp(prefix="sillage-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="sillage-ckpt-")  # one machine: its temp folder is shared
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
