@@ -35,6 +35,8 @@ from ..operators.joins import materialize
 from .common import WORD, row_key
 
 MIN_WORDS = 50
+#: The table of lines that go is broadcast up to this size, else joined by shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -122,7 +124,11 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
 def remove_copies(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the column ``text_col`` rid of later copies, and ``n_lines`` and
     ``n_removed`` of each row beside it (as ``__n_lines`` and ``__n_removed``)."""
-    gone = find_copies(docs, min_words, id_col, text_col).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("gone").alias("__gone"))
+    gone = find_copies(docs, min_words, id_col, text_col)
+    places = gone.agg(F.sum(F.size("gone"))).first()[0] or 0
+    small = 64 * gone._sillage_rows + 4 * places <= BROADCAST_BYTES  # measured, not estimated
+    gone = gone.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("gone").alias("__gone"))
+    gone = F.broadcast(gone) if small else gone
     k1, k2 = row_key(id_col, text_col)
     rows = docs.join(gone, (k1 == F.col("__k1")) & (k2 == F.col("__k2")), "left").drop("__k1", "__k2")
     rows = rows.withColumn("__lines", F.split(text_col, "\n", -1))
