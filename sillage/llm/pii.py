@@ -33,7 +33,7 @@ SCHEMES = ("http://", "https://", "ftp://", "ssh://")
 ACCOUNT_CUES = ("account number", "account no", "account:", "acct", "passport", "ssn", "tax id", "routing number")
 STREET_CUES = (" Street", " Avenue", " Road", " Boulevard", " Lane", " Drive", " Rue ", "straße", " Calle ")
 
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+$")
+_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])*")
@@ -41,7 +41,7 @@ _PHONE_TAIL = re.compile(r"[ ().0-9-]+")
 _USERINFO = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=-]+:[^\s/@:]+@[A-Za-z0-9.-]+")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _ACCOUNT = re.compile(r"(?: is| number| no\.?)?[ :#=]{1,3}([A-Z]{0,2}[0-9][0-9-]{4,20}[0-9])(?![0-9])")
-_STREET_BEFORE = re.compile(r"(?<![0-9A-Za-z.])([0-9]{1,5}[A-Za-z]?(?: [A-Z][A-Za-z'-]{0,30}){0,4})$")
+_STREET_BEFORE = re.compile(r"(?<![0-9A-Za-z.])([0-9]{1,5}[A-Za-z]?(?: [A-Z][A-Za-z'-]{0,30}){0,4})\Z")
 _STREET_AFTER = re.compile(r"(?:,? [0-9]{1,5}[A-Za-z]?)?(?:, [A-Z][A-Za-z'-]{1,30}(?: [A-Z][A-Za-z'-]{1,30})?)?(?: [0-9]{5}(?:-[0-9]{4})?)?")
 #: A local part longer than this is read from the run's own start, not by the tail search.
 _NEAR = 96
@@ -153,7 +153,7 @@ def _street(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None
     if after.isalpha():
         return
     if cue == "straße":
-        left = re.compile(r"[A-ZÄÖÜ][a-zäöüß]{0,30}$").search(text, max(0, start - 40), start)
+        left = re.compile(r"[A-ZÄÖÜ][a-zäöüß]{0,30}\Z").search(text, max(0, start - 40), start)
         right = re.compile(r" [0-9]{1,5}[a-z]?(?![0-9])").match(text, end)
         if left and right:
             out.append((left.start(), right.end()))
