@@ -7,8 +7,8 @@ Routing.  A tree over a whole corpus would have saturated bitmaps, so entities a
 split into clusters that no link crosses.  Sets are indexed by size class; in a class at
 most D hashes differ between two linked sets, so of k > D ranges of the hash space at least
 one holds the same hashes in both.  Each set emits a key per range (a digest of its hashes
-there); sets that share a key hang under the least of them, and the connected components
-of these routes are the clusters.  A passage quoted by many texts does not pull them
+there, left out where it would cover fewer than two); sets that share a key are chained, and the connected components of these routes
+are the clusters.  A passage quoted by many texts does not pull them
 together unless a whole range agrees.  Links found: all; only the routes may be in vain.
 
 Signature trees.  The sets of a cluster, sorted by size, are leaves of a tree whose nodes
@@ -38,7 +38,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_small, materialize
@@ -50,6 +50,8 @@ LEAF, FANOUT = 32, 4
 #: 64-bit words of two leaves' bitmaps compared at once.
 LEAF_WORDS = 1 << 19
 MAX_BITS = 1 << 17
+#: Sets whose keys a partition remembers having given.
+HELD_SETS = 500_000
 
 
 # -- sets, size classes and routing keys ------------------------------------------------
@@ -76,7 +78,7 @@ def most_different(num: int, den: int, sizes: int) -> int:
 def _ranges(c: int, num: int, den: int) -> tuple[int, np.ndarray, np.ndarray]:
     """Of a class: how many ranges must agree, the ranges' inner bounds, and their marks."""
     differ = most_different(num, den, 2 * (int(class_starts(num, den)[c + 1]) - 1))
-    k = differ + 2 + differ // 12  # a few ranges more, so that empty ones alone rarely matter
+    k = differ + 2 + differ // 8  # some ranges more, so that weak ones are rarely needed
     places = np.arange(1, k, dtype=np.uint64) * np.uint64((1 << 64) // k)
     return k - differ, places, mix64(np.arange(k, dtype=np.uint64) + np.uint64((c + 1) << 40))
 
@@ -91,10 +93,11 @@ def route_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
         agree, places, marks = _ranges(c, num, den)
         bounds = np.concatenate(([0], np.searchsorted(tokens, places), [len(tokens)]))
         keys = np.diff(sums[bounds]) + marks
-        empty = np.flatnonzero(bounds[1:] == bounds[:-1])
-        if len(empty):
-            # ``agree`` ranges agree at least; if all of them can be empty, some empty ones are keys too
-            keys = np.delete(keys, empty[max(0, len(empty) - agree + 1) :])
+        weak = np.flatnonzero(bounds[1:] - bounds[:-1] < 2)
+        if len(weak):
+            # a range of one hash, often a common shingle's, tells little; ``agree`` ranges agree at
+            # least, so weak ones are keys only as far as all that agree could be weak
+            keys = np.delete(keys, weak[max(0, len(weak) - agree + 1) :])
         out.append(keys)
     return mix64(np.concatenate(out)).view(np.int64)
 
@@ -109,24 +112,34 @@ def set_id(tokens: np.ndarray) -> bytes | None:
 
 
 def _features(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``rows`` (k1, k2, doc_id, text) -> (k1, k2, doc_id, n, uid, keys)."""
+    """``rows`` (k1, k2, doc_id, text) -> (k1, k2, doc_id, n, uid, rid, keys).
+
+    ``rid`` is the first half of ``uid``: a short name for routing, where one name for two
+    sets would only join two clusters.  A set's keys are given once per partition, so a
+    text copied into a third of all rows adds one list per partition."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
+            if len(seen) > HELD_SETS:
+                seen.clear()
             n, uid, keys, ends = [], [], [], [0]
             for tokens in sets_of(batch.column("text"), width):
                 n.append(len(tokens))
                 uid.append(set_id(tokens))
-                if len(tokens):
+                new = uid[-1] is not None and uid[-1] not in seen
+                if new:
+                    seen.add(uid[-1])
                     keys.append(route_keys(tokens, num, den))
-                ends.append(ends[-1] + (len(keys[-1]) if len(tokens) else 0))
+                ends.append(ends[-1] + (len(keys[-1]) if new else 0))
+            rid = [None if u is None else int.from_bytes(u[:8], "little", signed=True) for u in uid]
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("k1", "k2", "doc_id")), pa.array(n, pa.int64()),
-                                              pa.array(uid, pa.binary()), lists], ["k1", "k2", "doc_id", "n", "uid", "keys"])
+                                              pa.array(uid, pa.binary()), pa.array(rid, pa.int64()), lists], ["k1", "k2", "doc_id", "n", "uid", "rid", "keys"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"k1 bigint, k2 bigint, doc_id {id_type}, n bigint, uid binary, keys array<bigint>")
+    return rows.mapInArrow(scan, f"k1 bigint, k2 bigint, doc_id {id_type}, n bigint, uid binary, rid bigint, keys array<bigint>")
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
@@ -282,13 +295,15 @@ def _linked(members: DataFrame, sets: DataFrame, num: int, den: int, name: str)
 def links(features: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Verified spanning links (a, b) between the entities of ``features``; ``texts`` has
     (k1, k2, text) of the same rows."""
-    keyed = features.where("uid is not null").select("uid", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first < last").select("key", "first")
-    routes = keyed.join(shared, "key").where("uid != first").select(F.col("uid").alias("a"), F.col("first").alias("b"))
+    # the sets of a key form a chain in name order: one shuffle of two numbers a row, and the
+    # look back by one row needs no memory however many sets share the key
+    keyed = features.select("rid", F.explode("keys").alias("key"))
+    last = F.lag("rid").over(Window.partitionBy("key").orderBy("rid"))
+    routes = keyed.select(F.col("rid").alias("a"), last.alias("b")).where("a != b")
     clusters = connected_components(routes, "routes")
-    one = features.where("uid is not null").groupBy("uid").agg(
+    one = features.where("uid is not null").groupBy("uid", "rid").agg(
         F.min(F.struct("k1", "k2")).alias("row"), F.max("n").alias("n"))
-    members = materialize(clusters.withColumnRenamed("id", "uid").join(one, "uid")
+    members = materialize(clusters.withColumnRenamed("id", "rid").join(one, "rid")
                           .select("uid", "root", "n", F.col("row.k1").alias("k1"), F.col("row.k2").alias("k2")), "members")
     # the sets of cluster members only, from their own rows' texts
     wanted = members.select("k1", "k2")
