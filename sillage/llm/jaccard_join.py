@@ -7,9 +7,10 @@ Routing.  A tree over a whole corpus would have saturated bitmaps, so entities a
 split into clusters that no link crosses.  Sets are indexed by size class; in a class at
 most D hashes differ between two linked sets, so of k > D ranges of the hash space at least
 one holds the same hashes in both.  Each set emits a key per range (a digest of its hashes
-there, left out where it would cover fewer than two); sets that share a key are chained, and the connected components of these routes
-are the clusters.  A passage quoted by many texts does not pull them
-together unless a whole range agrees.  Links found: all; only the routes may be in vain.
+there, left out where it covers fewer than two).  Sets that share a key are routed
+together if their parity maps, a bit a hash, allow a link: the XOR of two maps bounds the
+sets' difference from below.  The connected components of these routes are the clusters.
+Links found: all; only the routes may be in vain.
 
 Signature trees.  The sets of a cluster, sorted by size, are leaves of a tree whose nodes
 hold the OR of their sets' token bitmaps, their size range and the most tokens that
@@ -52,6 +53,8 @@ LEAF_WORDS = 1 << 19
 MAX_BITS = 1 << 17
 #: Sets whose keys a partition remembers having given.
 HELD_SETS = 500_000
+#: Sets of one key that are compared with each other before clusters are formed.
+GROUP_SETS = 4096
 
 
 # -- sets, size classes and routing keys ------------------------------------------------
@@ -112,7 +115,7 @@ def set_id(tokens: np.ndarray) -> bytes | None:
 
 
 def _features(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``rows`` (k1, k2, doc_id, text) -> (k1, k2, doc_id, n, uid, rid, keys).
+    """``rows`` (k1, k2, doc_id, text) -> (k1, k2, doc_id, n, uid, rid, keys, map).
 
     ``rid`` is the first half of ``uid``: a short name for routing, where one name for two
     sets would only join two clusters.  A set's keys are given once per partition, so a
@@ -123,7 +126,7 @@ def _features(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
         for batch in batches:
             if len(seen) > HELD_SETS:
                 seen.clear()
-            n, uid, keys, ends = [], [], [], [0]
+            n, uid, keys, ends, maps = [], [], [], [0], []
             for tokens in sets_of(batch.column("text"), width):
                 n.append(len(tokens))
                 uid.append(set_id(tokens))
@@ -132,14 +135,82 @@ def _features(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
                     seen.add(uid[-1])
                     keys.append(route_keys(tokens, num, den))
                 ends.append(ends[-1] + (len(keys[-1]) if new else 0))
+                maps.append(parity_map(tokens) if new else None)
             rid = [None if u is None else int.from_bytes(u[:8], "little", signed=True) for u in uid]
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("k1", "k2", "doc_id")), pa.array(n, pa.int64()),
-                                              pa.array(uid, pa.binary()), pa.array(rid, pa.int64()), lists], ["k1", "k2", "doc_id", "n", "uid", "rid", "keys"])
+                                              pa.array(uid, pa.binary()), pa.array(rid, pa.int64()), lists, pa.array(maps, pa.binary())], ["k1", "k2", "doc_id", "n", "uid", "rid", "keys", "map"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"k1 bigint, k2 bigint, doc_id {id_type}, n bigint, uid binary, rid bigint, keys array<bigint>")
+    return rows.mapInArrow(scan, f"k1 bigint, k2 bigint, doc_id {id_type}, n bigint, uid binary, rid bigint, keys array<bigint>, map binary")
+
+
+def parity_map(tokens: np.ndarray) -> bytes:
+    """Per bit whether an odd number of the hashes fall on it; about a bit a hash."""
+    bits = 64
+    while bits < min(len(tokens), MAX_BITS):
+        bits *= 2
+    place = (mix64(tokens) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def _folded(raw: bytes, size: int) -> int:
+    """A map as a number of ``size`` bytes: the halves of a longer one XORed."""
+    while len(raw) > size:
+        half = len(raw) // 2
+        raw = (int.from_bytes(raw[:half], "little") ^ int.from_bytes(raw[half:], "little")).to_bytes(half, "little")
+    return int.from_bytes(raw, "little")
+
+
+def route_forest(group: list[tuple[int, int, bytes]], num: int, den: int) -> list[tuple[int, int]]:
+    """Of sets (rid, n, map) that share a key: a spanning forest of the pairs that may link,
+    as the XOR of two parity maps never has more bits than the sets' difference."""
+    size = min(len(g[2]) for g in group)
+    group = sorted({g[0]: (g[1], g[0], _folded(g[2], size)) for g in group}.values())
+    label, out = list(range(len(group))), []
+    for j, (n, rid, bits) in enumerate(group):
+        for i in range(j - 1, -1, -1):
+            m = group[i][0]
+            if m * den < n * num:
+                break  # sorted by size: all before are smaller still
+            if label[i] != label[j] and (bits ^ group[i][2]).bit_count() * (num + den) <= (den - num) * (n + m):
+                out.append((group[i][1], rid))
+                old, new = label[j], label[i]
+                label = [new if x == old else x for x in label]
+    return out
+
+
+def _routes(num: int, den: int):
+    """Rows (key, rid, n, map) sorted by key -> routes (a, b).  A key of more than
+    ``GROUP_SETS`` sets routes them all to one cluster, in blocks of bounded memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last, large = [], None, False
+        out: list[tuple[int, int]] = []
+
+        def flush() -> None:
+            if large:
+                out.extend((held[k][0], held[k + 1][0]) for k in range(len(held) - 1))
+            elif len(held) > 1:
+                out.extend(route_forest(held, num, den))
+
+        for batch in batches:
+            for key, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "rid", "n", "map"))):
+                if key != last:
+                    flush()
+                    held, last, large = [], key, False
+                held.append(row)
+                if len(held) > GROUP_SETS:
+                    large = True
+                    flush()
+                    held = held[-1:]
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+            out.clear()
+        flush()
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
@@ -295,12 +366,16 @@ def _linked(members: DataFrame, sets: DataFrame, num: int, den: int, name: str)
 def links(features: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Verified spanning links (a, b) between the entities of ``features``; ``texts`` has
     (k1, k2, text) of the same rows."""
-    # the sets of a key form a chain in name order: one shuffle of two numbers a row, and the
-    # look back by one row needs no memory however many sets share the key
+    # which keys are shared: one shuffle of two numbers a row, and looking one row back and
+    # ahead needs no memory however many sets share a key
     keyed = features.select("rid", F.explode("keys").alias("key"))
-    last = F.lag("rid").over(Window.partitionBy("key").orderBy("rid"))
-    routes = keyed.select(F.col("rid").alias("a"), last.alias("b")).where("a != b")
-    clusters = connected_components(routes, "routes")
+    place = Window.partitionBy("key").orderBy("rid")
+    keyed = keyed.withColumn("last", F.lag("rid").over(place)).withColumn("next", F.lead("rid").over(place))
+    shared = materialize(keyed.where("rid != last or rid != next").select("key", "rid"), "shared")
+    maps = features.where("map is not null").select("uid", "rid", "n", "map").dropDuplicates(["uid"])
+    work = (shared.join(maps, "rid").select("key", "rid", "n", "map")
+            .repartition("key").sortWithinPartitions("key"))
+    clusters = connected_components(work.mapInArrow(_routes(num, den), "a bigint, b bigint"), "routes")
     one = features.where("uid is not null").groupBy("uid", "rid").agg(
         F.min(F.struct("k1", "k2")).alias("row"), F.max("n").alias("n"))
     members = materialize(clusters.withColumnRenamed("id", "rid").join(one, "rid")
