@@ -14,7 +14,7 @@ from ..operators.joins import materialize
 #: White space of the contracts: U+0020 and U+0009..U+000D.
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Rows per Arrow batch handed to Python; texts may be long, so batches stay small.
-ARROW_ROWS = 512
+ARROW_ROWS = 128
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
