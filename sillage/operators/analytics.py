@@ -140,8 +140,8 @@ def alerts(kpi_row: DataFrame) -> DataFrame:
     )
     rows = F.expr(
         "stack(3, "
-        "'conversion', v1, CAST(50.0 AS DOUBLE), d1, true, "
-        "'paiements_echoues', v2, CAST(10.0 AS DOUBLE), d2, has_tx, "
+        f"'conversion', v1, CAST({S.ALERT_CONVERSION_MIN} AS DOUBLE), d1, true, "
+        f"'paiements_echoues', v2, CAST({S.ALERT_FAILED_PAYMENTS_MAX} AS DOUBLE), d2, has_tx, "
         "'abandons_vs_achats', v3, s3, d3, true"
         ") AS (alerte, valeur, seuil, declenchee, visible)")
     return (k.select(rows).filter("visible")

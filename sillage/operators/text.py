@@ -9,7 +9,8 @@ Small dictionaries (stop words, lemma pairs, lexicon) become literal arrays or m
 in the plan.  Map lookups scan the keys, so a lexicon given as a DataFrame is used
 that way only when its row count is proven below ``MAX_LITERAL_ROWS``; a larger one
 is hash-joined instead (each distinct review text is exploded to words and joined
-with the lexicon, then the per-text means are joined back).
+with the lexicon, then the per-text means are joined back).  Both give the same scores: a
+repeated word first becomes one row of its mean scores, and null scores are left out.
 
 Sentiment is the mean polarity (and subjectivity) of the review words found in
 the lexicon, 0.0 when none is found.  Unlike the reference's library, intensifiers
@@ -21,13 +22,15 @@ the same.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import lru_cache
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import col_, review_clean, sentiment_label
-from .joins import broadcast_if_small, materialize, row_count_at_most
+from .joins import BROADCAST_MAX_BYTES, materialize, row_count_at_most
 
 MAX_LITERAL_ROWS = 1_000
 
@@ -50,16 +53,22 @@ def _lit_array(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
+@lru_cache(1)
+def english_stop_words() -> tuple[str, ...]:
+    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+
+
 def words(clean: str | Column = "review_clean") -> Column:
     """Whitespace split of cleaned text; empty pieces dropped; null text → []."""
     parts = F.split(F.trim(F.coalesce(col_(clean), F.lit(""))), r"\s+")
     return F.filter(parts, lambda t: F.length(t) > 0)
 
 
-def tokens(clean: str | Column = "review_clean", stop_words: Sequence[str] = (),
+def tokens(clean: str | Column = "review_clean", stop_words: Sequence[str] | None = None,
            lemmas: Mapping[str, str] | None = None) -> Column:
-    """Alphabetic tokens, stop words removed, then lemmatised by the lemma map."""
-    stop = _lit_array(list(stop_words))
+    """Alphabetic tokens, stop words removed (None: Spark's English list), then
+    lemmatised by the lemma map."""
+    stop = _lit_array(list(english_stop_words() if stop_words is None else stop_words))
     toks = F.filter(words(clean), lambda t: t.rlike("^[a-z]+$") & ~F.array_contains(stop, t))
     return lemmatise(toks, lemmas) if lemmas else toks
 
@@ -75,7 +84,7 @@ def count_in(toks: Column, word_list: Sequence[str]) -> Column:
     return F.size(F.filter(toks, lambda t: F.array_contains(lst, t)))
 
 
-def with_nlp(df: DataFrame, stop_words: Sequence[str] = (),
+def with_nlp(df: DataFrame, stop_words: Sequence[str] | None = None,
              lemmas: Mapping[str, str] | None = None,
              positive: Sequence[str] = S.POSITIVE_WORDS,
              negative: Sequence[str] = S.NEGATIVE_WORDS) -> DataFrame:
@@ -89,12 +98,6 @@ def with_nlp(df: DataFrame, stop_words: Sequence[str] = (),
             .withColumn("score_nlp", F.col("nb_mots_positifs") - F.col("nb_mots_negatifs")))
 
 
-def _mean_of_matches(values: Column) -> Column:
-    found = F.filter(values, lambda x: x.isNotNull())
-    total = F.aggregate(found, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(F.size(found) > 0, total / F.size(found)).otherwise(F.lit(0.0))
-
-
 def _finish(df: DataFrame, pol: str, subj: str) -> DataFrame:
     return (df.withColumn("sentiment", sentiment_label(F.col(pol)))
             .withColumn("sentiment_score", F.round(F.col(pol), 3))
@@ -108,29 +111,58 @@ def with_sentiment(df: DataFrame, lexicon: Sequence[tuple[str, float, float]] |
     if clean_col not in df.columns:
         df = df.withColumn(clean_col, review_clean("review_text"))
     if isinstance(lexicon, DataFrame):
+        lexicon = _one_row_a_word(lexicon)
         if not row_count_at_most(lexicon, MAX_LITERAL_ROWS):
             return _sentiment_by_join(df, lexicon, clean_col)
-        lexicon = [(r[0], float(r[1]), float(r[2])) for r in
-                   lexicon.select("word", "polarity", "subjectivity").collect()]
-    pol_map = F.create_map(*[x for w, p, _ in lexicon for x in (F.lit(w), F.lit(float(p)))])
-    sub_map = F.create_map(*[x for w, _, s in lexicon for x in (F.lit(w), F.lit(float(s)))])
-    ws = words(clean_col)
-    out = (df.withColumn("_pol", _mean_of_matches(F.transform(ws, lambda t: F.try_element_at(pol_map, t))))
-           .withColumn("_sub", _mean_of_matches(F.transform(ws, lambda t: F.try_element_at(sub_map, t)))))
-    return _finish(out, "_pol", "_sub")
+        lexicon = [tuple(r) for r in lexicon.collect()]
+    else:
+        seen: dict[str, list] = {}
+        for word, *scores in lexicon:
+            if word is not None:
+                seen.setdefault(word, []).append(scores)
+        lexicon = [(w, *map(_mean, zip(*rows))) for w, rows in seen.items()]
+    table = F.create_map(*[x for w, p, s in lexicon for x in (
+        F.lit(w), F.struct(F.lit(p).cast("double").alias("p"), F.lit(s).cast("double").alias("s")))])
+    if not lexicon:
+        table = table.cast("map<string, struct<p: double, s: double>>")
+    zero = F.struct(F.lit(0.0).alias("p"), F.lit(0).alias("np"), F.lit(0.0).alias("s"), F.lit(0).alias("ns"))
+
+    def add(acc: Column, word: Column) -> Column:
+        x = F.try_element_at(table, word)
+        return F.struct(
+            (acc["p"] + F.coalesce(x["p"], F.lit(0.0))).alias("p"), (acc["np"] + x["p"].isNotNull().cast("int")).alias("np"),
+            (acc["s"] + F.coalesce(x["s"], F.lit(0.0))).alias("s"), (acc["ns"] + x["s"].isNotNull().cast("int")).alias("ns"))
+
+    out = df.withColumn("_sum", F.aggregate(words(clean_col), zero, add))
+    for name, total, n in (("_pol", "_sum.p", "_sum.np"), ("_sub", "_sum.s", "_sum.ns")):
+        out = out.withColumn(name, F.when(F.col(n) > 0, F.col(total) / F.col(n)).otherwise(F.lit(0.0)))
+    return _finish(out.drop("_sum"), "_pol", "_sub")
+
+
+def _mean(values: Sequence[float | None]) -> float | None:
+    known = [float(v) for v in values if v is not None]
+    return sum(known) / len(known) if known else None
+
+
+def _one_row_a_word(lexicon: DataFrame) -> DataFrame:
+    """(word, polarity, subjectivity): means of a repeated word's rows, null scores left out."""
+    return lexicon.where(F.col("word").isNotNull()).groupBy("word").agg(
+        F.avg("polarity").alias("polarity"), F.avg("subjectivity").alias("subjectivity"))
 
 
 def _sentiment_by_join(df: DataFrame, lexicon: DataFrame, clean_col: str) -> DataFrame:
     """Large-lexicon path: distinct texts → words → equi-join → mean per text → join back."""
-    texts = df.select(F.coalesce(F.col(clean_col), F.lit("")).alias("_txt")).distinct()
+    texts = df.select(F.col(clean_col).alias("_txt")).where("_txt != ''").distinct()
     exploded = texts.select("_txt", F.explode(words(F.col("_txt"))).alias("word"))
     scored = (exploded.join(lexicon.select("word", "polarity", "subjectivity"), "word")
               .groupBy("_txt").agg(F.avg("polarity").alias("_pol"),
                                    F.avg("subjectivity").alias("_sub")))
-    # One row per distinct scored text: broadcast when proven small, else a
+    # One row per distinct scored text: broadcast when its bytes, as measured, are few, else a
     # sort-merge join in which AQE splits a hot text (e.g. a very common review).
-    scored = broadcast_if_small(materialize(scored, "sentiment-texts"))
-    out = (df.withColumn("_txt", F.coalesce(F.col(clean_col), F.lit("")))
+    scored = materialize(scored, "sentiment-texts")
+    size = scored.agg(F.sum(F.octet_length("_txt") + 32)).first()[0] or 0
+    scored = F.broadcast(scored) if size <= BROADCAST_MAX_BYTES else scored
+    out = (df.withColumn("_txt", F.nullif(F.col(clean_col), F.lit("")))
            .join(scored, "_txt", "left")
            .na.fill({"_pol": 0.0, "_sub": 0.0}).drop("_txt"))
     return _finish(out, "_pol", "_sub")

@@ -218,6 +218,27 @@ def test_sentiment_lexicon_phrases(spark):
         r["sentiment_score"] for r in rows)
 
 
+def test_sentiment_is_the_same_by_map_and_by_join(spark, monkeypatch):
+    df = spark.createDataFrame([(0, "good, good slow"), (1, "odd good"), (2, ""), (3, None), (4, "odd")], "i int, review_text string")
+    rows = [("good", 1.0, 0.5), ("good", 0.0, None), ("odd", None, 1.0), ("slow", -0.5, 0.0), (None, 1.0, 1.0)]
+    lex = spark.createDataFrame(rows, "word string, polarity double, subjectivity double")
+
+    def scores(lexicon):
+        return [(r["i"], r["sentiment"], r["sentiment_score"], r["subjectivite"]) for r in T.with_sentiment(df, lexicon).orderBy("i").collect()]
+
+    want = [(0, "neutre", 0.167, 0.333), (1, "positif", 0.5, 0.75), (2, "neutre", 0.0, 0.0),
+            (3, "neutre", 0.0, 0.0), (4, "neutre", 0.0, 1.0)]
+    assert scores(rows) == scores(lex) == want
+    assert [r[2] for r in scores([])] == [0.0] * 5
+    monkeypatch.setattr(T, "MAX_LITERAL_ROWS", 0)
+    assert scores(lex) == want
+
+
+def test_default_stop_words_are_english(spark):
+    df = spark.createDataFrame([("The shipping and the quality",)], "review_text string")
+    assert T.with_nlp(df).first()["tokens"] == ["shipping", "quality"]
+
+
 def test_tokens_stop_words_lemmas_and_counts(spark):
     df = spark.createDataFrame([("The products and reviews are great great, bad!",)],
                                "review_text string")
