@@ -6,7 +6,7 @@
   the row were unseen (0 is also a real class, so the flag is the only way to tell).
 * Features (M10): 27 named columns, null → 0, one ``VectorAssembler``; the target-
   derived ``risque_abandon`` is appended only with ``legacy_features=True``.
-* Split (M3): each row's hash is compared with its label's 80 % hash quantile (a
+* Split (M3): each row's hash is compared with its label's exact 80 % hash quantile (a
   two-row table), so the split is stratified, reproducible and needs no global sort.
 * Balance (M4): class weights ``n / (2 n_class)`` in ``weightCol``.  The reference
   oversamples with SMOTE; a neighbour search inside the minority class would emit
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from .joins import known_rows, materialize, right_size
+from .stats import exact_quantiles
 
 ENCODED = {  # source column -> code column
     "category": "category_enc",
@@ -99,16 +100,19 @@ def stratified_split(df: DataFrame, label: str, key: str, train_share: float = 0
                      seed: int = 42) -> DataFrame:
     """M3: adds ``split`` = 'train'/'test', stratified by ``label``, reproducible.
 
-    Every row gets a hash in [0, 1) from its key and the seed; the per-label
-    quantile of the hashes at ``train_share`` (``percentile_approx``, one row per
-    label) is the cut.  No window, no sort of the whole table.
+    Every row gets a 52-bit number from the md5 of its key and the seed; the cut is each
+    label's exact ``train_share`` quantile of them (one row per label), so the split is
+    the same however the rows are partitioned.  No window, no sort of the whole table.
     """
-    h = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(1_000_003)) / 1_000_003.0
-    hashed = df.withColumn("_h", h)
-    cuts = hashed.groupBy(label).agg(F.percentile_approx("_h", train_share, 100_000).alias("_cut"))
-    return (hashed.join(F.broadcast(cuts), label, "left")
+    text = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"|{seed}"))
+    h = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double")  # exact below 2**53
+    hashed = materialize(df.withColumn("_h", h), "split-hash")
+    stratum = F.coalesce(F.col(label).cast("string"), F.lit(""))
+    cuts = exact_quantiles(hashed.select(stratum.alias("colonne"), F.col("_h").alias("valeur")), [train_share])
+    cuts = cuts.select(F.col("colonne").alias("_stratum"), F.col("quantile").alias("_cut"))
+    return (hashed.withColumn("_stratum", stratum).join(F.broadcast(cuts), "_stratum", "left")
             .withColumn("split", F.when(F.col("_h") <= F.col("_cut"), "train").otherwise("test"))
-            .drop("_h", "_cut"))
+            .drop("_h", "_cut", "_stratum"))
 
 
 def class_weights(train: DataFrame, label: str, weight_col: str = "poids") -> DataFrame:

@@ -51,10 +51,13 @@ def _bracket_cols(probs: list[float], accuracy: int) -> list:
     k = len(probs)
     lows = [max(p - margin, 0.0) for p in probs]
     highs = [min(p + margin, 1.0) for p in probs]
+    # in a group of up to ``accuracy`` values the margin is under three ranks, too few to hold
+    # both order statistics for sure: its bracket is the whole range
+    whole = F.col("n") <= accuracy
     return [
-        F.array(*[F.when(F.lit(lows[i]) <= 0.0, F.col("vmin")).otherwise(F.col("apx")[i])
+        F.array(*[F.when(whole | F.lit(lows[i] <= 0.0), F.col("vmin")).otherwise(F.col("apx")[i])
                   for i in range(k)]).alias("lo"),
-        F.array(*[F.when(F.lit(highs[i]) >= 1.0, F.col("vmax")).otherwise(F.col("apx")[k + i])
+        F.array(*[F.when(whole | F.lit(highs[i] >= 1.0), F.col("vmax")).otherwise(F.col("apx")[k + i])
                   for i in range(k)]).alias("hi"),
     ]
 

@@ -43,12 +43,15 @@ def ml_encoded(spark, sf_dir):
     return enc.transform(tgt).select("event_id", *M.ENCODED.values())
 
 
+#: ``encode_safe`` fits on the rows of one source, so labels of the others are really unseen.
+FIT_SOURCE = S.SOURCES[0]
+
 _SAFE_CODES = ", ".join(
     f"coalesce(m_{c}.code, 0) AS {M.ENCODED[c]}" for c in M.BASE_ENCODED)
 _SAFE_UNSEEN = " + ".join(f"CAST(m_{c}.code IS NULL AS INTEGER)" for c in M.BASE_ENCODED)
 _SAFE_JOINS = " ".join(
     f"LEFT JOIN (SELECT DISTINCT coalesce(CAST({c} AS VARCHAR), '{M.FILL_LABEL.get(c, 'nan')}') AS lbl, "
-    f"{ENC_SQL[c]} AS code FROM (SELECT DISTINCT {c} FROM target)) m_{c} "
+    f"{ENC_SQL[c]} AS code FROM (SELECT DISTINCT {c} FROM target WHERE source = {O._q(FIT_SOURCE)})) m_{c} "
     f"ON m_{c}.lbl = coalesce(CAST(c.{c} AS VARCHAR), '{M.FILL_LABEL.get(c, 'nan')}')"
     for c in M.BASE_ENCODED)
 
@@ -57,9 +60,10 @@ _SAFE_JOINS = " ".join(
     f"SELECT c.event_id, {_SAFE_CODES}, {_SAFE_UNSEEN} AS nb_inconnus FROM clicks c {_SAFE_JOINS}",
     *ML_CTES))
 def encode_safe(spark, sf_dir):
-    """M2: encoders fitted on purchase/abandon rows applied to every click;
+    """M2: encoders fitted on one source's purchase/abandon rows, applied to every click;
     unseen labels → 0, counted in nb_inconnus."""
-    tgt = materialize(target_frame(spark, sf_dir).select(*M.BASE_ENCODED), "ml-target")
+    tgt = target_frame(spark, sf_dir).where(F.col("source") == FIT_SOURCE)
+    tgt = materialize(tgt.select(*M.BASE_ENCODED), "ml-target")
     enc = M.fit_encoders(tgt, M.BASE_ENCODED)
     return enc.transform(FX.clicks(spark, sf_dir)).select(
         "event_id", *[M.ENCODED[c] for c in M.BASE_ENCODED], "nb_inconnus")
@@ -79,7 +83,14 @@ def ml_features(spark, sf_dir):
     return M.assemble(enc.transform(tgt)).select("event_id", "intention_achat", *_FEATURES)
 
 
-@register("ml_split")
+@register("ml_split", O.with_fixtures("""
+SELECT event_id, intention_achat,
+  CASE WHEN rank() OVER w - 1 <= floor(CAST(0.8 AS DOUBLE) * (count(*) OVER (PARTITION BY intention_achat) - 1))
+       THEN 'train' ELSE 'test' END AS split
+FROM (SELECT event_id, CAST(action = 'purchase' AS INTEGER) AS intention_achat,
+        substr(md5(coalesce(session_id, '') || '|42'), 1, 13) AS h
+      FROM clicks WHERE action IN ('purchase', 'abandon'))
+WINDOW w AS (PARTITION BY intention_achat ORDER BY h)"""))
 def ml_split(spark, sf_dir):
     """M3: stratified, reproducible 80/20 split of the purchase/abandon rows."""
     return _prepared(spark, sf_dir).select("event_id", "intention_achat", "split")

@@ -192,8 +192,9 @@ def test_split_is_stratified_disjoint_and_complete(spark):
     shares = {r["y"]: r["p"] for r in s.groupBy("y").agg(
         F.avg((F.col("split") == "train").cast("double")).alias("p")).collect()}
     assert all(abs(p - 0.8) < 0.01 for p in shares.values())
-    again = M.stratified_split(df, "y", "k")
-    assert s.join(again, ["k", "y", "split"]).count() == 20000
+    for parts in (3, 40):  # the cut does not move with the partitioning
+        again = M.stratified_split(df.repartition(parts), "y", "k")
+        assert s.join(again, ["k", "y", "split"]).count() == 20000
 
 
 def test_binary_metrics_zero_division(spark):
@@ -394,6 +395,16 @@ def test_user_table_is_one_shuffle_over_three_scans(spark):
     assert plan.count("events.parquet") == 3
 
 
+def test_exact_quantiles_of_small_groups(spark):
+    rnd = np.random.default_rng(9)
+    groups = {str(n): rnd.random(n) for n in (1, 2, 3, 10, 201, 283, 1000)}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "colonne string, valeur double")
+    probs = [0.25, 0.5, 0.8]
+    got = {(r["colonne"], r["p"]): r["quantile"] for r in ST.exact_quantiles(df, probs).collect()}
+    assert len(got) == len(groups) * len(probs)
+    assert all(abs(got[k, p] - np.quantile(vs, p)) < 1e-12 for k, vs in groups.items() for p in probs)
+
+
 def test_exact_quantiles_with_narrowing(spark):
     from sillage.operators import stats as ST2
     rng = np.random.default_rng(7)
