@@ -205,6 +205,19 @@ def preview(df: DataFrame, n: int, order_cols: list[str], columns: list) -> Data
     return top.select(*columns, total.alias("nb_lignes"))
 
 
+class PreviewSink:
+    """K3: ``foreachBatch`` target handing each non-empty batch's preview to ``show``: at
+    most ``n`` rows, so a batch of any size sends no more than that to the driver."""
+
+    def __init__(self, n: int, order_cols: list[str], columns: list, show=print):
+        self.n, self.order_cols, self.columns, self.show = n, order_cols, columns, show
+
+    def __call__(self, df: DataFrame, epoch_id: int) -> None:
+        rows = preview(df, self.n, self.order_cols, self.columns).collect()
+        if rows:
+            self.show(epoch_id, [r.asDict() for r in rows])
+
+
 def write_json_report(df: DataFrame, path: str) -> DataFrame:
     """K6: a results table written as JSON lines (executor-side) and read back with
     its own schema."""

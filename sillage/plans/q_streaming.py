@@ -17,7 +17,7 @@ from ..sources import fixtures as FX
 from ..streaming import jobs as J
 from . import oracle as O
 from .catalog import register
-from .q_dashboard import _MINUTE_SQL
+from .q_dashboard import _KPI_SQL_BODY, _MINUTE_SQL
 
 
 def land_json(df, schema, name: str, partitions: int | None = None) -> str:
@@ -189,17 +189,24 @@ def stream_clicks_keyed(spark, sf_dir):
     return out.drop("_epoch")
 
 
-@register("stream_kpis", O.with_fixtures("""
-SELECT nb_evenements, nb_achats, nb_abandons,
-  CASE WHEN nb_achats + nb_abandons > 0
-       THEN round(nb_achats * 100.0 / (nb_achats + nb_abandons), 1) ELSE 0.0 END AS taux_conversion
-FROM (SELECT count(*) AS nb_evenements, count(*) FILTER (WHERE action = 'purchase') AS nb_achats,
-             count(*) FILTER (WHERE action = 'abandon') AS nb_abandons FROM clicks)"""))
+#: The topic's schema carries amounts as floats.
+_TOPIC_KPI_SQL = _KPI_SQL_BODY.format(clicks="clicks").replace(
+    "CAST(montant_paye AS DECIMAL(38,10))", "CAST(CAST(CAST(montant_paye AS FLOAT) AS DOUBLE) AS DECIMAL(38,10))")
+
+
+@register("stream_kpis", O.with_fixtures(_TOPIC_KPI_SQL))
 def stream_kpis(spark, sf_dir):
-    """T8 (KPI tiles): a streaming global aggregate in update mode over several
-    micro-batches; the keyed sink keeps the latest row."""
-    out = _stream_to_table(spark, sf_dir, "clickstream", S.CLICKSTREAM_SCHEMA,
-                           lambda sp, src: J.kpi_stream(J.clicks_stream(sp, src, None)),
-                           sink_cls=K.KeyedTable, output_mode="update", files_per_batch=3,
-                           keys=["cle"])
-    return out.select("nb_evenements", "nb_achats", "nb_abandons", "taux_conversion")
+    """T8 (KPI tiles): a streaming global aggregate over the three topics in update mode,
+    over several micro-batches; the keyed sink keeps the latest row."""
+    topics = {"clickstream": (FX.clicks, S.CLICKSTREAM_SCHEMA), "transactions": (FX.transactions, S.TRANSACTION_SCHEMA),
+              "service_client": (FX.support, S.SUPPORT_SCHEMA)}
+    src = {name: {"format": "files", "maxFilesPerTrigger": 3,
+                  "path": land_json(rows(spark, sf_dir, with_event_id=False), schema, f"kpis-{name}")}
+           for name, (rows, schema) in topics.items()}
+    out = J.kpi_stream(J.clicks_stream(spark, src["clickstream"], None),
+                       J.transactions_stream(spark, src["transactions"]),
+                       J.support_stream(spark, src["service_client"]))
+    sink = K.KeyedTable(scratch_path(spark, "sink-kpis"), ["cle"])
+    J.run_once(out, sink, scratch_path(spark, "ckpt-kpis"),
+               f"kpis_{abs(hash(src['clickstream']['path'])) % 10**8}", "update")
+    return sink.read(spark).drop("cle", "_epoch")

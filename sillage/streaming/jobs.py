@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from ..functions.columns import minute_of
+from ..operators.analytics import kpis
 from ..operators.sinks import CountTable, EpochSink, KeyedTable
 from ..sources import events as EV
 
@@ -82,20 +83,14 @@ def conversion_stream(clicks: DataFrame) -> DataFrame:
                     (a == "abandon").cast("long").alias("abandons")))
 
 
-def kpi_stream(clicks: DataFrame) -> DataFrame:
-    """T8 (KPI tiles): events, purchases, abandons and conversion rate, kept current.
+def kpi_stream(clicks: DataFrame, transactions: DataFrame | None = None,
+               support: DataFrame | None = None) -> DataFrame:
+    """T8 (KPI tiles): the figures of ``analytics.kpis`` over the three streams, kept current.
 
-    A global aggregate: its state is one row whatever the volume, so no watermark is
-    needed; each update replaces the single row of the sink.
+    A global aggregate over their union: its state is one row whatever the volume, so no
+    watermark is needed; each update replaces the single row of the sink.
     """
-    a = F.col("action")
-    agg = clicks.agg(F.count(F.lit(1)).alias("nb_evenements"),
-                     F.count_if(a == "purchase").alias("nb_achats"),
-                     F.count_if(a == "abandon").alias("nb_abandons"))
-    den = F.col("nb_achats") + F.col("nb_abandons")
-    return agg.select(F.lit("global").alias("cle"), "nb_evenements", "nb_achats", "nb_abandons",
-                      F.when(den > 0, F.round(F.col("nb_achats") * 100.0 / den, 1))
-                       .otherwise(F.lit(0.0)).alias("taux_conversion"))
+    return kpis(clicks, transactions, support).select(F.lit("global").alias("cle"), "*")
 
 
 def run_once(df: DataFrame, sink, checkpoint: str, name: str,

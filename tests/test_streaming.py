@@ -44,6 +44,17 @@ def test_stream_conversion_equals_batch(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_preview_sink_shows_each_batch(spark):
+    clicks = FX.clicks(spark, SMALL, with_event_id=False)
+    landing = land_json(clicks, S.CLICKSTREAM_SCHEMA, "t-preview", partitions=3)
+    stream = J.clicks_stream(spark, {"format": "files", "path": landing, "maxFilesPerTrigger": 1}, None)
+    seen = []
+    sink = K.PreviewSink(5, ["timestamp", "session_id"], [F.col("action")], lambda epoch, rows: seen.append((epoch, rows)))
+    J.run_once(stream, sink, scratch_path(spark, "t-preview-ckpt"), "t_preview")
+    assert [epoch for epoch, _ in seen] == [0, 1, 2] and all(len(rows) == 5 for _, rows in seen)
+    assert sum(rows[0]["nb_lignes"] for _, rows in seen) == clicks.count()
+
+
 def test_three_consumers_side_by_side(spark):
     frames = {"clickstream": (FX.clicks(spark, SMALL, with_event_id=False), S.CLICKSTREAM_SCHEMA),
               "transactions": (FX.transactions(spark, SMALL, with_event_id=False),
