@@ -45,13 +45,17 @@ BLOCK = frozenset("address article aside blockquote body dd details div dl dt fi
 TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th dt dd span a b i em strong".split())
 MAIN = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
-#: Words of class and id values that mark what is no main text.
+#: Words of class and id values that mark what is no main text.  A value's token counts as a
+#: whole: all its words are hints ("cookie-notice"), not one of them ("has-sidebar").
 HINTS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent "
                   "notice gdpr popup modal nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer "
                   "masthead topbar comment comments disqus respond share sharing social newsletter subscribe "
                   "related pagination pager widget toolbar skip".split())
 #: Of these, what stays no main text even around an element marked as main.
 READERS = frozenset("comment comments disqus respond related".split())
+#: Words that may follow those in a token; such lists differ from page to page, so that
+#: subtree counts don't find them.
+READER_LISTS = frozenset("area articles block body box container form item items list posts section thread wrapper".split())
 #: Open elements that a start tag closes.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
@@ -77,20 +81,37 @@ class Node:
     digest: int = 0
 
 
+def _hint(value: str) -> str:
+    """What the tokens of a class or id say: "layout", "reader" or ""."""
+    hint = ""
+    for token in value.split():
+        words = [w for w in re.split(r"[^a-z0-9]+", token) if w and not w[0].isdigit()]
+        if words and (words[0] in READERS and READER_LISTS.issuperset(words[1:]) or HINTS.issuperset(words) and READERS.intersection(words)):
+            return "reader"
+        if words and HINTS.issuperset(words):
+            hint = "layout"
+    return hint
+
+
 def _role(tag: str, attrs: str) -> tuple[bool, str, bool]:
     """Of an element: whether its tag or role makes it no main text; whether a class or id
-    hints so; whether it is marked as main."""
+    hints so; whether it is marked as main.  Hints don't bear on what is marked as main,
+    but an article may be a reader's."""
     drop, hint, main = tag in DROP, "", tag in MAIN
+    sure = tag == "main"
     if attrs and not attrs.isspace() and tag not in ("html", "body"):
         for name, *values in _ATTR.findall(attrs):
             name, value = name.lower(), next((v for v in values if v), "").lower()
             if name == "role":
-                main |= value == "main"
+                sure |= value == "main"
                 drop |= value in ROLES
             elif name == "hidden":
                 drop = True
-            elif name in ("class", "id") and (said := HINTS.intersection(re.split(r"[^a-z]+", value))):
-                hint = "reader" if said & READERS else hint or "layout"
+            elif name in ("class", "id") and (said := _hint(value)):
+                hint = "reader" if "reader" in (said, hint) else "layout"
+    main |= sure
+    if sure or main and hint == "layout":
+        hint = ""
     return drop, hint, main and not drop and not hint
 
 

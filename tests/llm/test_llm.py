@@ -198,6 +198,19 @@ def test_html(spark):
     assert all(got[10 + i] == f"story {i}" for i in range(8))  # the recurring block is the site's template
 
 
+def test_html_hints_are_whole_tokens(spark):
+    kept = ["<article class='post has-sidebar'>{}</article>", "<main class='with-sidebar'>{}</main>", "<article class='post comments-open'>{}</article>",
+            "<div class='notice' role=main>{}</div>", "<article id=related-works class='widget'>{}</article>", "<main id=comments>{}</main>",
+            "<div class='wrapper with-sidebar'>{}</div>", "<article><div class='share-price-history'>{}</div></article>",
+            "<article><section class='notice-of-motion'>{}</section></article>"]
+    gone = ["<div class='box sidebar'>{}</div>", "<div id=cookie-banner>{}</div>", "<div class=ad-300x250>{}</div>", "<ol class='comment-list'>{}</ol>",
+            "<article class='comment even'>{}</article>", "<div class='related-posts'>{}</div>"]
+    rows = [(i, f"http://h{i}.org", "<body>" + t.format("<p>story</p>") + "<nav>menu</nav>") for i, t in enumerate(kept + gone)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [kept[i] for i in range(len(kept)) if got[i] != "story"] == []
+    assert [t for i, t in enumerate(gone, len(kept)) if got[i]] == []
+
+
 def test_mixing_cuts_exactly_and_reruns_agree(spark):
     rnd = random.Random(2)
     df = docs_of(spark, ["w " * rnd.randint(0, 50) for _ in range(200)] + EDGE)
