@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from ..operators.joins import broadcast_if_small, materialize
 from .common import small_batches
 
-#: A subtree is template when on at least so many different pages and so large a share.
+#: A subtree is template when on at least so many different pages.  The share only guards
+#: against chance repeats on large hosts; layouts and adverts may take turns over the pages.
 MIN_PAGES = 5
-MIN_SHARE = 0.25
+MIN_SHARE = 0.01
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp".split())

@@ -211,6 +211,13 @@ def test_html_hints_are_whole_tokens(spark):
     assert [t for i, t in enumerate(gone, len(kept)) if got[i]] == []
 
 
+def test_html_templates_of_hosts_with_several_layouts(spark):
+    page = "<body><div><p>story {0}</p></div><div><i>layout</i> {1}</div><div>once {0}</div></body>"
+    rows = [(i, f"http://site.org/{i}", page.format(i, i % 10)) for i in range(100)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"story {i}\nonce {i}" for i in range(100)}  # each layout is on a tenth of the pages
+
+
 def test_mixing_cuts_exactly_and_reruns_agree(spark):
     rnd = random.Random(2)
     df = docs_of(spark, ["w " * rnd.randint(0, 50) for _ in range(200)] + EDGE)
