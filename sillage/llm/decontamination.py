@@ -21,6 +21,7 @@ leaves all documents clean.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -70,7 +71,8 @@ class Index:
                 continue
             own, size = distinct(own), min(width, len(words))
             part = int(own.size).bit_length()  # sizes 2**(part-1) .. 2**part - 1
-            k = int((1 - threshold) * (2**part - 1)) + 1
+            most = 2**part - 1
+            k = most - math.ceil(threshold * most - 1e-9) + 1  # one more than may be missed, as matches() counts
             for h in own[np.argsort(mix64(own))][:k].tolist():
                 sketch[size][h].append(len(self.items))
             self.items.append((item_id, size, frozenset(grams(words, size))))

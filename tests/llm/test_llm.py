@@ -249,6 +249,12 @@ def test_decontamination(spark):
     assert decontamination.clean(docs, items.limit(0)).count() == 6
 
 
+def test_sketches_are_longer_than_the_allowed_miss():
+    for n in [*range(1, 300), 1023, 4095]:
+        index = decontamination.Index([(1, " ".join(f"t{i}" for i in range(n + 4)))], 5, 0.8)
+        assert len(index.items[0][2]) == n and sum(map(len, index.sketch.values())) > n // 5, n
+
+
 def test_edge_rows_and_empty_tables(spark):
     docs, labels = edge_docs(spark), spark.read.parquet(f"{SMALL}/labels.parquet")
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
