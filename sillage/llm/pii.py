@@ -1,8 +1,9 @@
 """Personal data: anchors by Aho-Corasick, spans by deterministic local parsers.
 
-One automaton pass over a text yields the anchors: at-signs, digits, plus signs, URL
-schemes and identifier cues.  Each anchor is handed to a parser that expands left and
-right from it, validates what it finds and never reads far beyond it.
+One automaton pass over a text in small letters (A-Z only, so places hold) yields the
+anchors: at-signs, digits, plus signs, URL schemes and identifier cues in any case.  Each
+anchor is handed to a parser that expands left and right from it, validates what it finds
+and reads no further than the run of characters it may take.
 
 Base kinds ``email ip card phone`` equal leftmost non-overlapping matches of their
 patterns; the parsers use that each pattern's match is fixed by a maximal run around
@@ -38,18 +39,26 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])*")
 _PHONE_TAIL = re.compile(r"[ ().0-9-]+")
-_USERINFO = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=-]+:[^\s/@:]+@[A-Za-z0-9.-]+")
+_USERINFO = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=-]++:[^\s/@:]++@[A-Za-z0-9.-]+")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_ACCOUNT = re.compile(r"(?: is| number| no\.?)?[ :#=]{1,3}([A-Z]{0,2}[0-9][0-9-]{4,20}[0-9])(?![0-9])")
+_ACCOUNT = re.compile(r"\.?(?i: is| number| no\.?)?[ :#=]{1,3}([A-Z]{0,2}[0-9][0-9-]{4,}[0-9])")
 _STREET_BEFORE = re.compile(r"(?<![0-9A-Za-z.])([0-9]{1,5}[A-Za-z]?(?: [A-Z][A-Za-z'-]{0,30}){0,4})\Z")
 _STREET_AFTER = re.compile(r"(?:,? [0-9]{1,5}[A-Za-z]?)?(?:, [A-Z][A-Za-z'-]{1,30}(?: [A-Z][A-Za-z'-]{1,30})?)?(?: [0-9]{5}(?:-[0-9]{4})?)?")
 #: A local part longer than this is read from the run's own start, not by the tail search.
 _NEAR = 96
 
-_WORDS: dict[str, str] = {"@": "email", "+": "phone", "IBAN": "iban", "iban": "iban",
+#: An IBAN starts at most so far after its cue, and is no longer than that.
+_IBAN_REACH = 64
+
+def folded(text: str) -> str:
+    """A-Z in small letters and all else, so also the length, as it is: ``lower`` of bytes is."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
+_WORDS: dict[str, str] = {"@": "email", "+": "phone", "iban": "iban",
                           **{str(d): "number" for d in range(10)},
-                          **{s: "scheme" for s in SCHEMES}, **{s: "street" for s in STREET_CUES},
-                          **{f: "account" for c in ACCOUNT_CUES for f in (c, c.capitalize(), c.upper())}}
+                          **{s: "scheme" for s in SCHEMES}, **{folded(s): "street" for s in STREET_CUES},
+                          **{c: "account" for c in ACCOUNT_CUES}}
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -91,7 +100,7 @@ def find_spans(text: str | None, auto: ahocorasick.Automaton) -> list[tuple[str,
         return []
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     email_end = run_end = chain_end = phone_end = 0
-    for last, (role, size) in auto.iter(text):
+    for last, (role, size) in auto.iter(folded(text)):
         start, end = last - size + 1, last + 1
         if role == "number":
             if start >= run_end:  # the first digit of a run of digits and dots
@@ -119,16 +128,16 @@ def find_spans(text: str | None, auto: ahocorasick.Automaton) -> list[tuple[str,
                     if 8 <= 1 + sum(c.isdigit() for c in tail) <= 15:
                         found["phone"].append((start, phone_end))
         elif role == "scheme":
-            if m := _USERINFO.match(text, end, end + 512):
+            if m := _USERINFO.match(text, end):
                 found["url_login"].append((start, m.end()))
         elif role == "iban":
-            m = _IBAN.search(text, end, end + 64)
-            if m and _iban_ok(m[0]):
+            m = _IBAN.search(text, end, end + 2 * _IBAN_REACH)
+            if m and m.start() < end + _IBAN_REACH and _iban_ok(m[0]):
                 found["iban"].append((m.start(), m.end()))
         elif role == "account":
-            if m := _ACCOUNT.match(text, end, end + 64):
+            if m := _ACCOUNT.match(text, end):
                 found["account"].append((m.start(1), m.end(1)))
-        else:
+        elif text[start:end] in STREET_CUES:
             _street(text, start, end, found["address"])
     return [(kind, a, b) for kind in KINDS for a, b in _disjoint(found[kind])]
 

@@ -60,6 +60,21 @@ def test_pii_equals_the_patterns(spark):
     assert {"iban", "url_login", "address", "account"} <= kinds
 
 
+def test_pii_cues_in_any_case_and_long_values():
+    auto = pii.automaton()
+    for cue in ("Account Number: ", "Account No: ", "Account No. ", "ACCOUNT number ", "Tax ID: ", "Routing Number: ", "Passport No.: ", "account number "):
+        for value in ("12345678", "1234-" * 8 + "1", "9" * 90):
+            assert [("account", len(cue), len(cue + value))] == [s for s in pii.find_spans(f"{cue}{value} end", auto) if s[0] == "account"], cue
+    for cue in ("Iban", "IBAN", "iban"):
+        assert ("iban", len(cue) + 1, len(cue) + 28) in pii.find_spans(f"{cue} DE89 3704 0044 0532 0130 00 end", auto)
+    late = "iban" + " " * 60 + "DE89370400440532013000"
+    assert ("iban", 64, len(late)) in pii.find_spans(late, auto)
+    for url in ("HTTPS://u:" + "p" * 3000 + "@h.org", "ssh://" + "u" * 600 + ":p@h.org", "ftp://u:" + "p" * 490 + "@" + "host." * 20 + "org"):
+        assert ("url_login", 0, len(url)) not in pii.find_spans(url.split("@")[0], auto) and (
+            "url_login", 0, len(url)) in pii.find_spans(url + " end", auto)
+    assert not any(s[0] == "address" for s in pii.find_spans("it was 12 Baker street food", auto))
+
+
 def test_secrets_equal_the_patterns_and_find_random_strings(spark):
     rnd = random.Random(4)
     key = "wJalrXUtnFEMIK7MDENGbPxRfiCYz9Qe3KLm"
