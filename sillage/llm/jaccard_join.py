@@ -387,7 +387,7 @@ def links(features: DataFrame, texts: DataFrame, width: int, num: int, den: int)
     sets = materialize(_sets(picked, width).dropDuplicates(["uid"]), "sets")
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
     chunks = F.greatest(F.ceil(F.col("sets") / CHUNK), F.ceil(F.col("tokens") / CHUNK_TOKENS))
-    placed = members.select("uid", "root").join(sizes.select("root", chunks.alias("chunks")), "root")
+    placed = members.select("uid", "root", "n").join(sizes.select("root", chunks.alias("chunks")), "root")
     placed = materialize(placed.withColumn("chunk", F.pmod(F.xxhash64("uid"), F.col("chunks"))), "chunks")
     alone = placed.select("uid", F.col("uid").alias("comp"), F.xxhash64("root", "chunk").alias("task"), F.lit(0).alias("side"), F.lit(False).alias("cross"))
     found = _linked(alone, sets, num, den, "links")
@@ -405,8 +405,8 @@ def _across(placed: DataFrame, found: DataFrame, sets: DataFrame, num: int, den:
     """Links between the chunks of large clusters: representatives first, then the pairs of
     chunks that still hold unconnected sets."""
     now = _with_comp(placed, found)
-    reps = now.groupBy("root", "chunk", "comp").agg(F.min("uid").alias("uid"))
-    many = reps.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
+    reps = now.groupBy("root", "chunk", "comp").agg(F.min(F.struct("uid", "n")).alias("first")).select("root", "chunk", "comp", "first.*")
+    many = reps.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n") / CHUNK_TOKENS)).alias("parts"))
     reps = reps.join(many, "root").withColumn("chunk", F.pmod(F.xxhash64("uid", F.lit(3)), F.col("parts")))
     reps = reps.select("uid", "comp", F.xxhash64("root", "chunk", F.lit(1)).alias("task"), F.lit(0).alias("side"), F.lit(False).alias("cross"))
     more = found.unionByName(_linked(reps, sets, num, den, "rep-links"))

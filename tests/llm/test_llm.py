@@ -140,6 +140,24 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch, width, threshold, c
     assert got == {i: (sizes[i], comp[i]) for i in range(len(texts))}
 
 
+def test_jaccard_rounds_are_cut_by_hashes(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK_TOKENS", 500)
+    monkeypatch.setattr(jaccard_join, "GROUP_SETS", 3)
+    texts = [" ".join(f"w{i}" for i in range(6 * k, 6 * k + 120)) for k in range(60)]  # each links with the next
+    linked, most = jaccard_join._linked, {}
+
+    def spy(members, sets, num, den, name):
+        sums = members.join(sets, "uid").groupBy("task").agg((F.sum(F.length("tokens")) / 8).alias("n"))
+        most[name] = sums.agg(F.max("n")).first()[0]
+        return linked(members, sets, num, den, name)
+
+    monkeypatch.setattr(jaccard_join, "_linked", spy)
+    sizes, comp, _ = brute.jaccard_components(texts, 5, 80, 100)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(docs_of(spark, texts), 5, (80, 100)).collect()}
+    assert got == {i: (sizes[i], comp[i]) for i in range(len(texts))} and len(set(comp)) == 1
+    assert most["rep-links"] <= 4 * 500  # dealt by hash, so parts are uneven
+
+
 def test_route_keys_meet_for_all_linked_pairs():
     rnd = np.random.default_rng(0)
     for num, den in ((90, 100), (80, 100)):
