@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontamination, embedding_dedup, html_extract, jaccard_join, line_dedup,
-               mixing, pii, quality, secrets, toxicity)
-from .common import read
+               mixing, piece_codec, pii, quality, secrets, toxicity)
+from .common import read, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,6 +82,18 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+@_query
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    small_batches(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = piece_codec.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
+
+
 SQL["op2_line_dedup"] = r"""
 WITH l AS (
   SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line
