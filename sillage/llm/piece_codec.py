@@ -147,7 +147,8 @@ def round_trip(df: DataFrame, path: str, text: str = "text", end: bool = True) -
     with open(path, "rb") as f:
         model = f.read()
     given = [c for c in df.columns if c not in ("ids", "decoded", "agrees")]
-    schema = T.StructType([df.schema[c] for c in given]).add("ids", "array<int>").add("decoded", "string").add("agrees", "boolean")
+    added = (("ids", T.ArrayType(T.IntegerType())), ("decoded", T.StringType()), ("agrees", T.BooleanType()))
+    schema = T.StructType([df.schema[c] for c in given] + [T.StructField(*a) for a in added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model, end)
