@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontamination, embedding_dedup, html_extract, jaccard_join, line_dedup,
-               mixing, piece_codec, pii, quality, secrets, toxicity)
+               mixing, piece_codec, pii, quality, secrets, structure_repair, toxicity)
 from .common import read, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,16 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+@_query
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations")
+    found = structure_repair.report(structure_repair.repair(structure_repair.damaged(given)))
+    ids = given.groupBy(F.col("conv_id").alias("id")).agg(F.lit(0).alias("none"))
+    out = ids.join(found, F.col("id").eqNullSafe(found["conv_id"]), "left")
+    return out.select(F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+                      F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 @_query
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
