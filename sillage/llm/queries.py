@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontamination, embedding_dedup, html_extract, jaccard_join, line_dedup,
-               mixing, piece_codec, pii, quality, secrets, structure_repair, toxicity)
+               mixing, piece_codec, pii, prefix_trie, quality, secrets, structure_repair, toxicity)
 from .common import read, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(*prefix_trie.rebuilt(prefix_trie.symbols(read(spark, sf_dir, "conversations"))))
+
+
 @_query
 def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = read(spark, sf_dir, "conversations")
@@ -169,3 +174,38 @@ SELECT doc_id, size, source_size, target,
        (CASE WHEN source_size > 0 THEN (budget // source_size) * size + least(greatest(budget % source_size - start, 0), size) ELSE 0 END)::BIGINT AS taken
 FROM p
 """
+
+SQL["op11_prefix_trie"] = r"""
+WITH t AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+                      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM o), t),
+b AS (
+  SELECT c.conv_id, o.role, o.text, o.pos FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 5 AND o.pos <= c.h
+  UNION ALL SELECT c.conv_id, o.role, o.text, o.pos + 8 FROM c JOIN o ON o.conv_id = c.conv_id AND o.pos > c.h),
+r AS (
+  SELECT conv_id, row_number() OVER w AS d, strlen(text) AS bytes, count(*) OVER (PARTITION BY conv_id) AS n,
+         string_agg(concat(strlen(role), ':', role, strlen(text), ':', text), '') OVER (w ROWS UNBOUNDED PRECEDING) AS p
+  FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+  UNION ALL SELECT conv_id, 0, 0, (SELECT count(*) FROM b WHERE b.conv_id = c.conv_id), '' FROM c),
+v AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM r GROUP BY p, d),
+e AS (SELECT v.p, v.d, u.p AS up, u.conv_id AS parent FROM v JOIN r ON r.conv_id = v.conv_id AND r.d = v.d - 1 JOIN v u ON u.p = r.p AND u.d = r.d),
+k AS (SELECT up AS p, d - 1 AS d, count(*) AS n FROM e GROUP BY up, d),
+s AS (
+  SELECT r.p, r.d, sum((v.n_convs - 1) * v.bytes) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM v JOIN r ON r.conv_id = v.conv_id AND r.d <= v.d LEFT JOIN k ON k.p = v.p AND k.d = v.d GROUP BY r.p, r.d)
+SELECT v.conv_id, v.d AS depth, e.parent AS parent_conv_id, v.n_convs, coalesce(k.n, 0) AS n_children, s.leaves AS n_leaves,
+       s.saved::BIGINT AS saved_tokens, v.ends_sha256
+FROM v JOIN s ON s.p = v.p AND s.d = v.d LEFT JOIN e ON e.p = v.p AND e.d = v.d LEFT JOIN k ON k.p = v.p AND k.d = v.d
+"""

@@ -9,7 +9,7 @@ from collections import defaultdict
 
 import pytest
 
-from sillage.llm import queries, structure_repair
+from sillage.llm import prefix_trie, queries, structure_repair
 
 SMALL = "/root/testdata/sf0.001"
 CONV = "conv_id long, turn long, role string, text string, k1 long, part int"
@@ -119,3 +119,76 @@ def test_repair_query(spark):
            for r in queries.QUERIES["op12_structure_repair"](spark, SMALL).collect()}
     nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
     assert got == {c: repaired(by[c]) if c in by else nothing for c in {r[0] for r in rows}}
+
+
+def trie_of(convs):
+    """Expected nodes of {conv_id: [(role, text), ...]}."""
+    members = defaultdict(list)
+    for c in sorted(convs):
+        for d in range(len(convs[c]) + 1):
+            members[tuple(convs[c][:d])].append(c)
+    children = defaultdict(list)
+    for p in members:
+        if p:
+            children[p[:-1]].append(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[q] for q in children[p]) or 1
+        saved[p] = sum(saved[q] for q in children[p]) + ((len(members[p]) - 1) * len(p[-1][1].encode()) if p else 0)
+    out = set()
+    for p, m in members.items():
+        ends = ",".join(str(c) for c in m if len(convs[c]) == len(p))
+        out.add((m[0], len(p), members[p[:-1]][0] if p else None, len(m), len(children[p]), leaves[p], saved[p], hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def ordered(rows):
+    by = defaultdict(list)
+    for c, t, r, x in rows:
+        if c is not None:
+            by[c].append((t is not None, t or 0, r or "", x or ""))
+    return {c: [r[2:] for r in sorted(v)] for c, v in by.items()}
+
+
+def shared(rows):
+    own = ordered(rows)
+    out = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = own.get(c - c % 5, [])[:h] + own[c][h:]
+    return out
+
+
+def node_set(df):
+    return [tuple(r[c] for c in ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")) for r in df.collect()]
+
+
+@pytest.mark.parametrize("first, grow", [(2000, 16), (3, 4)])
+def test_trie_equals_plain_python(spark, first, grow):
+    """``first`` = 3: many small batches are inserted one after another."""
+    rnd = random.Random(first)
+    rows, base = [], [("user", "a"), ("assistant", "bé"), ("user", ""), (None, "a"), ("user", None)]
+    for c in range(60):
+        n = rnd.choice([1, 2, 3, 5, 9, 30])
+        turns = [base[0]] * n if c % 3 == 0 else [rnd.choice(base[: 1 + k % 5]) for k in range(n)]
+        rows += [(c * 3 % 61, k if k % 7 else None, *t) for k, t in enumerate(turns) if k or rnd.random() < 0.9]
+    rows += [(200 + c, k, "user", f"{min(k, 17)}{k // 40 * c}") for c in range(6) for k in range(50)] + [(None, 1, "user", "x")]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], CONV)
+    got = node_set(prefix_trie.nodes(prefix_trie.symbols(df), None, first, grow))
+    assert len(got) == len(set(got)) and set(got) == trie_of(ordered(rows))
+    got = node_set(prefix_trie.nodes(*prefix_trie.rebuilt(prefix_trie.symbols(df)), first, grow))
+    assert len(got) == len(set(got)) and set(got) == trie_of(shared(rows))
+
+
+def test_trie_of_edge_tables(spark):
+    empty = spark.createDataFrame([], CONV)
+    assert prefix_trie.nodes(*prefix_trie.rebuilt(prefix_trie.symbols(empty))).count() == 0
+    one = spark.createDataFrame([(4, None, None, None, 0, 0)] * 2, CONV)
+    assert set(node_set(prefix_trie.nodes(prefix_trie.symbols(one)))) == trie_of({4: [("", "")] * 2})
+    silent = spark.createDataFrame([(9,), (7,), (None,)], "conv_id long")
+    assert set(node_set(prefix_trie.nodes(prefix_trie.symbols(empty), silent))) == trie_of({7: [], 9: []})
+
+
+def test_trie_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert set(node_set(queries.QUERIES["op11_prefix_trie"](spark, SMALL))) == trie_of(shared(rows))
