@@ -6,10 +6,11 @@ first among equals; the best pair is merged and the two pairs it makes with its
 neighbours are pushed, until the agenda is empty.  Characters that are no piece become
 byte pieces (the unknown id where the vocabulary has none).
 
-If no piece of the vocabulary holds a space mark after another character, no merge can
-cross such a border, so each run of space marks with the characters behind it is encoded
-by itself, once, and kept in a bounded table of its worker.  Other vocabularies run the
-agenda over whole texts.  Both take n log n steps for n characters.
+Two characters that stand side by side in no piece can never be merged, so texts are cut
+there and the chunks encoded apart.  Chunks are kept in a bounded table of the worker, of
+which the part used longest ago goes.  The new short chunks of a batch run their agendas
+side by side in arrays, each round merging the best pair of every chunk; long chunks run
+one heap each, in n log n steps for n characters.
 
 Each Arrow batch is then encoded and decoded by the sentencepiece library as well, and
 ``agrees`` says for each text whether both results are the same.  One scan, no shuffle: a
@@ -25,7 +26,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import heapq
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Texts encoded at once; chunks kept by a worker, and characters of the longest chunk kept.
-ROWS, KEPT, KEPT_CHARS = 64, 400_000, 64
+#: Texts encoded at once; chunks kept by a worker (twice); characters of the longest chunk in arrays.
+ROWS, KEPT, SHORT = 128, 300_000, 64
+#: Characters that are told apart when texts are cut; the rank of what doesn't merge, as a key.
+CLASSES, LAST, NONE = 255, 1 << 30, 1 << 62
 
 
 def _each_byte(e: UnicodeError) -> tuple[str, int]:
@@ -59,9 +62,10 @@ class Codec:
         self.ids = {p: i for i, p in enumerate(names) if not special[i]}
         self.score = {p: lib.get_score(i) for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(names) if lib.is_byte(i)}
-        borders = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
-        self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if borders else "(?s).+").findall
+        self._tables()
+        self.powers = np.random.default_rng(13).integers(0, 1 << 64, SHORT + 1, np.uint64) | np.uint64(1)
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.control = {i for i in range(len(names)) if lib.is_control(i)}
         self.out = [b"" if i in self.control else bytes([int(p[3:5], 16)]) if lib.is_byte(i) else p.replace(MARK, " ").encode()
                     for i, p in enumerate(names)]
@@ -92,29 +96,122 @@ class Codec:
                 heapq.heappush(heap, (-score[p], h, len(p), i))
         return [p for p in piece if p]
 
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk as 32-bit numbers."""
-        out: list[int] = []
-        for p in self.agenda(chunk):
-            if p in self.ids:
-                out.append(self.ids[p])
-            elif self.bytes:
-                out += [self.bytes[b] for b in p.encode()]
-            else:
-                out.append(self.library.unk_id())
-        packed = np.array(out, np.int32).tobytes()
-        if len(chunk) <= KEPT_CHARS:
-            if len(self.kept) >= KEPT:
-                self.kept.clear()
-            self.kept[chunk] = packed
-        return packed
-
-    def encode(self, text: str) -> np.ndarray:
-        kept = self.kept
-        parts = [kept.get(c) or self._chunk(c) for c in self.cut(self.library.normalize(text))]
+    def _tables(self) -> None:
+        """Which characters stand side by side in pieces; which symbols merge, to what."""
+        beside = Counter(x for p in self.ids for x in zip(p, p[1:]))
+        often = Counter(c for x, n in beside.items() for c in x * n)
+        self.kind = np.zeros(0x110000, np.uint8)  # 0: any character but the CLASSES most frequent in pieces
+        for k, (c, _) in enumerate(often.most_common(CLASSES), 1):
+            self.kind[ord(c)] = k
+        self.glue = np.zeros((CLASSES + 1, CLASSES + 1), bool)
+        self.glue[0], self.glue[:, 0] = True, True
+        for a, b in beside:
+            self.glue[self.kind[ord(a)], self.kind[ord(b)]] = True
+        size = self.library.get_piece_size()
+        symbol = dict(self.ids)
+        for c in sorted({c for p in self.ids for c in p} - set(symbol)):
+            symbol[c] = size + len(symbol)  # a character that is a part of pieces but none itself
+        self.symbol = np.full(0x110000, -1, np.int64)
+        for c, k in symbol.items():
+            if len(c) == 1:
+                self.symbol[ord(c)] = k
+        merges = {(symbol[p[:k]], symbol[p[k:]]): p for p in self.ids for k in range(1, len(p)) if p[:k] in symbol and p[k:] in symbol}
+        key = np.array([a << 32 | b for a, b in merges], np.int64)
+        order = np.argsort(key)
+        self.pair = np.append(key[order], np.int64(1 << 62))
+        self.merged = np.append(np.array([self.ids[p] for p in merges.values()], np.int64)[order], 0)
+        self.rank = np.append(np.unique([-self.score[p] for p in merges.values()], return_inverse=True)[1][order], LAST)
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair of symbols (LAST: they don't merge) and what it merges to."""
+        key = np.where((a >= 0) & (b >= 0), a << 32 | b, -1)
+        at = np.searchsorted(self.pair, key)
+        return np.where(self.pair[at] == key, self.rank[at], LAST).astype(np.int64), self.merged[at]
+
+    def agendas(self, chunks: list[str]) -> list[bytes]:
+        """Ids of every chunk as 32-bit numbers; all agendas go on at once, longest chunks
+        first: after r merges only those of over r characters can have a pair left."""
+        place = sorted(range(len(chunks)), key=lambda k: -len(chunks[k]))
+        size = np.array([len(chunks[k]) for k in place])
+        code = np.frombuffer("".join(chunks[k] for k in place).encode("utf-32-le"), np.uint32)
+        n, first = len(code), np.append(0, np.cumsum(size))
+        symbol = np.append(self.symbol[code], -1)  # the last slot stands before and behind every chunk
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[first[1:] - 1] = before[first[:-1]] = n
+        alive = np.ones(n, bool)
+        at = np.arange(n)
+        rank, merged = self._pairs(symbol[:-1], symbol[after[:-1]])
+        key, merged = np.append(rank << 32 | at, NONE), np.append(merged, 0)  # best score, then leftmost
+        for merges in range(1, int(size.max(initial=0))):
+            live = int(np.searchsorted(-size, -merges))  # chunks of more characters than that
+            best = np.minimum.reduceat(key[: first[live]], first[:live])
+            i = best[best < NONE] & (1 << 32) - 1
+            if not len(i):
+                break
+            j = after[i]
+            k = after[j]
+            symbol[i], after[i], before[k] = merged[i], k, i
+            alive[j], key[j] = False, NONE
+            for a, b in ((i, k), (before[i], i)):
+                rank, merged[a] = self._pairs(symbol[a], symbol[b])
+                key[a] = rank << 32 | a
+            key[n] = NONE
+        symbol, code = symbol[:-1][alive], code[alive]
+        strange = (symbol < 0) | (symbol >= self.library.get_piece_size())
+        ends = np.append(0, np.cumsum(alive))[first].tolist()
+        packed = symbol.astype(np.int32).tobytes()
+        out: list[bytes] = [b""] * len(chunks)
+        for k, a, b in zip(place, ends, ends[1:]):
+            out[k] = packed[4 * a : 4 * b]
+        for k in set((np.searchsorted(ends, np.flatnonzero(strange), "right") - 1).tolist()):
+            out[place[k]] = b"".join(self._single(chr(c)) if x else np.int32(i).tobytes()
+                                     for i, c, x in zip(*(v[ends[k] : ends[k + 1]].tolist() for v in (symbol, code, strange))))
+        return out
+
+    def _single(self, c: str) -> bytes:
+        """Ids of a character that is no piece."""
+        return np.array([self.bytes[b] for b in c.encode()] if self.bytes else [self.library.unk_id()], np.int32).tobytes()
+
+    def _heap(self, chunk: str) -> bytes:
+        return b"".join(np.int32(self.ids[p]).tobytes() if p in self.ids else self._single(p) for p in self.agenda(chunk))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``texts``, and where each text's ids end (with a 0 before)."""
+        texts = [self.library.normalize(t) for t in texts]
+        whole = "".join(texts)
+        ends = np.cumsum([0, *map(len, texts)])
+        code = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        kind = self.kind[code]
+        cut = np.append(True, ~self.glue[kind[:-1], kind[1:]]) if whole else np.zeros(0, bool)
+        cut[ends[:-1][ends[:-1] < len(whole)]] = True
+        starts = np.flatnonzero(cut)
+        long = np.diff(np.append(starts, len(whole)))
+        # equal chunks of the batch are looked up once; the long ones stay apart
+        offset = np.arange(len(code)) - np.repeat(starts, long)
+        digest = np.add.reduceat((code + np.uint64(1)) * self.powers[np.minimum(offset, SHORT)], starts) if whole else np.zeros(0, np.uint64)
+        digest = np.where(long > SHORT, np.arange(len(starts), dtype=np.uint64), digest | np.uint64(1 << 63))
+        _, at, which = np.unique(digest, return_index=True, return_inverse=True)
+        chunks = [whole[a:b] for a, b in zip(starts[at].tolist(), (starts + long)[at].tolist())]
+        kept, older = self.kept, self.older
+        parts = list(map(kept.get, chunks))
+        if None in parts:
+            new = [c for c, p in zip(chunks, parts) if p is None]
+            kept.update((c, older[c]) for c in new if c in older)
+            short = [c for c in new if len(c) <= SHORT and c not in kept]
+            kept.update(zip(short, self.agendas(short)) if short else ())
+            parts = [p or kept.get(c) or self._heap(c) for c, p in zip(chunks, parts)]
+        if len(kept) > KEPT:
+            self.kept, self.older = {}, kept
+        table = np.frombuffer(b"".join(parts), np.int32)
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        own = size[which]
+        sizes = np.append(0, np.cumsum(own))
+        ids = table[np.repeat((np.cumsum(size) - size)[which] - sizes[:-1], own) + np.arange(sizes[-1])]
+        ends = sizes[np.searchsorted(starts, ends)]
         if self.end:
-            parts.append(np.int32(self.library.eos_id()).tobytes())
-        return np.frombuffer(b"".join(parts), np.int32)
+            ids = np.insert(ids, ends[1:], self.library.eos_id())
+            ends = ends + np.arange(len(ends))
+        return ids, ends
 
     def decode(self, ids: list[int]) -> str:
         if self.control.isdisjoint(ids[:-1]):
@@ -156,15 +253,15 @@ def round_trip(df: DataFrame, path: str, text: str = "text", end: bool = True) -
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-                ids = [own.encode(t) for t in texts]
-                lists = [x.tolist() for x in ids]
+                ids, ends = own.encode(texts)
+                flat, at_ = ids.tolist(), ends.tolist()
+                lists = [flat[a:b] for a, b in zip(at_, at_[1:])]
                 decoded = [own.decode(x) for x in lists]
                 theirs = own.library.encode(texts, add_eos=end, num_threads=1)
                 agrees = [a == b and d == own.library.decode(b) for a, b, d in zip(lists, theirs, decoded)]
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(batch.schema.get_field_index(c)) for c in given),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))),
+                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
                      pa.array(decoded, pa.string()), pa.array(agrees)], [*given, "ids", "decoded", "agrees"])
 
     return df.mapInArrow(run, schema)

@@ -3,7 +3,9 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 
@@ -25,7 +27,7 @@ def test_codec_equals_the_library(codec):
     rnd = random.Random(1)
     parts = ["▁", " ", "  ", "a", "the ", "é", "́", "🙂", "中", "\x00", "\n", "</s>", "<0x41>", "of", "​", " " * 17, "█", "ing"]
     for text in EDGE + ["".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(3000)]:
-        ids = codec.encode(text).tolist()
+        ids = codec.encode([text])[0].tolist()
         assert ids == codec.library.encode(text, add_eos=True), text
         assert codec.decode(ids) == codec.library.decode(ids), text
 
@@ -37,13 +39,22 @@ def test_decode_of_any_ids(codec):
         assert codec.decode(ids) == codec.library.decode(ids), ids
 
 
-def test_whole_texts_without_the_table(codec, monkeypatch):
-    """Chunks encoded apart give what one agenda over the whole text gives, kept or not."""
-    monkeypatch.setattr(codec, "cut", lambda t: [t] if t else [])
-    for text in [*EDGE[:10], "Several words, and  some more."]:
-        assert codec.encode(text).tolist() == codec.library.encode(text, add_eos=True)
-    monkeypatch.setattr(piece_codec, "KEPT", 1)
-    assert codec.encode("one two one two").tolist() == codec.library.encode("one two one two", add_eos=True)
+def test_agendas_side_by_side_equal_the_heap(codec):
+    """Arrays and heap give the same for words, and for texts that aren't cut at all."""
+    with open(f"{SMALL}/documents.parquet", "rb") as f:
+        texts = [t or "" for t in pq.read_table(f).column("text").to_pylist()]
+    words = [codec.library.normalize(w) for t in [*texts, *EDGE] for w in t.split(" ")[:200] if w and len(w) < 99]
+    assert codec.agendas(words) == [codec._heap(w) for w in words]
+    for text in [*EDGE, "Several words, and  some more."]:
+        assert np.frombuffer(codec._heap(codec.library.normalize(text)), np.int32).tolist() == codec.library.encode(text)
+
+
+def test_small_table_and_many_texts(codec, monkeypatch):
+    monkeypatch.setattr(piece_codec, "KEPT", 3)
+    for _ in range(3):
+        ids, ends = codec.encode(EDGE)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == codec.library.encode(EDGE, add_eos=True)
+    assert codec.encode([])[0].tolist() == []
 
 
 def test_round_trip_of_a_table(spark):
