@@ -8,9 +8,8 @@
   derived ``risque_abandon`` is appended only with ``legacy_features=True``.
 * Split (M3): each row's hash is compared with its label's exact 80 % hash quantile (a
   two-row table), so the split is stratified, reproducible and needs no global sort.
-* Balance (M4): class weights ``n / (2 n_class)`` in ``weightCol``.  The reference
-  oversamples with SMOTE; a neighbour search inside the minority class would emit
-  candidate pairs within a group, so the loss is balanced by weights instead.
+* Balance (M4): synthetic minority rows (``operators/smote.py``) or class weights
+  ``n / (2 n_class)`` in ``weightCol``.
 * Models (M5-M7): logistic regression, random forest, gradient-boosted trees.
 * Metrics (M8): confusion counts from one aggregate; zero divisions give 0.
 * Persistence (M9/K7): the fitted stages are one ``PipelineModel``, saved and loaded.
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from .joins import known_rows, materialize, right_size
+from .smote import balanced
 from .stats import exact_quantiles
 
 ENCODED = {  # source column -> code column
@@ -183,10 +183,17 @@ class Comparison:
     models: dict = field(default_factory=dict)
 
 
+def oversampled(train: DataFrame, label: str, id_col: str, legacy_features: bool = False,
+                weight_col: str = "poids") -> DataFrame:
+    """M4: encoded training rows plus the synthetic ones that balance the classes."""
+    return balanced(train, label, id_col, feature_columns(legacy_features)).withColumn(weight_col, F.lit(1.0))
+
+
 def compare_models(prepared: DataFrame, label: str = "intention_achat",
-                   legacy_features: bool = False, **clf_kw) -> Comparison:
+                   legacy_features: bool = False, balance: str = "weights", id_col: str = "event_id", **clf_kw) -> Comparison:
     """M5-M8 + L6: fit each model on the training part, score the test part, pick the
-    best F1 (strictly above 0, first one wins ties).
+    best F1 (strictly above 0, first one wins ties).  ``balance`` is ``weights`` or
+    ``smote`` (synthetic minority rows; ``id_col`` must be a unique integer).
 
     ``prepared`` has the feature columns (not yet encoded), ``label`` and ``split``.
     """
@@ -198,7 +205,11 @@ def compare_models(prepared: DataFrame, label: str = "intention_achat",
     test = prepared.filter(F.col("split") == "test")
     enc = fit_encoders(train, list(ENCODED))
     prep = [filler(legacy_features), assembler(legacy_features)]
-    train_w = right_size(materialize(class_weights(enc.transform(train), label), "ml-train"))
+    if balance not in ("weights", "smote"):
+        raise ValueError(f"unknown balance {balance!r}")
+    coded = enc.transform(train)
+    weighted = oversampled(coded, label, id_col, legacy_features) if balance == "smote" else class_weights(coded, label)
+    train_w = right_size(materialize(weighted, "ml-train"))
     n_train = known_rows(train_w)
     rows, fitted = [], {}
     best_f1, best_name, best_model = 0.0, None, None

@@ -13,6 +13,7 @@ from ..functions.columns import score_recommendation
 from ..operators.features import join_features, key_tables
 from ..operators.joins import broadcast_if_small, known_rows, materialize, right_size
 from ..operators.sinks import EpochSink
+from ..operators.smote import smote
 from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..streaming import jobs as J
@@ -83,6 +84,30 @@ def ml_features(spark, sf_dir):
     return M.assemble(enc.transform(tgt)).select("event_id", "intention_achat", *_FEATURES)
 
 
+_SMOTE_DRAW = "CAST('0x' || substr(md5(concat_ws('|', {}, '{}')), 1, 13) AS BIGINT)"
+_SMOTE_DISTANCE = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _FEATURES)
+
+
+@register("ml_smote", O.with_fixtures(f"""
+SELECT s.y AS intention_achat, s.i AS numero, a.event_id AS base_id, b.event_id AS voisin_id, s.part, """ + ", ".join(
+    f"a.{c} + s.part * (b.{c} - a.{c}) AS {c}" for c in _FEATURES) + """
+FROM s JOIN r a ON a.y = s.y AND a.rk = s.base JOIN nn ON nn.event_id = a.event_id AND nn.j = s.rang JOIN r b ON b.event_id = nn.voisin""",
+    *ML_CTES, ENCODED_CTE, "f AS MATERIALIZED (SELECT event_id, intention_achat AS y, " + ", ".join(
+        f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in _FEATURES) + " FROM encoded)",
+    "cnt AS (SELECT y, count(*) AS n, max(count(*)) OVER () AS m FROM f GROUP BY y)",
+    f"""r AS MATERIALIZED (SELECT f.*, row_number() OVER (PARTITION BY y ORDER BY {_SMOTE_DRAW.format("event_id", "42")}, event_id) - 1 AS rk
+  FROM f JOIN cnt USING (y) WHERE n < m)""",
+    f"""nn AS (SELECT event_id, voisin, j FROM (
+  SELECT a.event_id, b.event_id AS voisin, row_number() OVER (PARTITION BY a.event_id ORDER BY {_SMOTE_DISTANCE}, b.event_id) AS j
+  FROM r a JOIN r b ON a.y = b.y AND a.event_id <> b.event_id) WHERE j <= 5)""",
+    f"""s AS (SELECT y, i, {_SMOTE_DRAW.format("y, i", "base|42")} % n AS base, {_SMOTE_DRAW.format("y, i", "voisin|42")} % least(5, n - 1) + 1 AS rang,
+    {_SMOTE_DRAW.format("y, i", "part|42")} / 4503599627370496.0::DOUBLE AS part
+  FROM (SELECT y, n, unnest(range(m - n)) AS i FROM cnt))"""))
+def ml_smote(spark, sf_dir):
+    """M4: synthetic rows that balance the purchase/abandon classes over the 27 features."""
+    return smote(ml_features(spark, sf_dir), "intention_achat", "event_id", _FEATURES)
+
+
 @register("ml_split", O.with_fixtures("""
 SELECT event_id, intention_achat,
   CASE WHEN rank() OVER w - 1 <= floor(CAST(0.8 AS DOUBLE) * (count(*) OVER (PARTITION BY intention_achat) - 1))
@@ -158,8 +183,9 @@ def nlp_and_profile(df):
 
 @register("ml_compare")
 def ml_compare(spark, sf_dir):
-    """M5-M8 + L6: the three models trained on the split, compared on the test part."""
-    return M.compare_models(_prepared(spark, sf_dir)).results
+    """M4-M8 + L6: the three models trained on the oversampled training part of the split,
+    compared on the test part."""
+    return M.compare_models(_prepared(spark, sf_dir), balance="smote").results
 
 
 @register("stream_scoring")
