@@ -15,6 +15,8 @@ from ..session import scratch_path
 from ..sources import events as EV
 from ..sources import fixtures as FX
 from ..streaming import jobs as J
+from ..streaming import supervise as V
+from ..streaming import windows as W
 from . import oracle as O
 from .catalog import register
 from .q_dashboard import _KPI_SQL_BODY, _MINUTE_SQL
@@ -97,6 +99,43 @@ def stream_conversion(spark, sf_dir):
     return out.select("minute", "achats", "abandons")
 
 
+@register("stream_windows", O.with_fixtures(_MINUTE_SQL))
+def stream_windows(spark, sf_dir):
+    """T8 as event-time windows: keyed state with timers and a watermark, update mode, one
+    file per trigger.  Each file holds a span of time and they come in any order, so many
+    clicks are late; they are in the side table and in the totals."""
+    clicks = FX.clicks(spark, sf_dir, with_event_id=False)
+    landing = scratch_path(spark, "landing-windows")
+    EV.to_json_lines(clicks.repartitionByRange(6, "timestamp"), S.CLICKSTREAM_SCHEMA).write.text(landing)
+    stream = J.clicks_stream(spark, {"format": "files", "path": landing, "maxFilesPerTrigger": 1}, None)
+    sink = W.WindowSink(scratch_path(spark, "sink-windows"))
+    J.run_once(W.conversion_windows(stream), sink, scratch_path(spark, "ckpt-windows"), f"windows_{landing[-12:]}", "update")
+    return sink.read(spark).drop("tardifs")
+
+
+#: For the query: files a topic lands in, and files of a micro-batch.
+RUN_FILES, RUN_PER_BATCH = 6, 2
+
+
+@register("stream_run", O.with_fixtures("\nUNION ALL ".join(
+    f"SELECT '{flux}' AS flux, CAST({RUN_FILES // RUN_PER_BATCH} AS BIGINT) AS lots, count(*) AS lignes, "
+    f"CAST(0 AS BIGINT) AS redemarrages, 'done' AS etat FROM {view}"
+    for flux, view in (("clickstream", "clicks"), ("transactions", "transactions"), ("service_client", "support")))))
+def stream_run(spark, sf_dir):
+    """The three consumers under the supervisor; its record of batches and rows."""
+    topics = {"clickstream": (FX.clicks, S.CLICKSTREAM_SCHEMA, lambda src: J.clicks_stream(spark, src, "A")),
+              "transactions": (FX.transactions, S.TRANSACTION_SCHEMA, lambda src: J.transactions_stream(spark, src)),
+              "service_client": (FX.support, S.SUPPORT_SCHEMA, lambda src: J.support_stream(spark, src))}
+    plans = {}
+    for name, (rows, schema, build) in topics.items():
+        path = land_json(rows(spark, sf_dir, with_event_id=False), schema, f"run-{name}", RUN_FILES)
+        source = {"format": "files", "path": path, "maxFilesPerTrigger": RUN_PER_BATCH}
+        spec = J.StreamSpec(f"run_{name}_{path[-12:]}", source, K.EpochSink(scratch_path(spark, f"run-{name}")),
+                            scratch_path(spark, f"run-ckpt-{name}"), None)
+        plans[name] = (build(source), spec)
+    return V.report(spark, plans, V.run_supervised(spark, plans))
+
+
 @register("json_decode", O.with_fixtures(
     f"SELECT {', '.join(CLICK_STREAM_COLS)}, CAST(NULL AS VARCHAR) AS _corrupt_record FROM clicks"))
 def json_decode(spark, sf_dir):

@@ -1,5 +1,9 @@
 """Stream = batch, and restart from the checkpoint does not duplicate rows."""
 
+import datetime as dt
+import json
+import time
+
 from pyspark.sql import functions as F
 
 from sillage import schemas as S
@@ -9,6 +13,8 @@ from sillage.plans.q_streaming import land_json
 from sillage.session import scratch_path
 from sillage.sources import fixtures as FX
 from sillage.streaming import jobs as J
+from sillage.streaming import supervise as V
+from sillage.streaming import windows as W
 from tests.conftest import SMALL
 
 
@@ -86,6 +92,70 @@ def test_stream_scoring_profiles_equal_batch_profiles(spark):
     assert streamed.filter(F.col("proba_achat").isNull() | F.col("recommandation").isNull()).count() == 0
 
 
+def test_windows_close_and_late_clicks_are_kept(spark, tmp_path):
+    """Files one at a time: windows close behind the watermark, later clicks are late, a
+    restart goes on from the stored state, and no click is lost or counted twice."""
+    base, landing = 1_700_000_040, tmp_path / "landing"
+    files = [[(base + 1, "purchase"), (base + 2, "abandon"), (base + 3, "view")],
+             [(base + 5, "purchase"), (base + 70, "purchase")],  # both windows are open
+             [(base + 600, "abandon"), (None, "purchase")],
+             [(base + 6, "purchase"), (base + 601, "purchase")],  # the first is late now
+             [(base + 7, "abandon"), (base + 71, "abandon"), (base + 1200, "purchase")],
+             [(base + 8, "purchase")]]
+    landing.mkdir()
+    sink = W.WindowSink(scratch_path(spark, "t-windows"))
+    ckpt = scratch_path(spark, "t-windows-ckpt")
+    for k, rows in enumerate(files):
+        lines = "".join(f'{{"timestamp": {json.dumps(t)}, "action": "{a}", "session_id": "s"}}\n' for t, a in rows)
+        (landing / f"{k}.json").write_text(lines)
+        if k in (2, 5):  # several files, then the rest after a restart
+            stream = J.clicks_stream(spark, {"format": "files", "path": str(landing), "maxFilesPerTrigger": 1}, None)
+            J.run_once(W.conversion_windows(stream), sink, ckpt, f"t_windows_{k}", "update")
+        time.sleep(0.02)  # file order is by time stamp
+    got = {int(r["minute"].replace(tzinfo=dt.timezone.utc).timestamp()) - base: (r["achats"], r["abandons"], r["tardifs"]) for r in sink.read(spark).collect()}
+    assert got == {0: (4, 2, 3), 60: (1, 1, 1), 600: (1, 1, 0), 1200: (1, 0, 0)}
+    assert sorted(r["timestamp"] - base for r in sink.late.read(spark).collect()) == [6, 7, 8, 71]
+    kinds = {(r["window_start"] - base, r["kind"]) for r in sink.windows.read(spark).collect()}
+    assert {k for k in kinds if k[0] < 600} == {(0, "closed"), (60, "closed")}
+
+
+def _two_plans(spark, name, sink):
+    plans = {}
+    for topic, target in (("a", sink), ("b", K.EpochSink(scratch_path(spark, f"{name}-b")))):
+        path = land_json(FX.support(spark, SMALL, with_event_id=False), S.SUPPORT_SCHEMA, f"{name}-{topic}", 4)
+        source = {"format": "files", "path": path, "maxFilesPerTrigger": 1}
+        plans[topic] = (J.support_stream(spark, source), J.StreamSpec(f"{name}_{topic}", source, target, scratch_path(spark, f"{name}-{topic}-ckpt"), None))
+    return plans
+
+
+def test_supervisor_restarts_a_failed_query(spark):
+    inner, failures = K.EpochSink(scratch_path(spark, "t-sup")), []
+
+    def sink(df, epoch):
+        if epoch == 2 and len(failures) < 2:
+            failures.append(epoch)
+            raise RuntimeError("sink down")
+        inner(df, epoch)
+
+    records = V.run_supervised(spark, _two_plans(spark, "t_sup", sink), restarts=2)
+    n = FX.support(spark, SMALL).count()
+    assert {k: (len(r.batches), r.restarts, r.state) for k, r in records.items()} == {"a": (4, 2, "done"), "b": (4, 0, "done")}
+    assert all(sum(r.rows.values()) >= n for r in records.values())
+    assert inner.read(spark).count() == n and "sink down" in records["a"].error
+
+
+def test_supervisor_stops_the_siblings(spark):
+    def sink(df, epoch):
+        raise RuntimeError("sink down")
+
+    plans = _two_plans(spark, "t_stop", sink)
+    df, spec = plans["b"]
+    spec.trigger = "1 second"  # runs until it is stopped
+    records = V.run_supervised(spark, plans)
+    assert records["a"].state == "failed" and records["b"].state == "stopped"
+    assert not [q for q in spark.streams.active if q.name == spec.name]
+
+
 def test_command_lines(spark, tmp_path):
     from sillage.plans.__main__ import main as run_query
     from sillage.streaming.__main__ import main as run_consumers_cli
