@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import schemas as S
+from ..operators import asof as AS
 from ..operators import features as E
 from ..operators import stats as ST
 from ..sources import fixtures as FX
@@ -95,3 +96,46 @@ def _describe_sql(columns: list[str]) -> str:
 
 register("feature_summary", O.with_fixtures(_describe_sql(S.ENRICHED_COLUMNS), ENRICHED_CTE))(
     lambda spark, sf_dir: ST.describe(enriched(spark, sf_dir), S.ENRICHED_COLUMNS))
+
+
+_BEFORE = "(PARTITION BY user_id ORDER BY instant RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+def _so_far(expr: str) -> str:
+    return f"coalesce(sum({expr}) OVER w, 0)"
+
+
+ASOF_CTE = f"""
+avant AS (
+  SELECT kind, event_id, user_id, CAST({_so_far("CAST(kind = 'c' AS INTEGER)")} AS BIGINT) AS nb_actions_user,
+    CAST({_so_far("CAST(action = 'purchase' AS INTEGER)")} AS BIGINT) AS nb_achats_user,
+    CAST({_so_far("CAST(action = 'abandon' AS INTEGER)")} AS BIGINT) AS nb_abandons_user,
+    sum(duree_visite) OVER w / count(duree_visite) OVER w AS duree_moy_user,
+    CAST({_so_far("score")} AS BIGINT) AS score_engagement_total,
+    CAST({_so_far("montant")} AS DOUBLE) AS montant_total_depense,
+    CAST({_so_far("CAST(kind = 'p' AS INTEGER)")} AS BIGINT) AS nb_transactions_reussies,
+    CAST({_so_far("CAST(kind = 't' AS INTEGER)")} AS BIGINT) AS nb_tickets_support,
+    CAST({_so_far("CAST(motif_contact = 'remboursement' AS INTEGER)")} AS BIGINT) AS nb_remboursements
+  FROM (
+    SELECT 'c' AS kind, event_id, user_id, "timestamp", action, duree_visite, {O.action_score_sql()} AS score,
+      CAST(NULL AS DECIMAL(38,10)) AS montant, NULL AS motif_contact FROM clicks
+    UNION ALL SELECT 'p', event_id, user_id, "timestamp", NULL, NULL, NULL, CAST(montant_paye AS DECIMAL(38,10)), NULL
+      FROM transactions WHERE statut_paiement = 'succès'
+    UNION ALL SELECT 't', event_id, user_id, "timestamp", NULL, NULL, NULL, NULL, motif_contact FROM support) u,
+    LATERAL (SELECT CAST(round(u."timestamp" * 1000000) AS BIGINT) AS instant) i
+  WINDOW w AS {_BEFORE})"""
+
+ASOF_SQL = """
+SELECT event_id, user_id, nb_actions_user, nb_achats_user, nb_abandons_user, duree_moy_user,
+  CASE WHEN nb_actions_user > 0 THEN nb_achats_user / nb_actions_user ELSE 0.0 END AS taux_achat_user, score_engagement_total,
+  montant_total_depense, nb_transactions_reussies,
+  CASE WHEN nb_transactions_reussies > 0 THEN montant_total_depense / nb_transactions_reussies ELSE 0.0 END AS panier_moyen,
+  nb_tickets_support, nb_remboursements
+FROM avant WHERE kind = 'c'"""
+
+
+@register("asof_features", O.with_fixtures(ASOF_SQL, ASOF_CTE))
+def asof_features(spark, sf_dir):
+    """The user features of every click from strictly earlier events only."""
+    j = FX.journey(spark, sf_dir)
+    return AS.asof_features(j.clicks, j.transactions, j.support)
