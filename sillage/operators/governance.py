@@ -1,8 +1,9 @@
 """Privacy operators: pseudonymisation, minimisation, erasure, retention.
 
-Erasure and retention never rewrite a table in place: the operators return the
-kept rows, and ``apply_erasure`` / ``apply_retention`` store them as a new version of
-each table (erasure then deletes the versions that hold the user).
+``apply_erasure`` and ``apply_retention`` work on stored tables: they look up the files
+that hold such rows, rewrite those and no others (``operators/files.py``), and delete older
+versions, so that the rows are in no file afterwards.  Days that have expired as a whole
+are deleted without being read.
 """
 
 from __future__ import annotations
@@ -101,43 +102,91 @@ def retention_report(tables: Mapping[str, DataFrame], as_of: str,
     return out
 
 
+def _stored(spark, path: str):
+    """The stored table at ``path`` with its files; a path that holds none is an error."""
+    from .sinks import EpochSink, KeyedTable, VersionedTable
+
+    for table in (VersionedTable(path), EpochSink(path), KeyedTable(path, [])):
+        rows = table.files(spark)
+        if rows is not None:
+            return table, rows
+    raise ValueError(f"no stored table at {path}")
+
+
+def _wanted(rows: DataFrame, ids: Iterable[int] | DataFrame, column: str) -> Column | None:
+    """Filter for the rows of the listed ids; None if the list is a table."""
+    return None if isinstance(ids, DataFrame) else F.col(column).isin([int(i) for i in ids])
+
+
 def apply_erasure(spark, tables: Mapping[str, str], ids: Iterable[int] | DataFrame,
                   column: str = "user_id") -> DataFrame:
-    """G3 applied: every stored table holding ``column`` is rewritten without the erased
-    ids, versions and epochs that still hold them are deleted, and the count of removed
-    rows per table is returned.  Stop the streams that write these tables first: a batch in
-    flight would be built on the version before.  A path that holds neither versions nor
-    epochs is an error, not a table without the user."""
-    from .sinks import EpochSink, VersionedTable
-
-    stored = {}
-    for name, path in tables.items():
-        if VersionedTable(path).versions(spark):
-            stored[name] = (VersionedTable(path), VersionedTable(path).read(spark))
-        elif EpochSink(path).epochs(spark):
-            stored[name] = (EpochSink(path), EpochSink(path).read(spark))
-        else:
-            raise ValueError(f"no stored table to erase from at {path}")
-    stored = {name: (t, df) for name, (t, df) in stored.items() if column in df.columns}
-    if not stored:
-        return spark.createDataFrame([], "table string, nb_supprimes long")
-    report = erase_counts({name: df for name, (_, df) in stored.items()}, ids, column).collect()
-    for table, df in stored.values():
-        if isinstance(table, EpochSink):
-            table.replace(spark, lambda rows: erase(rows, ids, column))
+    """G3 applied: the files of every stored table that hold an erased id are rewritten
+    without it, older versions are deleted, and the count of removed rows per table is
+    returned.  Stop the streams that write these tables first: a batch in flight would be
+    built on the rows before.  A path that holds no stored table is an error, not a table
+    without the user."""
+    from .files import named
+
+    stored = {name: _stored(spark, path) for name, path in tables.items()}
+    report = []
+    for name, (table, rows) in stored.items():
+        if column not in rows.columns:
+            continue
+        wanted = _wanted(rows, ids, column)
+        if wanted is None:
+            hit = rows.withColumn("_file", F.col("_metadata.file_path")).join(
+                broadcast_if_small(_ids_frame(spark, ids, column)), column, "left_semi")
         else:
-            table.drop_before(spark, table.write(erase(df, ids, column)))
+            hit = rows.where(wanted).withColumn("_file", F.col("_metadata.file_path"))
+        per = hit.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per file that holds an id
+        table.rewrite(spark, [named(r["_file"]) for r in per], lambda r: erase(r, ids, column))
+        report.append((name, sum(r["n"] for r in per)))
     return spark.createDataFrame(report, "table string, nb_supprimes long")
 
 
+#: Partition column of tables laid out by event date.
+DAY = "jour"
+
+
+def with_day(df: DataFrame, ts_seconds: str | Column = "timestamp") -> DataFrame:
+    """``df`` with its event date, the partition column of a table that retention prunes."""
+    return df.withColumn(DAY, F.to_date(event_time(ts_seconds)))
+
+
 def apply_retention(spark, tables: Mapping[str, str], as_of: str,
-                    periods: Mapping[str, tuple[int, int]] | None = None) -> None:
-    """G4 applied: each versioned table gets a new version without expired rows."""
-    from .sinks import VersionedTable
+                    periods: Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
+    """G4 applied: no file of the stored tables holds an expired row afterwards.
+
+    In a table laid out by day (``with_day``) folders of days before the cutoff are deleted
+    unread and only the cutoff's day is looked at; in others the files with expired rows are
+    found by their statistics.  Undated rows stay.  Returns (table, jours_supprimes,
+    fichiers_reecrits) per table; a path that holds no stored table is an error."""
+    from .files import filesystem, holders, named
 
     periods = periods or S.RETENTION
-    for name, path in tables.items():
-        t = VersionedTable(path)
-        df = t.read(spark)
-        if df is not None:
-            t.write(retention_filter(df, as_of, periods[name]))
+    stored = {name: _stored(spark, path) for name, path in tables.items()}
+    report = []
+    for name, (table, rows) in stored.items():
+        cutoff = _cutoff(as_of, periods[name])
+        at, day = spark.range(1).select(F.unix_micros(cutoff), F.to_date(cutoff)).first()
+        expired = F.col("timestamp") < F.lit(at / 1e6)
+        days = 0
+        if DAY in rows.columns:
+            old = rows.inputFiles()
+            fs, _, jvm = filesystem(spark, tables[name])
+            folders = {named(f).rpartition("/")[0] for f in old}
+            for folder in sorted(folders):
+                value = folder.rpartition(f"{DAY}=")[2]
+                if value[:4].isdigit() and value < day.isoformat():
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+                    days += 1
+            rows = table.files(spark)
+            if rows is None:
+                report.append((name, days, 0))
+                continue
+            files = holders(rows, (F.col(DAY) == F.lit(day)) & expired)
+        else:
+            files = holders(rows, expired)
+        table.rewrite(spark, files, lambda r: retention_filter(r, as_of, periods[name]))
+        report.append((name, days, len(files)))
+    return spark.createDataFrame(report, "table string, jours_supprimes long, fichiers_reecrits long")

@@ -6,9 +6,11 @@ every write is a Spark job on the executors into the shared folder:
 
 * ``EpochSink``  – each micro-batch overwrites its own folder; replaying an epoch
   rewrites the same folder, so the table holds it once.
-* ``KeyedTable`` – last-write-wins on a key.  Each batch produces a new version folder
-  from the latest committed version plus the batch; a version is committed when its
-  ``_SUCCESS`` marker exists, so a crash midway leaves the previous version readable.
+* ``KeyedTable`` – last-write-wins on a key.  Rows lie in parts (buckets of the key's
+  hash, or a function of the key such as its day).  A batch rewrites the parts it touches
+  into new folders and commits them with a small manifest that lists every part's folder;
+  a crash midway leaves the last manifest readable, and parts that no recent manifest
+  lists are deleted.
 * ``CountTable`` – the same, adding each batch's counts by key.
 """
 
@@ -18,15 +20,16 @@ import re
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .files import BLOOM, BLOOM_COLUMN, filesystem as _fs
+from .files import get, put, recover, rewrite
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+def _options(df: DataFrame) -> dict[str, str]:
+    return BLOOM if BLOOM_COLUMN in df.columns else {}
 
 
 def query_id(spark: SparkSession) -> str:
@@ -51,7 +54,7 @@ class EpochSink:
         self._write(df, f"epoch={epoch_id}-{query_id(df.sparkSession)}".rstrip("-"))
 
     def _write(self, df: DataFrame, folder: str) -> None:
-        w = df.write.mode("overwrite")
+        w = df.write.mode("overwrite").options(**_options(df))
         if self.partition_cols:
             w = w.partitionBy(*self.partition_cols)
         w.parquet(f"{self.path}/{folder}")
@@ -72,15 +75,13 @@ class EpochSink:
             return spark.createDataFrame([], schema or StructType())
         return spark.read.option("basePath", self.path).parquet(*[f"{self.path}/{f}" for f in folders])
 
-    def replace(self, spark: SparkSession, change) -> None:
-        """Rewrite every epoch as ``change(rows)``.  The new folder is complete before the
-        old one goes; names with a leading underscore are invisible to readers."""
-        for folder in self.epochs(spark):
-            fs, old, jvm = _fs(spark, f"{self.path}/{folder}")
-            new = f"_new-{folder}"
-            self._write(change(spark.read.parquet(str(old))), new)
-            fs.delete(old, True)
-            fs.rename(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{new}"), old)
+    def files(self, spark: SparkSession) -> DataFrame | None:
+        """All committed epochs as a plain read of their files, or None."""
+        recover(spark, self.path)
+        return self.read(spark) if self.epochs(spark) else None
+
+    def rewrite(self, spark: SparkSession, files: list[str], change) -> None:
+        rewrite(spark, self.path, files, change)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "_epoch") -> DataFrame:
@@ -147,9 +148,27 @@ class VersionedTable:
         if epoch is None and es:
             _, epoch, query, _ = es[-1]
         name = f"v={version}" if epoch is None else f"v={version}.e={epoch}.q={query}"
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        df.write.mode("overwrite").options(**_options(df)).parquet(f"{self.path}/{name}")
         return version
 
+    def files(self, spark: SparkSession) -> DataFrame | None:
+        """The current version as a plain read of its files, or None."""
+        es = self._entries(spark)
+        if es:
+            recover(spark, f"{self.path}/{es[-1][3]}")
+        return self.read(spark)
+
+    def rewrite(self, spark: SparkSession, files: list[str], change) -> None:
+        """Rewrite ``files`` of the current version, which becomes the next one; the versions
+        before it go, as they hold the rows that were to leave."""
+        version, epoch, query, folder = self._entries(spark)[-1]
+        self.drop_before(spark, version)
+        if not files:
+            return
+        rewrite(spark, f"{self.path}/{folder}", files, change)
+        fs, old, jvm = _fs(spark, f"{self.path}/{folder}")
+        fs.rename(old, jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder.replace(f'v={version}', f'v={version + 1}', 1)}"))
+
     def drop_before(self, spark: SparkSession, version: int) -> None:
         """Delete the versions before ``version`` (erased rows must not stay on disk)."""
         fs, base, jvm = _fs(spark, self.path)
@@ -159,31 +178,118 @@ class VersionedTable:
                 fs.delete(st.getPath(), True)
 
 
-class KeyedTable(VersionedTable):
-    """K2: ``foreachBatch`` target keeping the latest row per key in versioned folders.
+#: Parts of a keyed table by default; manifests (and the parts they list) that are kept.
+BUCKETS, KEEP = 16, 3
+
+
+class KeyedTable:
+    """K2: ``foreachBatch`` target keeping the latest row per key, rewriting touched parts.
+
+    ``by`` places a row: a column expression of the keys with few values, such as the day
+    of a key's timestamp (then a stream of recent events touches recent days only); by
+    default the key's hash in ``buckets``.  It must not change over the table's life.
+
+    A batch is skipped as a replay if its query (checkpoint) has committed that epoch or a
+    later one, whatever other queries wrote in between."""
+
+    def __init__(self, path: str, keys: list[str], buckets: int = BUCKETS, by: Column | None = None, keep: int = KEEP):
+        self.path = path.rstrip("/")
+        self.keys, self.keep = keys, keep
+        self.part = by.cast("string") if by is not None else F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
+
+    def versions(self, spark: SparkSession) -> list[int]:
+        fs, base, _ = _fs(spark, f"{self.path}/_versions")
+        if not fs.exists(base):
+            return []
+        found = (re.fullmatch(r"v=(\d+)[.]json", st.getPath().getName()) for st in fs.listStatus(base))
+        return sorted(int(m[1]) for m in found if m)
+
+    def _manifest(self, spark: SparkSession) -> dict:
+        """version, parts (name -> folder), epochs (query -> last one) and schema."""
+        vs = self.versions(spark)
+        return get(spark, f"{self.path}/_versions/v={vs[-1]}.json") if vs else {"version": -1, "parts": {}, "epochs": {}, "schema": None}
+
+    def _read(self, spark: SparkSession, manifest: dict, parts: list[str]) -> DataFrame:
+        import json
 
-    A batch is skipped as a replay only if the same query (checkpoint) has already
-    committed its epoch; a stream with a new checkpoint is a new writer."""
+        schema = StructType.fromJson(json.loads(manifest["schema"]))
+        folders = [f"{self.path}/{manifest['parts'][p]}" for p in parts]
+        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
-    def __init__(self, path: str, keys: list[str]):
-        super().__init__(path)
-        self.keys = keys
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        manifest = self._manifest(spark)
+        return None if manifest["schema"] is None else self._read(spark, manifest, sorted(manifest["parts"]))
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
         spark = df.sparkSession
-        if df.isEmpty():
-            return
         query = query_id(spark)
-        es = self._entries(spark)
-        if es and es[-1][1] is not None and es[-1][2] == query and epoch_id <= es[-1][1]:
+        manifest = self._manifest(spark)
+        if epoch_id <= manifest["epochs"].get(query, -1):
             return  # this epoch is already committed (replay)
-        version = es[-1][0] + 1 if es else 0
-        self.write(self.merged(self.read(spark), df, version), epoch_id, query)
+        df = df.persist()  # read for its parts and for its rows
+        try:
+            touched = [r["p"] for r in df.select(F.coalesce(self.part, F.lit("none")).alias("p")).distinct().collect()]
+            if not touched:
+                return
+            version = manifest["version"] + 1
+            known = [p for p in touched if p in manifest["parts"]]
+            current = self._read(spark, manifest, known) if known else None
+            merged = self.merged(current, df, version).withColumn("part", F.coalesce(self.part, F.lit("none")))
+            data = f"data/v={version}"
+            writer = merged.repartition(min(len(touched), spark.sparkContext.defaultParallelism * 4), "part").write.mode("overwrite")
+            writer.options(**_options(merged)).partitionBy("part").parquet(f"{self.path}/{data}")
+            parts = manifest["parts"] | {p: f"{data}/part={_escaped(p)}" for p in touched}
+            self._commit(spark, version, parts, manifest["epochs"] | {query: epoch_id}, merged.drop("part").schema.json())
+        finally:
+            df.unpersist()
+
+    def _commit(self, spark: SparkSession, version: int, parts: dict, epochs: dict, schema: str) -> None:
+        put(spark, f"{self.path}/_versions/v={version}.json", {"version": version, "parts": parts, "epochs": epochs, "schema": schema})
+        self._drop(spark, self.keep)
+
+    def _drop(self, spark: SparkSession, keep: int) -> None:
+        """Delete manifests but the last ``keep``, and the parts that none of those lists."""
+        vs = self.versions(spark)
+        listed = {f for v in vs[-keep:] for f in get(spark, f"{self.path}/_versions/v={v}.json")["parts"].values()}
+        fs, _, jvm = _fs(spark, self.path)
+        path = jvm.org.apache.hadoop.fs.Path
+        for v in vs[:-keep]:
+            fs.delete(path(f"{self.path}/_versions/v={v}.json"), False)
+        if not fs.exists(path(f"{self.path}/data")):
+            return
+        for st in fs.listStatus(path(f"{self.path}/data")):
+            name = st.getPath().getName()
+            m = re.fullmatch(r"v=(\d+)", name)
+            if not m or int(m[1]) > vs[-1]:
+                continue  # a version being written
+            rest = [p for p in fs.listStatus(st.getPath()) if p.isDirectory()]
+            gone = [p for p in rest if f"data/{name}/{p.getPath().getName()}" not in listed]
+            for p in gone:
+                fs.delete(p.getPath(), True)
+            if len(gone) == len(rest):
+                fs.delete(st.getPath(), True)
+
+    def files(self, spark: SparkSession) -> DataFrame | None:
+        """The current parts as a plain read of their files, or None."""
+        recover(spark, f"{self.path}/data")
+        return self.read(spark)
+
+    def rewrite(self, spark: SparkSession, files: list[str], change) -> None:
+        """Rewrite ``files`` in their parts; older manifests' parts go, as they hold the rows
+        that were to leave."""
+        self._drop(spark, 1)
+        rewrite(spark, f"{self.path}/data", files, change)
 
     def merged(self, current: DataFrame | None, batch: DataFrame, version: int) -> DataFrame:
+        """New rows of the touched parts, from their current rows and the batch."""
         return upsert(current, batch, self.keys, version)
 
 
+def _escaped(name: str) -> str:
+    """A partition value as Spark names its folder."""
+    return re.sub(r'["#%\'*/:=?\\{\[\]^\x00-\x1f\x7f]', lambda m: f"%{ord(m[0]):02X}", name)
+
+
 class CountTable(KeyedTable):
     """Running totals by key: each batch's partial sums are added to the table.
 

@@ -101,3 +101,32 @@ def _pseudonymise_preview(spark, sf_dir):
     """S6 + G1: the five-row before/after view, on a defined order (top-n, not a scan cap)."""
     top = FX.clicks(spark, sf_dir).orderBy("timestamp", "session_id").limit(5)
     return G.pseudonymise(top.select("session_id", "user_id"))
+
+
+def _kept_sql(name: str, view: str) -> str:
+    years, days = S.RETENTION[name]
+    return (f"SELECT '{name}' AS \"table\", session_id, \"timestamp\" FROM {view} WHERE \"timestamp\" IS NULL OR "
+            f"make_timestamp(CAST(round(\"timestamp\" * 1000000) AS BIGINT)) >= TIMESTAMP '{AS_OF}' - INTERVAL {years} YEAR - INTERVAL {days} DAY")
+
+
+@register("retention_applied", O.with_fixtures("\nUNION ALL ".join([
+    _kept_sql("clickstream", "clicks"), _kept_sql("transactions", "transactions"), _kept_sql("service_client", "support")])))
+def _retention_applied(spark, sf_dir):
+    """G4 on stored tables of all three kinds; what is returned is read from every file left
+    below their paths, so a row that retention missed anywhere would show."""
+    j = FX.journey(spark, sf_dir)
+    columns = ["event_id", "session_id", "user_id", "timestamp"]
+    clicks = K.EpochSink(scratch_path(spark, "keep-clicks"), [G.DAY])
+    for epoch in (0, 1):
+        clicks(G.with_day(j.clicks.select(*columns).where(F.col("event_id") % 2 == epoch)), epoch)
+    paid = K.KeyedTable(scratch_path(spark, "keep-tx"), ["session_id", "timestamp"])
+    paid(j.transactions.select(*columns), 0)
+    tickets = K.VersionedTable(scratch_path(spark, "keep-tickets"))
+    tickets.write(j.support.select(*columns))
+    paths = {"clickstream": clicks.path, "transactions": paid.path, "service_client": tickets.path}
+    G.apply_retention(spark, paths, AS_OF)
+    out = None
+    for name, path in paths.items():
+        rows = spark.read.option("recursiveFileLookup", True).parquet(path).select(F.lit(name).alias("table"), "session_id", "timestamp")
+        out = rows if out is None else out.unionByName(rows)
+    return out

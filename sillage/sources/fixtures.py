@@ -103,35 +103,37 @@ def clicks(spark: SparkSession, sf_dir: str, with_event_id: bool = True,
     return j.select(*cols)
 
 
-def transactions(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> DataFrame:
-    """One payment per purchase click."""
-    c = clicks(spark, sf_dir, columns=["session_id", "user_id", "product_id", "product_title", "category", "price", "action",
-                                       "timestamp"]).filter(F.col("action") == "purchase")
+#: What payments and tickets take from their clicks; payments also need the price.
+TX_FROM_CLICKS = ["session_id", "user_id", "product_id", "product_title", "category", "timestamp"]
+SUPPORT_FROM_CLICKS = ["session_id", "user_id", "timestamp"]
+
+
+def transactions(spark: SparkSession, sf_dir: str, with_event_id: bool = True,
+                 columns: list[str] | None = None) -> DataFrame:
+    """One payment per purchase click; ``columns`` as in ``clicks``."""
+    needs = set(columns or [f.name for f in S.TRANSACTION_SCHEMA.fields])
+    given = [c for c in TX_FROM_CLICKS if c in needs] + (["price"] if "montant_paye" in needs else [])
+    c = clicks(spark, sf_dir, columns=["action", *given]).filter(F.col("action") == "purchase")
     eid = F.col("event_id")
-    cols = [
-        "session_id", "user_id", "product_id", "product_title", "category",
-        F.round(F.col("price") * (F.lit(0.8) + F.lit(0.02) * (eid % 11)), 2).alias("montant_paye"),
-        _pick(eid % 3, METHOD_BY_MOD3).alias("methode_paiement"),
-        F.when(eid % 5 == 3, "échoué").when(eid % 5 == 4, "en_attente")
-         .otherwise("succès").alias("statut_paiement"),
-        "timestamp",
-    ]
+    rules = {
+        "montant_paye": F.round(F.col("price") * (F.lit(0.8) + F.lit(0.02) * (eid % 11)), 2),
+        "methode_paiement": _pick(eid % 3, METHOD_BY_MOD3),
+        "statut_paiement": F.when(eid % 5 == 3, "échoué").when(eid % 5 == 4, "en_attente").otherwise("succès"),
+    }
+    cols = [rules[f.name].alias(f.name) if f.name in rules else F.col(f.name) for f in S.TRANSACTION_SCHEMA.fields if f.name in needs]
     if with_event_id:
         cols = [eid] + cols
     return c.select(*cols)
 
 
-def support(spark: SparkSession, sf_dir: str, with_event_id: bool = True) -> DataFrame:
-    """Support tickets for 20 % of sessions."""
-    c = clicks(spark, sf_dir, columns=["session_id", "user_id", "timestamp"]).filter((F.col("event_id") * 7) % 10 < 2)
+def support(spark: SparkSession, sf_dir: str, with_event_id: bool = True,
+            columns: list[str] | None = None) -> DataFrame:
+    """Support tickets for 20 % of sessions; ``columns`` as in ``clicks``."""
+    needs = set(columns or [f.name for f in S.SUPPORT_SCHEMA.fields])
+    c = clicks(spark, sf_dir, columns=[c for c in SUPPORT_FROM_CLICKS if c in needs]).filter((F.col("event_id") * 7) % 10 < 2)
     eid = F.col("event_id")
-    cols = [
-        "session_id", "user_id",
-        _pick(eid % 4, REASON_BY_MOD4).alias("motif_contact"),
-        _pick(eid % 3, CHANNEL_BY_MOD3).alias("canal"),
-        (eid % 2 == 0).alias("resolu"),
-        "timestamp",
-    ]
+    rules = {"motif_contact": _pick(eid % 4, REASON_BY_MOD4), "canal": _pick(eid % 3, CHANNEL_BY_MOD3), "resolu": eid % 2 == 0}
+    cols = [rules[f.name].alias(f.name) if f.name in rules else F.col(f.name) for f in S.SUPPORT_SCHEMA.fields if f.name in needs]
     if with_event_id:
         cols = [eid] + cols
     return c.select(*cols)
