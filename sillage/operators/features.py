@@ -161,6 +161,7 @@ def _category_aggs() -> list:
         safe_ratio(F.count_if(clk & (F.col("action") == "purchase")), F.count_if(clk))
         .alias("taux_achat_categorie"),
         money_avg(F.when(clk, F.col("price"))).alias("prix_moy_categorie"),
+        F.count_if(clk).alias("nb_clics"),
     ]
 
 
@@ -176,6 +177,34 @@ def user_table(clicks: DataFrame, transactions: DataFrame | None,
     return agg.select(*_user_cols())
 
 
+def _key_rows(clicks: DataFrame, transactions: DataFrame | None, support: DataFrame | None) -> DataFrame:
+    """Rows of both key tables: gid 1 by user, gid 2 by category, null keys included."""
+    u = _narrow_union(clicks, transactions, support)
+    return (u.groupingSets([["user_id"], ["category"]], "user_id", "category")
+            .agg(*_user_aggs(), *_category_aggs(), F.grouping_id().alias("gid")))
+
+
+def feature_weights(clicks: DataFrame, transactions: DataFrame | None = None, support: DataFrame | None = None) -> DataFrame:
+    """The 13 features of the enriched clicks as (colonne, valeur, poids): every user's or
+    category's value once, with the number of its clicks.
+
+    The clicks are read once and never joined: what follows handles a row per user and
+    feature.  Clicks without a user or category hold what the enriched table fills in."""
+    rows = materialize(_key_rows(clicks, transactions, support).where("nb_clics > 0"), "key-rows")
+    users = rows.filter("gid = 1").select(*_user_cols(), "nb_clics")
+    cats = rows.filter("gid = 2").select("category", "taux_achat_categorie", "prix_moy_categorie", "nb_clics")
+    out = None
+    for table, key in ((users, "user_id"), (cats, "category")):
+        names = [c for c in table.columns if c in S.ENRICHED_COLUMNS]
+        known = F.col(key).isNotNull()  # nothing is joined to a null key
+        values = [F.when(known, F.col(c).cast("double")) for c in names]
+        values = [F.coalesce(v, F.lit(0.0)) if c in FILL_ZERO else v for c, v in zip(names, values)]
+        long = table.select(F.explode(F.array(*[F.struct(F.lit(c).alias("colonne"), v.alias("valeur")) for c, v in zip(names, values)])).alias("kv"), "nb_clics")
+        long = long.select("kv.colonne", "kv.valeur", F.col("nb_clics").alias("poids"))
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 def key_tables(clicks: DataFrame, transactions: DataFrame | None,
                support: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Per-user (E1-E11) and per-category (E12-E13) tables from one scan and one shuffle.
@@ -185,9 +214,7 @@ def key_tables(clicks: DataFrame, transactions: DataFrame | None,
     shared folder and read back as two tables, each with its row count for the
     broadcast check.
     """
-    u = _narrow_union(clicks, transactions, support)
-    agg = (u.groupingSets([["user_id"], ["category"]], "user_id", "category")
-           .agg(*_user_aggs(), *_category_aggs(), F.grouping_id().alias("gid")))
+    agg = _key_rows(clicks, transactions, support)
     # gid 1: grouped by user_id (category rolled up); gid 2: grouped by category.
     both = materialize(agg.filter(((F.col("gid") == 1) & F.col("user_id").isNotNull())
                                   | ((F.col("gid") == 2) & F.col("category").isNotNull())),

@@ -242,3 +242,53 @@ def describe(df: DataFrame, columns: list[str], decimals: int | None = 2,
     if decimals is not None:
         return out.select("colonne", *[F.round(F.col(s), decimals).alias(s) for s in stats])
     return out.select("colonne", *stats)
+
+
+def _cumulated(weighted: DataFrame) -> DataFrame:
+    """(colonne, valeur, poids) of distinct values with ``first`` and ``cum``, the weight
+    before and up to each value in its column.
+
+    Range partitions add up their own values; the totals of a column's earlier partitions,
+    a row per partition it spans, are carried into the later ones."""
+    from .joins import materialize
+
+    ranged = weighted.repartitionByRange("colonne", "valeur").withColumn("_part", F.spark_partition_id())
+    ranged = materialize(ranged, "weights")
+    earlier = Window.partitionBy("colonne").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (ranged.groupBy("colonne", "_part").agg(F.sum("poids").alias("s"))
+               .select("colonne", "_part", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("base")))
+    here = Window.partitionBy("colonne", "_part").orderBy("valeur").rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.withColumn("own", F.sum("poids").over(here)).join(F.broadcast(materialize(carried, "carried")), ["colonne", "_part"])
+    cum = F.col("base") + F.col("own")
+    return out.select("colonne", "valeur", "poids", (cum - F.col("poids")).alias("first"), cum.alias("cum"))
+
+
+def describe_weighted(weighted: DataFrame, decimals: int | None = 2) -> DataFrame:
+    """``describe`` of columns given as (colonne, valeur, poids): each value counts ``poids``
+    (a long) times.  Null, NaN and weightless values don't count.
+
+    Values that many rows share are summed into one before anything is sorted, so the work
+    after one aggregate is that of the distinct values, whatever their weights.  Quantiles
+    are exact: the order statistics are found by the running weight.
+    """
+    given = weighted.where(F.col("valeur").isNotNull() & ~F.isnan("valeur") & (F.col("poids") > 0))
+    distinct = given.groupBy("colonne", (F.col("valeur") + F.lit(0.0)).alias("valeur")).agg(F.sum("poids").alias("poids"))
+    cum = _cumulated(distinct)
+    v, w = F.col("valeur"), F.col("poids")
+    base = cum.groupBy("colonne").agg(F.sum("poids").alias("n"), (F.sum(v * w) / F.sum("poids")).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    base = cum.sparkSession.createDataFrame(base.collect(), base.schema)  # one row per column
+    rows = cum.join(F.broadcast(base.select("colonne", "n", "mean")), "colonne")
+    at = {f"p{round(p * 100)}": F.lit(p) * (F.col("n") - 1) for p in QUANTILES}
+
+    def value(rank):
+        return F.min(F.when((F.col("first") <= rank) & (rank < F.col("cum")), v))
+
+    found = rows.groupBy("colonne", "n").agg(
+        F.sum(w * (v - F.col("mean")) * (v - F.col("mean"))).alias("squares"),
+        *[value(F.floor(r)).alias(f"{q}_a") for q, r in at.items()], *[value(F.ceil(r)).alias(f"{q}_b") for q, r in at.items()])
+    out = found.join(F.broadcast(base.drop("n")), "colonne").select(
+        "colonne", F.col("n").cast("double").alias("count"), "mean",
+        F.when(F.col("n") > 1, F.sqrt(F.col("squares") / (F.col("n") - 1))).alias("std"), "min",
+        *[(F.col(f"{q}_a") + (r - F.floor(r)) * (F.col(f"{q}_b") - F.col(f"{q}_a"))).alias(q) for q, r in at.items()], "max")
+    stats = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    return out.select("colonne", *[(F.round(F.col(s), decimals) if decimals is not None else F.col(s)).alias(s) for s in stats])

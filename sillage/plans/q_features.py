@@ -95,7 +95,7 @@ def _describe_sql(columns: list[str]) -> str:
 
 
 register("feature_summary", O.with_fixtures(_describe_sql(S.ENRICHED_COLUMNS), ENRICHED_CTE))(
-    lambda spark, sf_dir: ST.describe(enriched(spark, sf_dir), S.ENRICHED_COLUMNS))
+    lambda spark, sf_dir: ST.describe_weighted(E.feature_weights(*FX.journey(spark, sf_dir).tables())))
 
 
 _BEFORE = "(PARTITION BY user_id ORDER BY instant RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"

@@ -163,6 +163,9 @@ class Journey:
     transactions: DataFrame
     support: DataFrame
 
+    def tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return self.clicks, self.transactions, self.support
+
 
 def journey(spark: SparkSession, sf_dir: str) -> Journey:
     return Journey(clicks(spark, sf_dir), transactions(spark, sf_dir), support(spark, sf_dir))
