@@ -12,6 +12,11 @@ is hash-joined instead (each distinct review text is exploded to words and joine
 with the lexicon, then the per-text means are joined back).  Both give the same scores: a
 repeated word first becomes one row of its mean scores, and null scores are left out.
 
+A lemma table of any size (``lemmatise_by``) is first cut down to the forms that the texts
+hold, each joined once.  What is left goes to the tasks as a hash table of small maps, so a
+lookup scans a handful of keys and no text is shuffled; only a dictionary beyond
+``MAX_DICTIONARY_BYTES`` is joined to the exploded tokens instead.
+
 Sentiment is the mean polarity (and subjectivity) of the review words found in
 the lexicon, 0.0 when none is found.  Unlike the reference's library, intensifiers
 and negations are not modelled, so scores are not bit-equal to it; the thresholds
@@ -30,9 +35,11 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import col_, review_clean, sentiment_label
-from .joins import BROADCAST_MAX_BYTES, materialize, row_count_at_most
+from .joins import BROADCAST_MAX_BYTES, known_rows, materialize, row_count_at_most
 
 MAX_LITERAL_ROWS = 1_000
+#: Bytes of a dictionary that is handed to every task; keys in one map of its hash table.
+MAX_DICTIONARY_BYTES, BUCKET_KEYS = 32 * 1024 * 1024, 4
 
 # Test lexicon (word, polarity, subjectivity); made up, see FIXTURES.md §4.
 TEST_LEXICON = [
@@ -78,6 +85,48 @@ def lemmatise(toks: Column, lemmas: Mapping[str, str]) -> Column:
     return F.transform(toks, lambda t: F.coalesce(F.try_element_at(m, t), t))
 
 
+def hash_table(entries: DataFrame, key: str, value: str) -> tuple[Column, int]:
+    """``entries`` (materialised, of checked size, unique non-null keys) as an array of small
+    maps, a constant of the plan, and its length; ``look_up`` reads it."""
+    n = max(1, -(-(known_rows(entries) or entries.count()) // BUCKET_KEYS))
+    every = entries.sparkSession.range(n).select(F.col("id").cast("int").alias("b"))
+    place = F.pmod(F.hash(key), F.lit(n))
+    maps = (every.join(entries.select(place.alias("b"), F.struct(key, value).alias("e")), "b", "left").groupBy("b")
+            .agg(F.map_from_entries(F.collect_list("e")).alias("m")))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("b", F.to_json("m").alias("m")))), lambda r: r["m"])
+    text = maps.agg(F.concat(F.lit("["), F.array_join(in_order, ","), F.lit("]"))).first()[0]
+    kind = entries.schema[value].dataType.simpleString()
+    return F.from_json(F.lit(text), f"array<map<string,{kind}>>"), n
+
+
+def look_up(table: tuple[Column, int], word: Column) -> Column:
+    """The value of ``word`` in a ``hash_table``, null if it has none."""
+    maps, n = table
+    return F.try_element_at(F.get(maps, F.pmod(F.hash(word), F.lit(n))), word)
+
+
+def lemmatise_by(df: DataFrame, toks: str, lemmas: DataFrame, id_col: str, out: str = "lemmes",
+                 max_bytes: int = MAX_DICTIONARY_BYTES) -> DataFrame:
+    """``df`` with ``out``, the tokens of the array column ``toks`` replaced by their
+    lemmas of the table ``lemmas`` (form, lemma); a token without one stays.
+
+    A form that stands several times in the table has its least lemma; null forms and
+    lemmas don't count.  ``id_col`` identifies a row; it is used for a large dictionary only.
+    """
+    one = lemmas.where("form is not null and lemma is not null").groupBy("form").agg(F.min("lemma").alias("lemma"))
+    forms = df.select(F.explode(F.array_distinct(toks)).alias("form")).distinct()
+    found = materialize(forms.join(one, "form").where("form != lemma"), "lemmas")
+    size = found.agg(F.sum(F.octet_length("form") + F.octet_length("lemma") + 64)).first()[0] or 0
+    if size <= max_bytes:
+        table = hash_table(found, "form", "lemma")
+        return df.withColumn(out, F.transform(toks, lambda t: F.coalesce(look_up(table, t), t)))
+    placed = df.select(F.col(id_col).alias("_id"), F.posexplode(toks).alias("_pos", "form")).join(found, "form", "left")
+    rows = placed.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("lemma", "form").alias("t")))).alias("_r"))
+    none = F.array().cast("array<string>")
+    return (df.join(rows, F.col(id_col) == F.col("_id"), "left")
+            .withColumn(out, F.when(F.col(toks).isNotNull(), F.coalesce(F.transform("_r", lambda r: r["t"]), none))).drop("_id", "_r"))
+
+
 def count_in(toks: Column, word_list: Sequence[str]) -> Column:
     """How many tokens (with repeats) are in ``word_list``."""
     lst = _lit_array(list(word_list))

@@ -9,6 +9,7 @@ from ..functions import columns as C
 from ..operators import profile as PR
 from ..operators import text as T
 from ..sources import fixtures as FX
+from ..sources.tables import read_table
 from . import oracle as O
 from .catalog import register
 from .q_features import ENRICHED_CTE, enriched
@@ -136,6 +137,24 @@ register("token_lemmas", O.with_fixtures(
         F.concat_ws(" ", T.tokens(C.review_clean(), T.TEST_STOP_WORDS, T.TEST_LEMMAS)).alias("lemmes")))
 
 
+#: For the query: the forms are all words of ``documents``, and a lemma cuts two letters off.
+_DOC_WORDS_SQL = "unnest(string_split_regex(lower(text), '[^a-z]+'))"
+
+
+@register("token_lemmas_table", O.with_fixtures(f"""
+SELECT event_id, array_to_string(list_transform(list_sort(list(struct_pack(pos := pos, t := coalesce(lemma, t)))), lambda r: r.t), ' ') AS lemmes
+FROM (SELECT event_id, generate_subscripts(toks, 1) AS pos, unnest(toks) AS t FROM (SELECT event_id, {_tokens_sql(T.TEST_STOP_WORDS)} AS toks FROM clicks))
+LEFT JOIN (SELECT DISTINCT w AS form, substr(w, 1, greatest(3, length(w) - 2)) AS lemma FROM (SELECT {_DOC_WORDS_SQL} AS w FROM documents) WHERE w != '') l ON l.form = t
+GROUP BY event_id
+UNION ALL SELECT event_id, '' FROM (SELECT event_id, {_tokens_sql(T.TEST_STOP_WORDS)} AS toks FROM clicks) WHERE len(toks) = 0"""))
+def _token_lemmas_table(spark, sf_dir):
+    """N2 with a lemma table as large as the vocabulary of all documents."""
+    words = read_table(spark, sf_dir, "documents").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("form")).where("form != ''").distinct()
+    table = words.select("form", F.expr("substr(form, 1, greatest(3, length(form) - 2))").alias("lemma"))
+    reviews = _clicks_with(spark, sf_dir, T.tokens(C.review_clean(), T.TEST_STOP_WORDS).alias("tokens"))
+    return T.lemmatise_by(reviews, "tokens", table, "event_id").select("event_id", F.concat_ws(" ", "lemmes").alias("lemmes"))
+
+
 @register("review_nlp", O.with_fixtures(
     "SELECT event_id, nb_tokens, nb_mots_positifs, nb_mots_negatifs, score_nlp FROM nlp",
     "enriched AS (SELECT * FROM clicks)", NLP_CTE))
