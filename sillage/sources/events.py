@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas as S
 from ..functions.columns import action_score, review_clean, rule_recommendation
+from . import topic
 
 CORRUPT = "_corrupt_record"
 
@@ -49,8 +50,10 @@ def derive_clicks(df: DataFrame, variant: str | None = "A") -> DataFrame:
 def read_stream(spark: SparkSession, source: dict) -> DataFrame:
     """Streaming DataFrame with a ``value`` column.
 
-    ``source`` is ``{"format": "kafka", "servers": ..., "topic": ...}`` or
-    ``{"format": "files", "path": ..., "maxFilesPerTrigger": n}`` (JSON lines).
+    ``source`` is ``{"format": "kafka", "servers": ..., "topic": ...}``,
+    ``{"format": "topic", "path": ..., "startingOffsets": ..., "group": ...}`` (a landing
+    folder with a broker's offsets, ``sources/topic.py``) or
+    ``{"format": "files", "path": ..., "maxFilesPerTrigger": n}`` (JSON lines, from the first).
     """
     fmt = source.get("format", "files")
     if fmt == "kafka":
@@ -60,6 +63,15 @@ def read_stream(spark: SparkSession, source: dict) -> DataFrame:
                 .option("startingOffsets", source.get("startingOffsets", "latest"))
                 .option("failOnDataLoss", "false")
                 .load())
+    if fmt == "topic":
+        topic.register(spark)
+        return (spark.readStream.format(topic.NAME).option("path", source["path"])
+                .option("startingOffsets", source.get("startingOffsets", "latest"))
+                .option("group", source.get("group", "default")).load())
+    if fmt != "files":
+        raise ValueError(f"unknown stream source {fmt!r}")
+    if source.get("startingOffsets", "earliest") != "earliest":
+        raise ValueError("a plain file source starts at the first file; use the topic format for other offsets")
     reader = spark.readStream.schema("value string")
     if source.get("maxFilesPerTrigger"):
         reader = reader.option("maxFilesPerTrigger", int(source["maxFilesPerTrigger"]))
@@ -71,16 +83,39 @@ _CSV_OPTS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
              "ignoreTrailingWhiteSpace": False}
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with header and an explicit schema (no inference pass over the data)."""
-    return (spark.read.options(**_CSV_OPTS).option("multiLine", True)
-            .schema(schema).csv(path))
+#: Line breaks and the escape sign itself, as ``write_csv`` stores them in text fields.
+_CSV_ESCAPES = [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")]
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False,
+             escaped: bool = True) -> DataFrame:
+    """CSV with header and an explicit schema (no inference pass over the data).
+
+    A file is split over tasks.  ``multi_line`` reads files whose quoted fields hold line
+    breaks, which only one task per file can do; ``escaped`` (files of ``write_csv``) turns
+    the stored escapes of text fields back."""
+    df = spark.read.options(**_CSV_OPTS).option("multiLine", multi_line).schema(schema).csv(path)
+    if multi_line or not escaped:
+        return df
+    texts = {f.name for f in schema.fields if isinstance(f.dataType, StringType)}
+    back = F.regexp_replace  # pairs are undone from the left, so an escaped backslash stays one
+
+    def plain(c):
+        parts = F.split(c, r"\\\\", -1)
+        return F.array_join(F.transform(parts, lambda p: back(back(p, r"\\n", "\n"), r"\\r", "\r")), "\\")
+
+    return df.select(*[plain(F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """K5: CSV export with a header line, quoted fields, no index column.
+    """K5: CSV export with a header line, quoted fields, no index column.  Line breaks in
+    text fields are stored as escapes, so the files can be split when they are read.
 
     As with a pandas export, an empty string and a null are both an empty field and
     both read back as null.
     """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    for c in texts:
+        for sign, stored in _CSV_ESCAPES:
+            df = df.withColumn(c, F.replace(F.col(c), F.lit(sign), F.lit(stored)))
     df.write.mode("overwrite").options(**_CSV_OPTS).csv(path)
