@@ -6,7 +6,7 @@ codegen; none is a Python UDF.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -134,3 +134,8 @@ def money_avg(c: str | Column) -> Column:
     amount = no_nan(c).try_cast(MONEY)
     n = F.count(amount)
     return F.when(n > 0, F.sum(amount).cast("double") / n)
+
+
+def optional(df: DataFrame, name: str, kind: str) -> Column:
+    """Column ``name`` of ``df``, or a null of type ``kind`` where the table has none."""
+    return F.col(name) if name in df.columns else F.lit(None).cast(kind).alias(name)

@@ -3,44 +3,51 @@
 Each is a single aggregation plan.  Global figures over several tables come from
 one aggregate over a narrow ``unionByName`` of the tables, so no single-row
 cross product is ever planned.
+
+A table may lack columns (S8): a figure that needs a missing column is 0, a breakdown by
+one has no rows, and the other figures stand.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.columns import minute_of, money_sum, review_clean
+from ..functions.columns import minute_of, money_sum, optional, review_clean
 
 
 def filter_clicks(clicks: DataFrame, category: str | None = None,
                   source: str | None = None) -> DataFrame:
-    """Optional category / source filter; None or "Toutes" means no filter."""
-    if category not in (None, "Toutes"):
+    """Optional category / source filter; None or "Toutes" means no filter, and a filter
+    on a column that the table lacks isn't offered."""
+    if category not in (None, "Toutes") and "category" in clicks.columns:
         clicks = clicks.filter(F.col("category") == category)
-    if source not in (None, "Toutes"):
+    if source not in (None, "Toutes") and "source" in clicks.columns:
         clicks = clicks.filter(F.col("source") == source)
     return clicks
 
 
 def distinct_filters(clicks: DataFrame) -> DataFrame:
     """The values offered by the category and source filters (null kept)."""
-    cat = clicks.select(F.lit("category").alias("filtre"), F.col("category").alias("valeur"))
-    src = clicks.select(F.lit("source").alias("filtre"), F.col("source").alias("valeur"))
-    return cat.unionByName(src).distinct()
+    parts = [clicks.select(F.lit(c).alias("filtre"), F.col(c).cast("string").alias("valeur")) for c in ("category", "source") if c in clicks.columns]
+    if not parts:
+        return clicks.sparkSession.createDataFrame([], "filtre string, valeur string")
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def _narrow_union(clicks: DataFrame, transactions: DataFrame | None,
                   support: DataFrame | None) -> DataFrame:
     nul_s, nul_d = F.lit(None).cast("string"), F.lit(None).cast("double")
-    u = clicks.select(F.lit(0).alias("src"), F.col("action"), nul_d.alias("montant"),
+    u = clicks.select(F.lit(0).alias("src"), optional(clicks, "action", "string"), nul_d.alias("montant"),
                       nul_s.alias("statut"))
     if transactions is not None:
         u = u.unionByName(transactions.select(
             F.lit(1).alias("src"), nul_s.alias("action"),
-            F.col("montant_paye").cast("double").alias("montant"),
-            F.col("statut_paiement").alias("statut")))
+            optional(transactions, "montant_paye", "double").cast("double").alias("montant"),
+            optional(transactions, "statut_paiement", "string").alias("statut")))
     if support is not None:
         u = u.unionByName(support.select(F.lit(2).alias("src"), nul_s.alias("action"),
                                          nul_d.alias("montant"), nul_s.alias("statut")))
@@ -83,6 +90,7 @@ def kpis(clicks: DataFrame, transactions: DataFrame | None = None,
 def value_counts(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Count per value, nulls left out, most frequent first."""
     key = name or column
+    df = df.select(optional(df, column, "string"))
     return (df.filter(F.col(column).isNotNull())
             .groupBy(F.col(column).alias(key))
             .agg(F.count(F.lit(1)).alias("nb"))
@@ -100,6 +108,7 @@ def funnel(clicks: DataFrame) -> DataFrame:
 
 def category_actions(clicks: DataFrame) -> DataFrame:
     """A4: count per (category, action)."""
+    clicks = clicks.select(optional(clicks, "category", "string"), optional(clicks, "action", "string"))
     return (clicks.filter(F.col("category").isNotNull() & F.col("action").isNotNull())
             .groupBy("category", "action").agg(F.count(F.lit(1)).alias("nb")))
 
@@ -110,6 +119,7 @@ def conversion_by_minute(clicks: DataFrame, last_n: int | None = 20) -> DataFram
     The reference's outer join of two per-minute counts is one grouped aggregate
     with two conditional counts; minutes with neither action never appear.
     """
+    clicks = clicks.select(optional(clicks, "action", "string"), optional(clicks, "timestamp", "double"))
     out = (clicks.filter(F.col("action").isin("purchase", "abandon")
                          & F.col("timestamp").isNotNull())
            .groupBy(minute_of("timestamp").alias("minute"))
@@ -152,6 +162,7 @@ def alerts(kpi_row: DataFrame) -> DataFrame:
 
 def review_words(clicks: DataFrame, stop_words: list[str]) -> DataFrame:
     """Words of every review (cleaned, lower case), stop words removed; one row each."""
+    clicks = clicks.select(optional(clicks, "review_text", "string"))
     words = F.split(F.trim(review_clean("review_text")), r"\s+")
     stop = F.array(*[F.lit(w) for w in stop_words]) if stop_words else None
     toks = F.filter(words, lambda t: (F.length(t) > 0) & (

@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from .joins import known_rows, materialize, right_size
-from .smote import balanced
+from .joins import broadcast_if_small, known_rows, materialize, right_size
+from .smote import balanced, ranked
 from .stats import exact_quantiles
 
 ENCODED = {  # source column -> code column
@@ -56,8 +56,35 @@ def label_text(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
+#: Labels of one column that an encoder may bring to the driver and keep in the model.
+MAX_LABELS = 100_000
+
+
+def encode_by_table(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
+    """M1-M2 for columns with any number of labels: the codes of ``fit_encoders`` as a table
+    per column, numbered over range partitions and joined; no label reaches the driver."""
+    unseen = F.lit(0)
+    df = label_text(df, columns)
+    for c in columns:
+        labels = label_text(train, [c]).select(F.col(f"{c}__lbl").alias("_lbl")).distinct()
+        codes = ranked(labels, ["_lbl"], "_code")
+        known = broadcast_if_small(materialize(codes, "codes"))
+        df = df.join(known, F.col(f"{c}__lbl") == F.col("_lbl"), "left").withColumn(ENCODED[c], F.coalesce("_code", F.lit(0)).cast("int"))
+        unseen = unseen + F.col("_code").isNull().cast("int")
+        df = df.withColumn("nb_inconnus", unseen).drop("_lbl", "_code", f"{c}__lbl")
+        unseen = F.col("nb_inconnus")
+    return df
+
+
 def fit_encoders(train: DataFrame, columns: list[str]) -> PipelineModel:
-    """M1: alphabetical codes per column, fitted on ``train``; M2: unseen → 0 + count."""
+    """M1: alphabetical codes per column, fitted on ``train``; M2: unseen → 0 + count.
+
+    The model keeps all labels, so a column with more than ``MAX_LABELS`` (estimated first)
+    is an error; ``encode_by_table`` takes such columns."""
+    sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    large = [c for c in columns if sizes[c] > MAX_LABELS]
+    if large:
+        raise ValueError(f"too many labels for an encoder model: {large}; use encode_by_table")
     idx = StringIndexer(inputCols=[f"{c}__lbl" for c in columns],
                         outputCols=[f"{c}__idx" for c in columns],
                         stringOrderType="alphabetAsc", handleInvalid="keep")
