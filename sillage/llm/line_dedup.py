@@ -3,7 +3,8 @@
 The corpus is a sequence of line ids.  A run of lines qualifies when it has at least
 ``min_words`` words; a line goes when some qualifying run around it stands earlier in the
 corpus (by document id, then line).  What goes are thus the later copies of the maximal
-repeated runs; the earliest copy of everything stays.
+repeated runs; the earliest copy of everything stays.  A run that overlaps its own earliest
+copy (equal or periodic lines) is no copy of it: of 20 equal lines of ten words five stay.
 
 Suffix order.  Lines that occur once end every repeated run, so only repeated lines enter.
 Rank 0 of a suffix is the place of its first line in the sorted list of repeated lines.
@@ -113,8 +114,9 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2", "start")
     first = (named.groupBy("len", "head", "tail").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").drop("n"))
+    # in the earliest copy's own document only what starts behind that copy is another one
     later = named.join(first, ["len", "head", "tail"]).where(
-        ~((F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2")) & (F.col("start") == F.col("first.start"))))
+        ~((F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2")) & (F.col("start") < F.col("first.start") + F.col("len"))))
     spans = later.select("k1", "k2", "start", (F.col("start") + F.col("len")).alias("end")).distinct()
     # overlapping runs of a document: each line once
     return materialize(spans.select("k1", "k2", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("pos"))

@@ -125,7 +125,11 @@ runs AS (
 body AS (
   SELECT r.doc_id, r.s, r.e, string_agg(c.line, chr(10) ORDER BY c.pos) AS t
   FROM runs r JOIN c ON c.doc_id = r.doc_id AND c.pos BETWEEN r.s AND r.e GROUP BY r.doc_id, r.s, r.e),
-later AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS k FROM body) WHERE k > 1),
+later AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER w AS k, first_value(doc_id) OVER w AS fd, first_value(s) OVER w AS fs
+    FROM body WINDOW w AS (PARTITION BY t ORDER BY doc_id, s))
+  WHERE k > 1 AND (doc_id <> fd OR s > fs + e - s)),
 gone AS (SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS pos FROM later),
 per AS (
   SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,

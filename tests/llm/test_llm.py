@@ -272,6 +272,20 @@ def test_line_dedup_keeps_first_copies(spark):
     assert [out[5 + i] for i in range(len(EDGE))] == EDGE
 
 
+def test_line_dedup_keeps_the_first_copy_of_a_run_that_overlaps_itself(spark):
+    line = "w " * 10
+    other = [f"{c} " * 10 for c in "abc"]
+    texts = ["\n".join([line] * 20), "\n".join([line] * 7), "\n".join(["x", *other * 6, "y"]), "\n".join(["head", *other * 2])]
+    out = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.remove_copies(docs_of(spark, texts)).collect()}
+    assert out[0] == [line] * 5 and out[1] == [""]
+    assert out[3] == ["head"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT * FROM (VALUES " + ", ".join(f"({i}::BIGINT, '{t}')" for i, t in enumerate(texts)) + ") t(doc_id, text)")
+    want = {r[0]: (r[1], r[2], r[3]) for r in con.execute(f"SELECT doc_id, n_lines, n_removed, text FROM ({queries.SQL['op2_line_dedup']})").fetchall()}
+    got = {r["doc_id"]: (r["__n_lines"], r["__n_removed"], r["text"]) for r in line_dedup.remove_copies(docs_of(spark, texts)).collect()}
+    assert got == want
+
+
 def test_decontamination(spark):
     item = " ".join(f"t{i}" for i in range(20))
     items = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "two words")], "item_id long, text string")
