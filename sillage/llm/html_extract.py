@@ -1,16 +1,21 @@
 """Main text of web pages, with site templates removed.
 
 Every element subtree of a page gets a hash of its tags and words.  Spark counts, per
-host, on how many different pages each subtree stands; subtrees that recur across many
-pages of their host are its template and are deleted, together with the elements whose
-role says that they are no main text (menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, reader comments).  Where a page marks its article
-(``article``, ``main``, role=main), the text is that element's; paragraphs, headings and
-list items inside it are never taken for template, however often they are quoted.
+host, on how many different pages each subtree stands, wherever it stands: subtrees that
+recur across many pages of their host are its template and are deleted first, menus,
+footers, adverts and notices alike, whatever their tags and classes say.  What the counts
+leave is settled by role: elements that are no main text by tag, role, class or id (on a
+host with few pages, or an advert that is never the same) go as well, and where a page
+marks its article (``article``, ``main``, role=main) the text is that element's.
+Paragraphs, headings and list items inside a marked article are never taken for template,
+however often they are quoted.
 
 Two scans of the pages: one gives (host, subtree, page signature) rows, reduced to the
-small table of templates; the second extracts with that table.  Copies of a page count
-once, so a page published a thousand times is no template of its own.
+table of templates; the second extracts with that table.  Copies of a page count once, so
+a page published a thousand times is no template of its own.  The table goes to all tasks
+if its measured size allows; beyond that each page gets only the templates it holds.
+
+``n_by_counts`` and ``n_by_role`` say how many characters of a page went for either reason.
 
 Edge cases: null or empty html has an empty text; pages without a host share one host;
 broken markup (unclosed, crossed or stray tags, open comments) is read to its end.
@@ -230,21 +235,64 @@ def digests(root: Node) -> None:
 
 
 def candidates(root: Node) -> set[int]:
-    """Subtrees that may be template: not dropped by role and not text of a marked article."""
+    """Subtrees that may be template: all that hold text, but not the text of a marked
+    article nor the article itself or what holds it."""
     tops = main_nodes(root)
     marked = tops != [root]
+    inside = {id(x) for x in tops} if marked else set()
     out: set[int] = set()
-    todo = [(x, False) for x in tops]
+    full: set[int] = set()  # nodes with text, by id; children come first
+    around: set[int] = set(inside)
+    for node in _post(root):
+        parts = [x for x in node.parts if isinstance(x, Node)]
+        if any(id(x) in around for x in parts):
+            around.add(id(node))
+        if any(id(x) in full for x in parts) or any(isinstance(x, str) and x.strip() for x in node.parts):
+            full.add(id(node))
+    todo = [(root, False)]
     while todo:
-        node, inside = todo.pop()
-        if node.dropped:
-            continue
-        if inside and node.tag not in VOID and node.tag not in ("body", "html") and not (marked and node.tag in TEXT) and any(_has_text(node)):
+        node, within = todo.pop()
+        within = within or id(node) in inside
+        text = within and node.tag in TEXT
+        if id(node) in full and id(node) not in around and not text and node.tag not in ("body", "html", "#root"):
             out.add(node.digest)
-        todo.extend((x, True) for x in node.parts if isinstance(x, Node) and not (marked and node.tag in TEXT))
+        if not text:
+            todo.extend((x, within) for x in node.parts if isinstance(x, Node))
     return out
 
 
+def _characters(node: Node) -> int:
+    """Characters of a subtree's words, white space runs as one."""
+    total, todo = 0, [node]
+    while todo:
+        for part in todo.pop().parts:
+            if isinstance(part, Node):
+                todo.append(part)
+            else:
+                total += len(" ".join(part.split()))
+    return total
+
+
+def removed(root: Node, template: frozenset[int] | set[int]) -> tuple[int, int]:
+    """Characters that go because their subtree recurs, and for any other reason."""
+    tops = main_nodes(root)
+    inside = {id(x) for x in tops}
+    counts = role = 0
+    todo = [(root, False)]
+    while todo:
+        node, within = todo.pop()
+        within = within or id(node) in inside
+        if node.digest in template:
+            counts += _characters(node)
+        elif within and node.dropped:
+            role += _characters(node)
+        else:
+            if not within:
+                role += sum(len(" ".join(x.split())) for x in node.parts if isinstance(x, str))
+            todo.extend((x, within) for x in node.parts if isinstance(x, Node))
+    return counts, role
+
+
 def blocks(root: Node, template: frozenset[int] | set[int] = frozenset()) -> list[str]:
     """Texts of the blocks in page order."""
     out: list[str] = []
@@ -278,52 +326,75 @@ def blocks(root: Node, template: frozenset[int] | set[int] = frozenset()) -> lis
     return out
 
 
-def templates(pages: DataFrame, host_url: str = "url", html_col: str = "html",
-              min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hashes): the template subtrees of every host that has some."""
+#: Bytes of the table of templates that every task gets.
+TEMPLATE_BYTES = 32 << 20
+
+
+def _host(url_col: str):
+    return F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), _HOST, 1)).alias("host")
+
+
+def _key(html_col: str):
+    return [F.xxhash64(F.lit(k), html_col).alias(f"k{k}") for k in (1, 2)]
+
+
+def subtrees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, k1, k2, sign, trees): of each page the hash of its markup, of its main text and
+    those of the subtrees that may be template."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, signs, trees = [], [], []
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            signs, trees = [], []
+            for page in batch.column(3).to_pylist():
                 root = parse(page or "")
                 digests(root)
-                hosts.append(host)
                 signs.append(xxhash.xxh3_64_intdigest("\n".join(blocks(root))) - (1 << 63))
                 trees.append([d - (1 << 63) for d in candidates(root)])
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(signs, pa.int64()),
-                                              pa.array(trees, pa.list_(pa.int64()))], ["host", "sign", "trees"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(signs, pa.int64()), pa.array(trees, pa.list_(pa.int64()))],
+                                             ["host", "k1", "k2", "sign", "trees"])
+
+    rows = pages.select(_host(url_col), *_key(html_col), html_col)
+    return materialize(rows.mapInArrow(scan, "host string, k1 bigint, k2 bigint, sign bigint, trees array<bigint>"), "subtrees")
 
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(host_url), F.lit("")), _HOST, 1)).alias("host")
-    seen = pages.select(host, html_col).mapInArrow(scan, "host string, sign bigint, trees array<bigint>")
-    seen = materialize(seen, "subtrees")
+
+def templates(seen: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, tree): the template subtrees of every host, counted over ``subtrees``."""
     sizes = seen.select("host", "sign").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     counts = (seen.select("host", "sign", F.explode("trees").alias("tree")).distinct()
               .groupBy("host", "tree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages))
     known = counts.join(broadcast_if_small(materialize(sizes, "hosts")), "host").where(F.col("n") >= F.col("pages") * min_share)
-    return known.groupBy("host").agg(F.collect_set("tree").alias("hashes"))
+    return materialize(known.select("host", "tree"), "templates")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(id, url, text, n_chars) for every row of ``pages``."""
+            min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, template_bytes: int = TEMPLATE_BYTES) -> DataFrame:
+    """(id, url, text, n_chars, n_by_counts, n_by_role) for every row of ``pages``."""
     small_batches(pages.sparkSession)
-    known = materialize(templates(pages, url_col, html_col, min_pages, min_share), "templates")
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), _HOST, 1)).alias("host")
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host)
-    rows = rows.join(broadcast_if_small(known), "host", "left").select("page_id", "url", "html", "hashes")
+    seen = subtrees(pages, url_col, html_col)
+    known = templates(seen, min_pages, min_share)
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), _host(url_col), *_key(html_col))
+    if known._sillage_rows * 16 <= template_bytes:  # a host and a hash each
+        per = known.groupBy("host").agg(F.collect_list("tree").alias("hashes"))
+        rows = rows.join(F.broadcast(per), "host", "left")
+    else:  # a page's own templates, at most its subtrees
+        held = seen.dropDuplicates(["host", "k1", "k2"]).select("host", "k1", "k2", F.explode("trees").alias("tree")).join(known, ["host", "tree"])
+        per = held.groupBy("host", "k1", "k2").agg(F.collect_list("tree").alias("hashes"))
+        rows = rows.join(per, ["host", "k1", "k2"], "left")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for page, hashes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            texts, gone = [], []
+            hashes = batch.column(3)
+            for k, page in enumerate(batch.column(2).to_pylist()):
                 root = parse(page or "")
-                template = {h + (1 << 63) for h in hashes or ()}
-                if template:
-                    digests(root)
+                digests(root)
+                template = {h + (1 << 63) for h in hashes[k].as_py() or ()}
                 texts.append("\n".join(blocks(root, template)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
-                                              pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+                gone.append(removed(root, template))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
+                                              pa.array([g[0] for g in gone], pa.int64()), pa.array([g[1] for g in gone], pa.int64())],
+                                             ["page_id", "url", "text", "n_chars", "n_by_counts", "n_by_role"])
 
     id_type = pages.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(scan, f"page_id {id_type}, url string, text string, n_chars bigint")
+    rows = rows.select("page_id", "url", "html", "hashes")
+    return rows.mapInArrow(scan, f"page_id {id_type}, url string, text string, n_chars bigint, n_by_counts bigint, n_by_role bigint")

@@ -337,3 +337,45 @@ def test_words_of_a_column_equal_python(spark):
     for w, h in zip(flat, words.hashes.tolist()):
         assert named.setdefault(w, h) == h
     assert len(set(named.values())) == len(named)
+
+
+def _site(n, layouts=3):
+    """Pages of one host whose template parts carry no telling tag or class."""
+    parts = [(f"<div class=x{k}><span>menu {k}</span><a href=/>home {k}</a></div>", f"<div><span>buy {k} now</span></div>", f"<section><p>imprint {k}</p></section>") for k in range(layouts)]
+    rows = []
+    for i in range(n):
+        menu, advert, foot = parts[i % layouts]
+        rows.append((i, f"https://site.example/{i}", f"<body>{menu}<div><p>story {i} one</p>{advert}<p>story {i} two</p></div>{foot}</body>"))
+    return rows
+
+
+def test_templates_go_by_counts_without_tags_or_hints(spark):
+    """No element says what it is: only its recurrence does.  Repeated rows are one page."""
+    rows = _site(60)
+    df = spark.createDataFrame(rows + rows[:7], "page_id long, url string, html string")
+    for size in (html_extract.TEMPLATE_BYTES, 0):
+        got = html_extract.extract(df, template_bytes=size).collect()
+        assert len(got) == 67
+        for r in got:
+            assert r["text"] == f"story {r['page_id']} one\nstory {r['page_id']} two" and r["n_chars"] == len(r["text"])
+            assert r["n_by_counts"] > 20 and r["n_by_role"] == 0
+    few = html_extract.extract(spark.createDataFrame(_site(4, 1), "page_id long, url string, html string")).collect()
+    assert all("menu 0" in r["text"] for r in few)  # four pages are no evidence
+    same = spark.createDataFrame([(i, "https://copy.example/", rows[0][2]) for i in range(50)], "page_id long, url string, html string")
+    assert all("menu 0" in r["text"] for r in html_extract.extract(same).collect())  # nor are copies
+
+
+def test_roles_are_deleted_by_counts_where_they_recur(spark):
+    page = "<nav><ul><li><a>a{0}</a></li></ul></nav><div class=ad>buy{0}</div><article><h1>t{1}</h1><p>quote</p><div class=ad>in{0}</div></article><footer>f{0}</footer>"
+    df = spark.createDataFrame([(i, "http://h.example/", page.format(i % 4, i)) for i in range(40)], "page_id long, url string, html string")
+    for r in html_extract.extract(df).collect():
+        assert r["text"] == f"t{r['page_id']}\nquote" and (r["n_by_counts"], r["n_by_role"]) == (11, 0)
+    for r in html_extract.extract(df, min_pages=1000).collect():
+        assert r["text"] == f"t{r['page_id']}\nquote" and (r["n_by_counts"], r["n_by_role"]) == (0, 11)
+
+
+def test_html_of_deep_and_long_pages(spark):
+    deep = "<div>" * 30_000 + "end" + "</div>" * 30_000
+    long = "<article>" + "<p>word word</p>" * 50_000 + "</article>"
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame([(1, None, deep), (2, "", long)], "page_id long, url string, html string")).collect()}
+    assert got[1] == "end" and got[2] == "\n".join(["word word"] * 50_000)
