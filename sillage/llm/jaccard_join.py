@@ -7,7 +7,9 @@ Routing.  A tree over a whole corpus would have saturated bitmaps, so entities a
 split into clusters that no link crosses.  Sets are indexed by size class; in a class at
 most D hashes differ between two linked sets, so of k > D ranges of the hash space at least
 one holds the same hashes in both.  Each set emits a key per range (a digest of its hashes
-there, left out where it covers fewer than two).  Sets that share a key are routed
+there); ranges with fewer than two hashes are keys only three together, and short sets that
+may differ in one hash or none have keys of their own, so that no key stands for an empty
+range (``route_keys``).  Sets that share a key are routed
 together if their parity maps, a bit a hash, allow a link: the XOR of two maps bounds the
 sets' difference from below.  The connected components of these routes are the clusters.
 Links found: all; only the routes may be in vain.
@@ -36,6 +38,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +56,8 @@ LEAF_WORDS = 1 << 19
 MAX_BITS = 1 << 17
 #: Sets whose keys a partition remembers having given.
 HELD_SETS = 500_000
+#: Weak ranges that make a key together.
+WEAK = 3
 #: Sets of one key that are compared with each other before clusters are formed.
 GROUP_SETS = 4096
 
@@ -77,32 +82,53 @@ def most_different(num: int, den: int, sizes: int) -> int:
     return (den - num) * sizes // (den + num)
 
 
+@lru_cache(512)
+def _differ(c: int, num: int, den: int) -> int:
+    """Hashes in which linked sets may differ whose larger one is of class ``c``."""
+    return most_different(num, den, 2 * (int(class_starts(num, den)[c + 1]) - 1))
+
+
 @lru_cache(512)
 def _ranges(c: int, num: int, den: int) -> tuple[int, np.ndarray, np.ndarray]:
     """Of a class: how many ranges must agree, the ranges' inner bounds, and their marks."""
-    differ = most_different(num, den, 2 * (int(class_starts(num, den)[c + 1]) - 1))
-    k = differ + 2 + differ // 8  # some ranges more, so that weak ones are rarely needed
+    differ = _differ(c, num, den)
+    k = differ + WEAK + differ // 8  # some ranges more, so that weak ones are rarely needed
     places = np.arange(1, k, dtype=np.uint64) * np.uint64((1 << 64) // k)
     return k - differ, places, mix64(np.arange(k, dtype=np.uint64) + np.uint64((c + 1) << 40))
 
 
 def route_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys of a sorted set: two linked sets share at least one."""
+    """Keys of a sorted set: two linked sets that are not equal share at least one.
+
+    Where linked sets may not differ at all there is nothing to find.  Where they may in one
+    hash, one set is the other less a hash: keys are the set's digest and its digests
+    less each hash.  Else the ranges give keys.  A range of fewer than two hashes, often
+    none or a common shingle's, says little and would be a hot key, so such weak ranges are
+    keys only ``WEAK`` at a time, and only as far as all ranges that agree could be weak.
+    """
     own = class_of(len(tokens), class_starts(num, den))
     # sums of scrambled hashes wrap around; a range's sum is a difference of two of them
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(tokens))))
+    scrambled = mix64(tokens)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(scrambled)))
     out = []
+    if 1 in (_differ(own, num, den), _differ(own + 1, num, den)):
+        out.append(sums[-1:])
+        if _differ(own, num, den) == 1:
+            out.append(sums[-1] - scrambled)
     for c in (own, own + 1):  # as the larger or as the smaller set of a pair
+        if _differ(c, num, den) < 2:
+            continue
         agree, places, marks = _ranges(c, num, den)
         bounds = np.concatenate(([0], np.searchsorted(tokens, places), [len(tokens)]))
-        keys = np.diff(sums[bounds]) + marks
+        keys = mix64(np.diff(sums[bounds]) + marks)
         weak = np.flatnonzero(bounds[1:] - bounds[:-1] < 2)
-        if len(weak):
-            # a range of one hash, often a common shingle's, tells little; ``agree`` ranges agree at
-            # least, so weak ones are keys only as far as all that agree could be weak
-            keys = np.delete(keys, weak[max(0, len(weak) - agree + 1) :])
-        out.append(keys)
-    return mix64(np.concatenate(out)).view(np.int64)
+        # at least ``agree`` ranges agree; the first ``WEAK`` of those that are weak have others
+        # behind them in both sets' lists, so the last ones need not be kept
+        few = weak[: max(0, len(weak) - agree + WEAK)]
+        for chosen in combinations(few.tolist(), WEAK) if len(weak) >= agree else ():
+            out.append(mix64(keys[list(chosen)].cumsum()[-1:] + np.uint64(WEAK)))
+        out.append(np.delete(keys, weak))
+    return mix64(np.concatenate(out)).view(np.int64) if out else np.empty(0, np.int64)
 
 
 def sets_of(column: pa.Array, width: int) -> list[np.ndarray]:

@@ -379,3 +379,40 @@ def test_html_of_deep_and_long_pages(spark):
     long = "<article>" + "<p>word word</p>" * 50_000 + "</article>"
     got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame([(1, None, deep), (2, "", long)], "page_id long, url string, html string")).collect()}
     assert got[1] == "end" and got[2] == "\n".join(["word word"] * 50_000)
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_linked_sets_share_a_routing_key(num):
+    """Pairs at the threshold and above, of all small sizes, share a key; no key is hot."""
+    rnd = np.random.default_rng(num)
+    for n in [*range(1, 70), 100, 333, 1000]:
+        for _ in range(60 if n < 70 else 20):
+            both = rnd.integers(0, 1 << 64, n, np.uint64)
+            a = b = 0
+            while True:  # as many hashes of either set's own as the threshold allows, dealt at random
+                if 100 * n < num * (n + a + b + 1):
+                    break
+                a, b = (a + 1, b) if rnd.random() < 0.5 else (a, b + 1)
+            a, b = (rnd.integers(0, a + 1), rnd.integers(0, b + 1)) if rnd.random() < 0.3 else (a, b)
+            if a + b == 0:
+                continue
+            x, y = (common.distinct(np.concatenate((both, rnd.integers(0, 1 << 64, k, np.uint64)))) for k in (a, b))
+            assert np.intersect1d(jaccard_join.route_keys(x, num, 100), jaccard_join.route_keys(y, num, 100)).size, (n, a, b)
+
+
+@pytest.mark.parametrize("num", [80, 90])
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 8, 9, 10, 12, 16, 19, 25, 40, 60, 100, 300, 1000])
+def test_no_routing_key_is_hot(num, n):
+    """Of unrelated sets no key is held by as much as 1 %."""
+    rnd = np.random.default_rng(n)
+    many = 4000 if n <= 100 else 800
+    keys = [np.unique(jaccard_join.route_keys(np.sort(rnd.integers(0, 1 << 64, n, np.uint64)), num, 100)) for _ in range(many)]
+    flat = np.concatenate(keys)
+    if len(flat):
+        assert np.unique(flat, return_counts=True)[1].max() < 0.01 * many
+
+
+def test_short_unrelated_texts_make_no_cluster(spark):
+    df = docs_of(spark, [f"w{i}" for i in range(20_000)] + [f"a{i} b{i} c{i}" for i in range(5000)])
+    out = jaccard_join.join(df)
+    assert out.where("component_id != doc_id").count() == 0 and out.count() == 25_000
