@@ -56,8 +56,8 @@ LEAF_WORDS = 1 << 19
 MAX_BITS = 1 << 17
 #: Sets whose keys a partition remembers having given.
 HELD_SETS = 500_000
-#: Weak ranges that make a key together.
-WEAK = 3
+#: Weak ranges that make a key together in classes of up to so many ranges.
+WEAK, FEW_RANGES = 3, 24
 #: Sets of one key that are compared with each other before clusters are formed.
 GROUP_SETS = 4096
 
@@ -92,7 +92,8 @@ def _differ(c: int, num: int, den: int) -> int:
 def _ranges(c: int, num: int, den: int) -> tuple[int, np.ndarray, np.ndarray]:
     """Of a class: how many ranges must agree, the ranges' inner bounds, and their marks."""
     differ = _differ(c, num, den)
-    k = differ + WEAK + differ // 8  # some ranges more, so that weak ones are rarely needed
+    # half as many ranges more: a third must agree then, and of large sets' ranges fewer are weak
+    k = differ + WEAK + differ // 2
     places = np.arange(1, k, dtype=np.uint64) * np.uint64((1 << 64) // k)
     return k - differ, places, mix64(np.arange(k, dtype=np.uint64) + np.uint64((c + 1) << 40))
 
@@ -104,7 +105,9 @@ def route_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
     hash, one set is the other less a hash: keys are the set's digest and its digests
     less each hash.  Else the ranges give keys.  A range of fewer than two hashes, often
     none or a common shingle's, says little and would be a hot key, so such weak ranges are
-    keys only ``WEAK`` at a time, and only as far as all ranges that agree could be weak.
+    keys only as far as all ranges that agree could be weak: those with a hash come first,
+    and where there are few ranges they are keys ``WEAK`` at a time.  Where there are many, so
+    few are empty that the list never reaches those.
     """
     own = class_of(len(tokens), class_starts(num, den))
     # sums of scrambled hashes wrap around; a range's sum is a difference of two of them
@@ -121,12 +124,17 @@ def route_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
         agree, places, marks = _ranges(c, num, den)
         bounds = np.concatenate(([0], np.searchsorted(tokens, places), [len(tokens)]))
         keys = mix64(np.diff(sums[bounds]) + marks)
-        weak = np.flatnonzero(bounds[1:] - bounds[:-1] < 2)
-        # at least ``agree`` ranges agree; the first ``WEAK`` of those that are weak have others
-        # behind them in both sets' lists, so the last ones need not be kept
-        few = weak[: max(0, len(weak) - agree + WEAK)]
-        for chosen in combinations(few.tolist(), WEAK) if len(weak) >= agree else ():
-            out.append(mix64(keys[list(chosen)].cumsum()[-1:] + np.uint64(WEAK)))
+        held = bounds[1:] - bounds[:-1]
+        weak = np.concatenate((np.flatnonzero(held == 1), np.flatnonzero(held == 0)))
+        # at least ``agree`` ranges agree; if all of these are weak, the first of them have as
+        # many behind them in both sets' lists, so the last ones need not be kept
+        together = WEAK if len(marks) <= FEW_RANGES else 1
+        if len(weak) >= agree:
+            few = weak[: len(weak) - agree + together]
+            if together == 1:
+                out.append(keys[few])
+            else:
+                out.extend(mix64(keys[list(x)].cumsum()[-1:] + np.uint64(WEAK)) for x in combinations(few.tolist(), together))
         out.append(np.delete(keys, weak))
     return mix64(np.concatenate(out)).view(np.int64) if out else np.empty(0, np.int64)
 
