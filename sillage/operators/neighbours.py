@@ -4,14 +4,15 @@
   are each other's nearest and the only ones another vector can need.  A row beyond them
   has the k smallest ids of its copies for neighbours.  Copies are ranked in salted groups
   first, so a vector with a third of all rows never meets in one task.
-* **Leaves.**  A tree of random projections cuts the rest into leaves of about ``LEAF``
-  rows: on each level the rows of a node are split at the ``FAN``-quantiles of their
-  projection on that level's direction, which one mergeable ``percentile_approx`` per node
-  gives.  Directions are fixed; levels grow with the logarithm of the rows.
+* **Leaves.**  The rest is cut into leaves of up to ``LEAF`` rows, always across the column
+  that varies most in the part at hand.  Parts of more than ``LEAVES`` leaves are cut at the
+  ``FAN``-quantiles by grouped aggregates, the smaller ones (nodes) each in one task, in halves.
+  Ties in the column are cut along a fixed direction, so any different vectors come apart.
 * **Own leaf, then every leaf in reach.**  Each row first takes its k best within its leaf.
   No true neighbour can be farther than the k-th of these, so the row then visits every
-  other leaf whose slabs meet the ball of that radius, and no other.  The k best of all
-  visits are exact, not approximate.
+  other leaf whose bounding box meets the ball of that radius, and no other.  Boxes of nodes,
+  then of leaves, are compared with the widest ball of a leaf first, then with each row's.
+  The k best of all visits are exact, not approximate.
 * **Bounds.**  A task holds one leaf's vectors and a batch of visitors; visitors of a busy
   leaf are salted over several copies of it.  The k best of a row are kept by a grouped
   top-k that Spark applies before the shuffle as well.
@@ -31,22 +32,17 @@ from pyspark.sql import functions as F
 
 from .joins import broadcast_if_small, materialize
 
-#: Rows wanted in a leaf, parts a node is split into, visitors of a leaf per task.
-LEAF, FAN, VISITORS = 1024, 8, 50_000
-#: Salts for ranking equal vectors; rows compared with a leaf at once.
-SALTS, CHUNK = 64, 256
-#: Projections and distances are rounded: a ball reaches so much farther.
-SLACK = 1e-9
+#: Rows of a leaf at most, leaves of a node, parts a larger one is split into, visitors of a leaf per task.
+LEAF, LEAVES, FAN, VISITORS = 1024, 64, 8, 50_000
+#: Salts for ranking equal vectors; rows compared with a leaf at once; numbers of a node's leaves.
+SALTS, CHUNK, PLACES = 64, 256, 1 << 16
+#: Weight of the direction that tells ties in a column apart.
+TIE = 1e-3
 
 
-def _direction(level: int, width: int) -> list[float]:
-    r = np.random.default_rng(1000 + level).normal(size=width)
-    return (r / np.linalg.norm(r)).tolist()
-
-
-def _projection(level: int, width: int) -> Column:
-    terms = [F.col("x")[i] * F.lit(w) for i, w in enumerate(_direction(level, width))]
-    return sum(terms[1:], terms[0])
+def _direction(width: int) -> np.ndarray:
+    r = np.random.default_rng(1000).normal(size=width)
+    return TIE * r / np.linalg.norm(r)
 
 
 def _below(value: Column) -> Column:
@@ -54,19 +50,42 @@ def _below(value: Column) -> Column:
     return F.size(F.filter("cuts", lambda c: c <= value))
 
 
-def _boundaries(rows: DataFrame, width: int, levels: int) -> tuple[DataFrame, list[DataFrame]]:
-    """``rows`` with their leaf, and the boundaries (node, cuts) of each level."""
-    rows = rows.withColumn("leaf", F.lit(0).cast("long"))
-    cuts = []
-    for level in range(levels):
-        rows = rows.withColumn("p", _projection(level, width))
+def _nodes(rows: DataFrame, width: int, levels: int) -> DataFrame:
+    """``rows`` (id, x) with their node: ``levels`` times cut at quantiles."""
+    rows = rows.withColumn("node", F.lit(0).cast("long"))
+    terms = [F.col("x")[i] * F.lit(w) for i, w in enumerate(_direction(width).tolist())]
+    for _ in range(levels):
+        spread = F.array(*[F.var_pop(F.col("x")[i]) for i in range(width)])
+        axes = rows.groupBy("node").agg(spread.alias("s")).select("node", F.array_position("s", F.array_max("s")).cast("int").alias("axis"))
+        placed = rows.join(broadcast_if_small(materialize(axes, "axes")), "node")
+        placed = placed.withColumn("p", sum(terms, F.element_at("x", F.col("axis"))))
         at = [k / FAN for k in range(1, FAN)]
-        per = rows.groupBy("leaf").agg(F.percentile_approx("p", at, 1000).alias("cuts"))
-        per = materialize(per, "cuts")
-        cuts.append(per)
-        rows = rows.join(broadcast_if_small(per), "leaf")
-        rows = materialize(rows.select("id", "x", (F.col("leaf") * FAN + _below(F.col("p"))).alias("leaf")), "leaves")
-    return rows, cuts
+        cuts = materialize(placed.groupBy("node").agg(F.percentile_approx("p", at, 1000).alias("cuts")), "cuts")
+        placed = placed.join(broadcast_if_small(cuts), "node")
+        rows = materialize(placed.select("id", "x", (F.col("node") * FAN + _below(F.col("p"))).alias("node")), "nodes")
+    return rows
+
+
+def _leaves(nodes: DataFrame, width: int, leaf: int) -> DataFrame:
+    """(id, x, node, leaf): every node cut in halves until no part has over ``leaf`` rows."""
+    tie = _direction(width)
+
+    def cut(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("id")
+        x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        place, number, parts = np.zeros(len(x), np.int64), 0, [np.arange(len(x))]
+        while parts:
+            rows = parts.pop()
+            if len(rows) <= leaf:
+                place[rows] = number
+                number += 1
+                continue
+            own = x[rows]
+            order = rows[np.argsort(own[:, own.var(axis=0).argmax()] + own @ tie, kind="stable")]
+            parts += [order[: len(rows) // 2], order[len(rows) // 2 :]]
+        return table.append_column("leaf", pa.array(table["node"].to_numpy() * PLACES + place))
+
+    return nodes.groupBy("node").applyInArrow(cut, "id bigint, x array<double>, node bigint, leaf bigint")
 
 
 def _best(points: np.ndarray, ids: np.ndarray, asked: np.ndarray, asked_ids: np.ndarray, reach: np.ndarray,
@@ -87,22 +106,14 @@ def _best(points: np.ndarray, ids: np.ndarray, asked: np.ndarray, asked_ids: np.
             yield int(asked_ids[at + i]), row[near].tolist(), ids[near].tolist()
 
 
-def _search(rows: DataFrame, k: int) -> DataFrame:
-    """(id, distance, neighbour) of rows (bin, visitor, id, x, reach): in every ``bin`` the
-    rows that are not visitors are the points; visitors ask, or the points if there are none."""
+def _meet(rows: DataFrame, answer, schema: str) -> DataFrame:
+    """Batches of ``answer(points, ids, asked, asked_ids, reach)`` on rows (bin, visitor, id, x,
+    reach): in every ``bin`` the rows that are not visitors are the points; visitors ask, or
+    the points if there are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, points, ids, held, held_ids, alone = None, None, None, [], [], True
 
-        def answers(asked, asked_ids, reach) -> Iterator[pa.RecordBatch]:
-            out: tuple[list, list, list] = ([], [], [])
-            for i, distance, near in _best(points, ids, asked, asked_ids, reach, k):
-                out[0].extend([i] * len(near))
-                out[1].extend(distance)
-                out[2].extend(near)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64()), pa.array(out[2], pa.int64())],
-                                             ["id", "distance", "neighbour"])
-
         def ready() -> None:
             nonlocal points, ids, held, held_ids
             if held:
@@ -111,7 +122,7 @@ def _search(rows: DataFrame, k: int) -> DataFrame:
         def close() -> Iterator[pa.RecordBatch]:
             ready()
             if points is not None and alone:
-                yield from answers(points, ids, np.full(len(ids), np.inf))
+                yield from answer(points, ids, points, ids, np.full(len(ids), np.inf))
 
         for batch in batches:
             bins, visitor, row_ids, reach = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2, 4))
@@ -126,14 +137,77 @@ def _search(rows: DataFrame, k: int) -> DataFrame:
                     ready()
                     alone = False
                     if points is not None:
-                        yield from answers(x[a:b], row_ids[a:b], reach[a:b])
+                        yield from answer(points, ids, x[a:b], row_ids[a:b], reach[a:b])
                 else:
                     held.append(x[a:b])
                     held_ids.append(row_ids[a:b])
         yield from close()
 
     ordered = rows.select("bin", "visitor", "id", "x", "reach").repartition("bin").sortWithinPartitions("bin", "visitor", "id")
-    return ordered.mapInArrow(run, "id bigint, distance double, neighbour bigint")
+    return ordered.mapInArrow(run, schema)
+
+
+def _search(rows: DataFrame, k: int) -> DataFrame:
+    """(id, distance, neighbour): the k best points of each row that asks (``_meet``)."""
+
+    def answer(points, ids, asked, asked_ids, reach) -> Iterator[pa.RecordBatch]:
+        out: tuple[list, list, list] = ([], [], [])
+        for i, distance, near in _best(points, ids, asked, asked_ids, reach, k):
+            out[0].extend([i] * len(near))
+            out[1].extend(distance)
+            out[2].extend(near)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64()), pa.array(out[2], pa.int64())],
+                                         ["id", "distance", "neighbour"])
+
+    return _meet(rows, answer, "id bigint, distance double, neighbour bigint")
+
+
+def _gap(a: str, b: str, width: int) -> Column:
+    """Squared distance of the boxes ``a`` and ``b`` (structs of lo and hi).  It is summed in
+    the order of ``_best``, so rounding never takes it above that of two rows in them."""
+    lows, highs = ([F.col(f"{s}.{e}") for s in (a, b)] for e in ("lo", "hi"))
+    sides = [F.greatest(lows[1][i] - highs[0][i], lows[0][i] - highs[1][i], F.lit(0.0)) for i in range(width)]
+    return sum((s * s for s in sides[1:]), sides[0] * sides[0])
+
+
+def _in_reach(a: str, b: str, width: int) -> Column:
+    """Whether a ball of ``a`` may meet ``b``; boxes that hold NaN meet all."""
+    gap = _gap(a, b, width)
+    return F.isnan(gap) | (gap <= F.col(f"{a}.r"))
+
+
+def _visits(asking: DataFrame, width: int) -> DataFrame:
+    """(leaf, id, x, reach): rows of ``asking`` (id, x, node, leaf, reach) with every other
+    leaf that their ball meets."""
+    ends = [F.array(*[f(F.col("x")[i]) for i in range(width)]).alias(e) for e, f in (("lo", F.min), ("hi", F.max))]
+    leaves = materialize(asking.groupBy("node", "leaf").agg(*ends, F.max("reach").alias("r")), "boxes")
+    ends = [F.array(*[f(F.col(e)[i]) for i in range(width)]).alias(e) for e, f in (("lo", F.min), ("hi", F.max))]
+    nodes = materialize(leaves.groupBy("node").agg(*ends, F.max("r").alias("r")), "node-boxes")
+
+    def named(boxes: DataFrame, name: str, *keys: str) -> DataFrame:
+        return boxes.select(*[F.col(c).alias(f"{name}_{c}") for c in keys], F.struct("lo", "hi", "r").alias(name))
+
+    here, there = named(leaves, "a", "node", "leaf"), named(leaves, "b", "node", "leaf")
+    near = named(nodes, "m", "node").crossJoin(broadcast_if_small(named(nodes, "n", "node"))).where(_in_reach("m", "n", width))
+    near = here.join(near.select(F.col("m_node").alias("a_node"), "n_node", "n"), "a_node").where(_in_reach("a", "n", width))
+    near = near.select("a_leaf", "a", F.col("n_node").alias("b_node")).join(there, "b_node")
+    near = near.where((F.col("a_leaf") != F.col("b_leaf")) & _in_reach("a", "b", width))
+    boxes = near.select(F.col("a_leaf").alias("bin"), F.lit(False).alias("visitor"), F.col("b_leaf").alias("id"),
+                        F.concat("b.lo", "b.hi").alias("x"), F.lit(0.0).alias("reach"))
+    rows = asking.join(boxes.select(F.col("bin").alias("leaf")).distinct(), "leaf", "left_semi")
+    rows = rows.select(F.col("leaf").alias("bin"), F.lit(True).alias("visitor"), "id", F.concat("x", "x").alias("x"), "reach")
+
+    def answer(points, ids, asked, asked_ids, reach) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(asked), CHUNK):
+            q = asked[at : at + CHUNK]
+            d = np.zeros((len(q), len(points)))
+            for c in range(width):
+                d += np.maximum(np.maximum(points[:, c] - q[:, c, None], q[:, c, None] - points[:, width + c]), 0) ** 2
+            i, j = np.nonzero(~(d > reach[at : at + CHUNK, None]))
+            x = pa.ListArray.from_arrays(pa.array(np.arange(len(i) + 1, dtype=np.int32) * width), pa.array(q[i, :width].ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[j]), pa.array(asked_ids[at + i]), x, pa.array(reach[at + i])], ["leaf", "id", "x", "reach"])
+
+    return _meet(boxes.unionByName(rows), answer, "leaf bigint, id bigint, x array<double>, reach double")
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -161,25 +235,17 @@ def nearest(df: DataFrame, id_col: str, columns: list[str], k: int = 5, leaf: in
             .select("id", F.lit(0.0).alias("distance"), "neighbour", (F.col("p") + 1).alias("rang")))
 
     width = len(columns)
-    levels = max(0, math.ceil(math.log(max(kept._sillage_rows, 1) / leaf, FAN)))
-    points, cuts = _boundaries(kept.select("id", "x"), width, levels)
+    levels = max(0, math.ceil(math.log(max(kept._sillage_rows, 1) / (LEAVES * leaf), FAN)))
+    points = materialize(_leaves(_nodes(kept.select("id", "x"), width, levels), width, leaf), "leaves")
     home = points.select(F.col("leaf").alias("bin"), F.lit(False).alias("visitor"), "id", "x", F.lit(0.0).alias("reach"))
     own = materialize(_top(_search(home, k), k), "own-leaf")
-    if not levels:
+    if kept._sillage_rows <= leaf:
         return own.unionByName(rest)
 
     reach = own.groupBy("id").agg(F.max("distance").alias("d"), F.count(F.lit(1)).alias("n"))
     ball = F.when(F.coalesce("n", F.lit(0)) == k, F.col("d")).otherwise(F.lit(math.inf))
-    asking = points.withColumnRenamed("leaf", "home").join(reach, "id", "left").select("id", "x", "home", ball.alias("reach"))
-    asking = asking.withColumn("leaf", F.lit(0).cast("long")).withColumn("r", F.sqrt("reach") * (1 + SLACK) + SLACK)
-    for level, per in enumerate(cuts):
-        p = _projection(level, width)
-        wide = F.col("r") + F.abs(p) * SLACK
-        low, high = _below(p - wide), _below(p + wide)
-        asking = (asking.join(broadcast_if_small(per), "leaf")
-                  .select("id", "x", "home", "reach", "r", F.col("leaf"), F.explode(F.sequence(low, high)).alias("part"))
-                  .withColumn("leaf", F.col("leaf") * FAN + F.col("part")).drop("part"))
-    visits = materialize(asking.where("leaf != home").select("leaf", "id", "x", "reach"), "visits")
+    asking = materialize(points.join(reach, "id", "left").select("id", "x", "node", "leaf", ball.alias("reach")), "asking")
+    visits = materialize(_visits(asking, width), "visits")
     if not visits._sillage_rows:
         return own.unionByName(rest)
     busy = visits.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / visitors).cast("int").alias("tasks"))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sillage.operators import neighbours
 from sillage.operators.neighbours import nearest
 from sillage.operators.smote import balanced, ranked, smote
 
@@ -88,3 +89,29 @@ def test_smote_of_one_row_and_of_balanced_classes(spark):
     assert [(r["base_id"], r["voisin_id"], r["a"]) for r in smote(one, "y", "id", ["a"]).collect()] == [(4, None, 7.0)] * 2
     assert smote(one.where("id in (1, 4)"), "y", "id", ["a"]).count() == 0
     assert smote(one.limit(0), "y", "id", ["a"]).columns == ["y", "numero", "base_id", "voisin_id", "part", "a"]
+
+
+@pytest.mark.parametrize("kind", ["plain", "ties", "line"])
+def test_parts_of_many_leaves_are_cut_by_aggregates(spark, monkeypatch, kind):
+    monkeypatch.setattr(neighbours, "LEAVES", 2)
+    x = vectors(kind)
+    got = {(r["id"], r["rang"], r["neighbour"]): r["distance"] for r in nearest(frame(spark, x), "id", COLS, 5, 20, 50).collect()}
+    assert got == brute(x, 5)
+
+
+def test_few_leaves_are_visited(spark, monkeypatch):
+    """Columns of very different spread: a ball meets few boxes (12,248 visits by slabs of random directions)."""
+    rnd = np.random.default_rng(5)
+    x = np.column_stack([rnd.normal(size=3000) * 1000, rnd.normal(size=3000) * 100, rnd.integers(0, 3, (3000, 6))])
+    cols = list("abcdefgh")
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"{c} double" for c in cols))
+    rows, kept = [], neighbours.materialize
+
+    def counted(df, name):
+        out = kept(df, name)
+        rows.extend([out._sillage_rows] if name == "visits" else [])
+        return out
+
+    monkeypatch.setattr(neighbours, "materialize", counted)
+    assert nearest(df, "id", cols, 5, 50).count() == 15_000
+    assert len(rows) == 1 and rows[0] < 9_000
