@@ -71,17 +71,24 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return F.broadcast(df) if row_count_at_most(df, limit) else df
 
 
-def right_size(df: DataFrame, rows_per_partition: int = 500_000) -> DataFrame:
-    """Coalesce a materialised table to about ``rows_per_partition`` rows per partition.
+#: Rows of a partition of training data: few rows are one task, more go to all cores.
+TRAIN_ROWS = 20_000
 
-    Iterative jobs (model training) pay a task launch per partition per iteration;
-    a small training set spread over many partitions spends its time scheduling.
-    Large tables keep (at least) their partition count.
+
+def right_size(df: DataFrame, rows_per_partition: int = TRAIN_ROWS) -> DataFrame:
+    """A materialised table in about ``rows_per_partition`` rows per partition.
+
+    Iterative jobs (model training) pay a task launch per partition per iteration, so a
+    small training set in many partitions spends its time scheduling; a large one whose
+    compressed files make few scan tasks leaves cores idle in every pass, so it is dealt
+    over up to four tasks a core.  Larger tables keep (at least) their partition count.
     """
     n = known_rows(df)
     if n is None:
         return df
-    want = max(1, math.ceil(n / rows_per_partition))
-    out = df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+    want, have = max(1, math.ceil(n / rows_per_partition)), df.rdd.getNumPartitions()
+    most = max(have, 4 * df.sparkSession.sparkContext.defaultParallelism)
+    want = min(want, most)
+    out = df.coalesce(want) if want < have else df.repartition(want) if want > have else df
     out._sillage_rows = n
     return out

@@ -499,3 +499,20 @@ def test_keyed_table_ignores_and_rebuilds_an_uncommitted_version(spark):
     t(spark.createDataFrame([("a", 2), ("b", 5)], "k string, v int"), 1)  # the replay
     assert t.versions(spark) == [0, 1]
     assert {r["k"]: r["v"] for r in t.read(spark).collect()} == {"a": 2, "b": 5}
+
+
+def test_forest_in_groups_saves_and_scores(spark, tmp_path):
+    """A large forest is grown in groups of trees whose votes are added up; data fill the cores."""
+    from sillage.operators import ml as M
+    from sillage.operators.joins import TRAIN_ROWS, materialize, right_size
+
+    cols = [(F.rand(i + 2) * 10).alias(c) for i, c in enumerate(M.feature_columns())]
+    df = materialize(spark.range(TRAIN_ROWS + 5_000).select((F.rand(1) < 0.5).cast("int").alias("intention_achat"), F.lit(1.0).alias("poids"), *cols), "t-forest")
+    assert right_size(df).rdd.getNumPartitions() > 1
+    stages = M.fit_forest(M.classifiers(1, rf_trees=7, rf_depth=3)["Random Forest"], df, [M.filler(), M.assembler()], 3)
+    assert [s.getNumTrees for s in stages[2:-1]] == [3, 2, 2]
+    M.save(M.PipelineModel(stages=stages), str(tmp_path / "forest"))
+    out = M.score(M.load(str(tmp_path / "forest")), df.limit(50)).collect()
+    for r in out:
+        assert abs(sum(r["rawPrediction"]) - 7) < 1e-9 and abs(r["probability"][1] - r["rawPrediction"][1] / 7) < 1e-9
+        assert r["prediction"] == int(r["rawPrediction"][1] > r["rawPrediction"][0])
