@@ -190,7 +190,9 @@ class Codec:
         offset = np.arange(len(code)) - np.repeat(starts, long)
         digest = np.add.reduceat((code + np.uint64(1)) * self.powers[np.minimum(offset, SHORT)], starts) if whole else np.zeros(0, np.uint64)
         digest = np.where(long > SHORT, np.arange(len(starts), dtype=np.uint64), digest | np.uint64(1 << 63))
-        _, at, which = np.unique(digest, return_index=True, return_inverse=True)
+        coded = pa.array(digest).dictionary_encode()  # by a hash table: no sort
+        which, at = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), np.int64)
+        at[which] = np.arange(len(which))
         chunks = [whole[a:b] for a, b in zip(starts[at].tolist(), (starts + long)[at].tolist())]
         kept, older = self.kept, self.older
         parts = list(map(kept.get, chunks))
