@@ -1,7 +1,9 @@
 """Conversion by event-time window with keyed state, a watermark and timers.
 
 State is one pair of counts per open window (and salt), updated by every micro-batch and
-dropped by a timer once the watermark has passed the window's end.  A click that comes
+dropped by a timer once the watermark has passed the window's end.  The open windows of a
+span (``SPAN`` windows and a salt) are one state key, as a call of Python per key and batch
+costs far more than a window's few clicks; its timer is that of the window that ends first.  A click that comes
 after that is late: it goes to a side table instead of being dropped, and the reading adds
 it to its window, so totals never lose a click whatever order the files come in.
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,42 +29,51 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions.columns import event_time
 from ..operators.sinks import EpochSink, KeyedTable
 
-SALTS = 8
+#: Keys of a hot window; windows of a state key.
+SALTS, SPAN = 8, 1440
 DELAY, WINDOW = "2 minutes", 60
 
 #: ``kind``: ``open`` (counts so far), ``closed`` (last counts of a window) or ``late`` (one click).
 OUTPUT = "kind string, window_start bigint, salt int, timestamp double, achats bigint, abandons bigint"
 
 
+STATE = "starts array<bigint>, achats array<bigint>, abandons array<bigint>"
+
+
 def _window(seconds: int):
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, salt = map(int, key)
-        watermark, end = state.getCurrentWatermarkMs(), (start + seconds) * 1000
-        achats, abandons = state.get if state.exists else (0, 0)
+        salt, watermark = int(key[1]), state.getCurrentWatermarkMs()
+        held = pd.DataFrame(dict(zip(("achats", "abandons"), state.get[1:])), index=pd.Index(state.get[0], dtype="int64"), dtype="int64") if state.exists \
+            else pd.DataFrame({"achats": [], "abandons": []}, index=pd.Index([], dtype="int64"), dtype="int64")
 
-        def row(kind: str) -> pd.DataFrame:
-            return pd.DataFrame({"kind": [kind], "window_start": [start], "salt": [salt], "timestamp": [None], "achats": [achats], "abandons": [abandons]})
+        def rows(kind: str, counts: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"kind": kind, "window_start": counts.index.to_numpy(), "salt": salt, "timestamp": np.nan,
+                                 "achats": counts["achats"].to_numpy(), "abandons": counts["abandons"].to_numpy()})
 
-        if state.hasTimedOut:
-            state.remove()
-            yield row("closed")
-            return
-        closed = watermark >= end
-        for batch in batches:
+        touched = []
+        for batch in () if state.hasTimedOut else batches:
             bought = (batch["action"] == "purchase").astype("int64")
-            if closed:
-                yield pd.DataFrame({"kind": "late", "window_start": start, "salt": salt, "timestamp": batch["timestamp"],
-                                    "achats": bought, "abandons": 1 - bought})
-            else:
-                achats, abandons = achats + int(bought.sum()), abandons + int((1 - bought).sum())
-        if closed:
-            if state.exists:  # the timer was due in this batch
+            late = (batch["window_start"] + seconds) * 1000 <= watermark
+            if late.any():
+                yield pd.DataFrame({"kind": "late", "window_start": batch["window_start"][late], "salt": salt, "timestamp": batch["timestamp"][late],
+                                    "achats": bought[late], "abandons": 1 - bought[late]})
+            new = pd.DataFrame({"achats": bought, "abandons": 1 - bought})[~late].groupby(batch["window_start"][~late]).sum()
+            held = held.add(new, fill_value=0).astype("int64")
+            touched.append(new.index)
+        over = (held.index + seconds) * 1000 <= watermark  # their timer is due
+        if over.any():
+            yield rows("closed", held[over])
+        held = held[~over]
+        if touched:
+            fresh = held[held.index.isin(np.concatenate(touched))]
+            if len(fresh):
+                yield rows("open", fresh)
+        if not len(held):
+            if state.exists:
                 state.remove()
-                yield row("closed")
             return
-        state.update((achats, abandons))
-        state.setTimeoutTimestamp(end)
-        yield row("open")
+        state.update((held.index.tolist(), held["achats"].tolist(), held["abandons"].tolist()))
+        state.setTimeoutTimestamp((int(held.index.min()) + seconds) * 1000)
 
     return update
 
@@ -79,8 +91,9 @@ def conversion_windows(clicks: DataFrame, delay: str = DELAY, seconds: int = WIN
                    F.struct(none.cast("timestamp").alias("tick"), row.alias("row")))
     rows = counted.select(F.explode(both).alias("r")).select("r.tick", "r.row").withWatermark("tick", delay)
     rows = rows.where("tick is null").select("tick", "row.*")
-    return rows.groupBy("window_start", "salt").applyInPandasWithState(
-        _window(seconds), OUTPUT, "achats bigint, abandons bigint", "update", GroupStateTimeout.EventTimeTimeout)
+    rows = rows.withColumn("span", F.floor(F.col("window_start") / (SPAN * seconds)).cast("long"))
+    return rows.groupBy("span", "salt").applyInPandasWithState(
+        _window(seconds), OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 class WindowSink:
