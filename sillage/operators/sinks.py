@@ -236,7 +236,8 @@ class KeyedTable:
             current = self._read(spark, manifest, known) if known else None
             merged = self.merged(current, df, version).withColumn("part", F.coalesce(self.part, F.lit("none")))
             data = f"data/v={version}"
-            writer = merged.repartition(min(len(touched), spark.sparkContext.defaultParallelism * 4), "part").write.mode("overwrite")
+            # by part, and a large part over several tasks
+            writer = merged.hint("rebalance", F.col("part")).write.mode("overwrite")
             writer.options(**_options(merged)).partitionBy("part").parquet(f"{self.path}/{data}")
             parts = manifest["parts"] | {p: f"{data}/part={_escaped(p)}" for p in touched}
             self._commit(spark, version, parts, manifest["epochs"] | {query: epoch_id}, merged.drop("part").schema.json())

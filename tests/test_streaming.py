@@ -176,3 +176,30 @@ def test_command_lines(spark, tmp_path):
     got = K.EpochSink(str(tmp_path / "out" / "clickstream")).read(spark)
     assert got.count() == FX.clicks(spark, SMALL).count()
     assert "recommendation" in got.columns
+
+
+def test_windows_of_a_span_share_a_state_key(spark, tmp_path):
+    """An hour of clicks, one a minute, is at most one state key per salt, not one per window."""
+    landing, base = tmp_path / "landing", 1_700_006_400
+    landing.mkdir()
+    (landing / "0.json").write_text("".join(f'{{"timestamp": {base + 60 * k}, "action": "purchase", "session_id": "s"}}\n' for k in range(60)))
+    sink = W.WindowSink(scratch_path(spark, "t-span"))
+    stream = J.clicks_stream(spark, {"format": "files", "path": str(landing)}, None)
+    spec = J.StreamSpec("t_span", {}, sink, scratch_path(spark, "t-span-ckpt"), None)
+    query = J.start(W.conversion_windows(stream), spec, "update")
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert held and max(held) <= W.SALTS
+    assert sink.read(spark).count() == 60
+
+
+def test_a_large_part_is_written_by_several_tasks(spark):
+    table = K.KeyedTable(scratch_path(spark, "t-parts"), ["id"], buckets=1)
+    size, kept = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.conf.set(size, "64k")
+    try:
+        table(spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v")), 0)
+    finally:
+        spark.conf.set(size, kept) if kept else spark.conf.unset(size)
+    assert table.read(spark).count() == 40_000
+    assert table.read(spark).select(F.input_file_name()).distinct().count() > 1
