@@ -8,9 +8,11 @@ byte pieces (the unknown id where the vocabulary has none).
 
 Two characters that stand side by side in no piece can never be merged, so texts are cut
 there and the chunks encoded apart.  Chunks are kept in a bounded table of the worker, of
-which the part used longest ago goes.  The new short chunks of a batch run their agendas
-side by side in arrays, each round merging the best pair of every chunk; long chunks run
-one heap each, in n log n steps for n characters.
+which the part used longest ago goes.  They are found there by a digest of their characters
+and then compared character by character; one that isn't what its digest found is encoded
+by itself.  The new short chunks of a batch run their agendas side by side in arrays, each
+round merging the best pair of every chunk; long chunks run one heap each, in n log n steps
+for n characters.
 
 Each Arrow batch is then encoded and decoded by the sentencepiece library as well, and
 ``agrees`` says for each text whether both results are the same.  One scan, no shuffle: a
@@ -26,11 +28,14 @@ from __future__ import annotations
 import codecs
 import hashlib
 import heapq
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -40,6 +45,8 @@ MARK = "▁"
 ROWS, KEPT, SHORT = 128, 300_000, 64
 #: Characters that are told apart when texts are cut; the rank of what doesn't merge, as a key.
 CLASSES, LAST, NONE = 255, 1 << 30, 1 << 62
+#: Powers of the digests: their base, and after how many characters of a batch they start again.
+BASE, PERIOD = 0x9E3779B97F4A7C15, 1 << 20
 
 
 def _each_byte(e: UnicodeError) -> tuple[str, int]:
@@ -49,6 +56,16 @@ def _each_byte(e: UnicodeError) -> tuple[str, int]:
 codecs.register_error("sillage.each_byte", _each_byte)
 
 
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.append(np.uint64(1), np.full(PERIOD - 1, base, np.uint64)))
+
+
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of spans that begin at ``first`` and are ``size`` long, span by span."""
+    before = np.cumsum(size) - size
+    return np.repeat(first - before, size) + np.arange(int(size.sum()))
+
+
 class Codec:
     """Encoder and decoder over a vocabulary given as the bytes of its model file."""
 
@@ -63,15 +80,19 @@ class Codec:
         self.score = {p: lib.get_score(i) for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(names) if lib.is_byte(i)}
         self._tables()
-        self.powers = np.random.default_rng(13).integers(0, 1 << 64, SHORT + 1, np.uint64) | np.uint64(1)
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.powers, self.inverse = _powers(BASE), _powers(pow(BASE, -1, 1 << 64))
+        # the table: row of each digest; per row its ids and characters, where they end, the batch that used it last
+        self.rows: dict[int, int] = {}
+        self.kept, self.chars, self.used, self.batch = array("i"), array("I"), array("q"), 0
+        self.kept_ends, self.char_ends = array("q", [0]), array("q", [0])
         self.control = {i for i in range(len(names)) if lib.is_control(i)}
         self.out = [b"" if i in self.control else bytes([int(p[3:5], 16)]) if lib.is_byte(i) else p.replace(MARK, " ").encode()
                     for i, p in enumerate(names)]
         self.out[lib.unk_id()] = " ⁇ ".encode()
         self.starts = {i for p, i in self.ids.items() if p.startswith(MARK)}
         self.dummy = lib.normalize("a").startswith(MARK)
+        # for whole batches: what each id stands for, then what it does as the first of a text
+        self.strings = pa.array(self.out + [b[1:] if self.dummy and i in self.starts else b for i, b in enumerate(self.out)], pa.binary())
 
     def agenda(self, chunk: str) -> list[str]:
         """The pieces that score-ordered merging leaves of ``chunk``."""
@@ -175,6 +196,51 @@ class Codec:
     def _heap(self, chunk: str) -> bytes:
         return b"".join(np.int32(self.ids[p]).tobytes() if p in self.ids else self._single(p) for p in self.agenda(chunk))
 
+    def _found(self, whole: str, code: np.ndarray, starts: np.ndarray, long: np.ndarray) -> np.ndarray:
+        """Rows of the table that the chunks' digests find, after adding new ones; -1: too long."""
+        if len(self.rows) > 2 * KEPT:
+            self._forget()
+        # sums of characters times powers wrap around; a chunk's is a difference of two of them
+        powers = self.powers[: len(code)] if len(code) <= PERIOD else np.resize(self.powers, len(code))
+        sums = np.append(np.uint64(0), np.cumsum((code + np.uint64(1)) * powers))
+        digest = (sums[starts + long] - sums[starts]) * self.inverse[starts % PERIOD]
+        short = np.flatnonzero(long <= SHORT)
+        coded = pa.array(digest[short]).dictionary_encode()  # by a hash table: no sort
+        which, at = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), np.int64)
+        at[which] = short
+        keys = coded.dictionary.to_numpy().tolist()
+        found = np.fromiter(map(self.rows.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            first = starts[at[new]]
+            chunks = [whole[a:b] for a, b in zip(first.tolist(), (first + long[at[new]]).tolist())]
+            found[new] = np.arange(len(self.rows), len(self.rows) + len(new))
+            self.rows.update(zip([keys[k] for k in new.tolist()], found[new].tolist()))
+            parts = self.agendas(chunks)
+            self.kept.frombytes(b"".join(parts))
+            self.chars.frombytes("".join(chunks).encode("utf-32-le"))
+            for ends, sizes in ((self.kept_ends, [len(p) // 4 for p in parts]), (self.char_ends, list(map(len, chunks)))):
+                ends.frombytes((ends[-1] + np.cumsum(sizes, dtype=np.int64)).tobytes())
+            self.used.frombytes(bytes(8 * len(new)))
+        self.batch += 1
+        np.frombuffer(self.used, np.int64)[found] = self.batch
+        row = np.full(len(starts), -1, np.int64)
+        row[short] = found[which]
+        return row
+
+    def _forget(self) -> None:
+        """Leaves the ``KEPT`` rows used last."""
+        used = np.frombuffer(self.used, np.int64)
+        left = np.sort(np.argsort(used, kind="stable")[-KEPT:])
+        keys = list(self.rows)
+        self.rows = {keys[k]: row for row, k in enumerate(left.tolist())}
+        self.used = array("q", used[left].tobytes())
+        for values, ends in (("kept", "kept_ends"), ("chars", "char_ends")):
+            old, at = getattr(self, values), np.frombuffer(getattr(self, ends), np.int64)
+            size = at[left + 1] - at[left]
+            setattr(self, values, array(old.typecode, np.frombuffer(old, old.typecode).take(_spans(at[left], size)).tobytes()))
+            setattr(self, ends, array("q", np.append(0, np.cumsum(size)).tobytes()))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts``, and where each text's ids end (with a 0 before)."""
         texts = [self.library.normalize(t) for t in texts]
@@ -186,29 +252,21 @@ class Codec:
         cut[ends[:-1][ends[:-1] < len(whole)]] = True
         starts = np.flatnonzero(cut)
         long = np.diff(np.append(starts, len(whole)))
-        # equal chunks of the batch are looked up once; the long ones stay apart
-        offset = np.arange(len(code)) - np.repeat(starts, long)
-        digest = np.add.reduceat((code + np.uint64(1)) * self.powers[np.minimum(offset, SHORT)], starts) if whole else np.zeros(0, np.uint64)
-        digest = np.where(long > SHORT, np.arange(len(starts), dtype=np.uint64), digest | np.uint64(1 << 63))
-        coded = pa.array(digest).dictionary_encode()  # by a hash table: no sort
-        which, at = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), np.int64)
-        at[which] = np.arange(len(which))
-        chunks = [whole[a:b] for a, b in zip(starts[at].tolist(), (starts + long)[at].tolist())]
-        kept, older = self.kept, self.older
-        parts = list(map(kept.get, chunks))
-        if None in parts:
-            new = [c for c, p in zip(chunks, parts) if p is None]
-            kept.update((c, older[c]) for c in new if c in older)
-            short = [c for c in new if len(c) <= SHORT and c not in kept]
-            kept.update(zip(short, self.agendas(short)) if short else ())
-            parts = [p or kept.get(c) or self._heap(c) for c, p in zip(chunks, parts)]
-        if len(kept) > KEPT:
-            self.kept, self.older = {}, kept
-        table = np.frombuffer(b"".join(parts), np.int32)
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        own = size[which]
-        sizes = np.append(0, np.cumsum(own))
-        ids = table[np.repeat((np.cumsum(size) - size)[which] - sizes[:-1], own) + np.arange(sizes[-1])]
+        row = self._found(whole, code, starts, long)
+        kept_ends, char_ends = (np.frombuffer(v, np.int64) for v in (self.kept_ends, self.char_ends))
+        first, size = kept_ends[row], kept_ends[row + 1] - kept_ends[row]
+        # not in the table: long chunks, and those that share the digest of another one
+        apart = (row < 0) | (char_ends[row + 1] - char_ends[row] != long)
+        if self.rows:
+            chars = np.frombuffer(self.chars, np.uint32).take(_spans(char_ends[row], long), mode="clip")
+            apart[np.searchsorted(starts, np.flatnonzero(chars != code), "right") - 1] = True
+        apart = np.flatnonzero(apart).tolist()
+        alone = [np.frombuffer(self._heap(whole[starts[k] : starts[k] + long[k]]), np.int32) for k in apart]
+        size[apart] = [len(x) for x in alone]
+        sizes = np.append(0, np.cumsum(size))
+        ids = np.frombuffer(self.kept, np.int32).take(_spans(first, size), mode="clip") if self.rows else np.zeros(sizes[-1], np.int32)
+        for k, x in zip(apart, alone):
+            ids[sizes[k] : sizes[k + 1]] = x
         ends = sizes[np.searchsorted(starts, ends)]
         if self.end:
             ids = np.insert(ids, ends[1:], self.library.eos_id())
@@ -224,6 +282,21 @@ class Codec:
         first = next((i for i in ids if i not in self.control), None)
         return data[1:] if self.dummy and first in self.starts else data
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Decoded texts of what ``encode`` returns, where no control id but the last stands."""
+        which = ids.astype(np.int64)
+        which[ends[:-1][ends[:-1] < ends[1:]]] += len(self.out)
+        data = self.strings.take(pa.array(which))
+        if data.buffers()[2]:
+            at = np.frombuffer(data.buffers()[1], np.int32)[ends]
+            texts = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at), data.buffers()[2])
+            try:
+                texts.validate(full=True)
+                return texts
+            except pa.ArrowInvalid:
+                pass  # bytes that are no characters: one by one
+        return pa.array([self.decode(ids[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
+
     def _join(self, ids: list[int]) -> str:
         return b"".join(map(self.out.__getitem__, ids)).decode(errors="sillage.each_byte")
 
@@ -256,14 +329,13 @@ def round_trip(df: DataFrame, path: str, text: str = "text", end: bool = True) -
                 batch = whole.slice(at, ROWS)
                 texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
                 ids, ends = own.encode(texts)
-                flat, at_ = ids.tolist(), ends.tolist()
-                lists = [flat[a:b] for a, b in zip(at_, at_[1:])]
-                decoded = [own.decode(x) for x in lists]
-                theirs = own.library.encode(texts, add_eos=end, num_threads=1)
-                agrees = [a == b and d == own.library.decode(b) for a, b, d in zip(lists, theirs, decoded)]
+                decoded = own.decode_all(ids, ends)
+                theirs = own.library.encode(texts, add_eos=end, num_threads=1, out_type="numpy")
+                back = pa.array([own.library.decode(x) for x in theirs], pa.string())
+                equal = pa.array([np.array_equal(ids[a:b], x) for a, b, x in zip(ends, ends[1:], theirs)], pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(batch.schema.get_field_index(c)) for c in given),
                      pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
-                     pa.array(decoded, pa.string()), pa.array(agrees)], [*given, "ids", "decoded", "agrees"])
+                     decoded, pc.and_(equal, pc.equal(decoded, back))], [*given, "ids", "decoded", "agrees"])
 
     return df.mapInArrow(run, schema)

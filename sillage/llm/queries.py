@@ -104,7 +104,7 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = piece_codec.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
 

@@ -1,6 +1,7 @@
 """SentencePiece codec against the library."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
@@ -57,6 +58,52 @@ def test_small_table_and_many_texts(codec, monkeypatch):
     assert codec.encode([])[0].tolist() == []
 
 
+def test_chunks_that_share_a_digest():
+    """With all powers 1, chunks of the same characters in another order have one digest."""
+    with open(PATH, "rb") as f:
+        codec = piece_codec.Codec(f.read())
+    codec.powers = codec.inverse = np.ones_like(codec.powers)
+    texts = ["tea eat ate", "eat, tea", "ate eta", " ".join(map("".join, itertools.permutations("stone")))]
+    for _ in range(2):
+        ids, ends = codec.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == codec.library.encode(texts, add_eos=True)
+
+
+def test_digests_beyond_a_period(codec, monkeypatch):
+    monkeypatch.setattr(piece_codec, "PERIOD", 7)
+    for name in ("powers", "inverse"):
+        monkeypatch.setattr(codec, name, getattr(codec, name)[:7])
+    texts = ["some words and some words and some words", "words and more"] * 3
+    ids, ends = codec.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == codec.library.encode(texts, add_eos=True)
+
+
+def test_rows_in_use_outlast_others(monkeypatch):
+    """The table stays bounded; a chunk of every batch is encoded once."""
+    with open(PATH, "rb") as f:
+        own = piece_codec.Codec(f.read())
+    monkeypatch.setattr(piece_codec, "KEPT", 20)
+    done, agendas = [], own.agendas
+    monkeypatch.setattr(own, "agendas", lambda chunks: done.extend(chunks) or agendas(chunks))
+    for k in range(60):
+        text = f"always here {k} {k + 1000} x{k}y"
+        assert own.encode([text])[0].tolist() == own.library.encode(text, add_eos=True)
+        assert len(own.rows) <= 60 and len(own.rows) == len(own.used) == len(own.kept_ends) - 1 == len(own.char_ends) - 1
+    assert sum("always" in c for c in done) == 1
+
+
+def test_decode_of_whole_batches(codec):
+    ids, ends = codec.encode(EDGE)
+    assert codec.decode_all(ids, ends).to_pylist() == codec.library.decode(codec.library.encode(EDGE))
+    ids, ends = codec.encode(["", ""])
+    assert codec.decode_all(ids, ends).to_pylist() == ["", ""]
+    none = np.zeros(0, np.int32)
+    assert codec.decode_all(none, np.zeros(3, np.int64)).to_pylist() == ["", ""] and codec.decode_all(none, np.zeros(1, np.int64)).to_pylist() == []
+    cut = np.array([codec.bytes[0xE4], codec.bytes[0xB8], *codec.library.encode("ab c")], np.int32)  # two of a character's three bytes
+    ends = np.array([0, 2, len(cut)])
+    assert codec.decode_all(cut, ends).to_pylist() == [codec.library.decode(cut[a:b].tolist()) for a, b in zip(ends, ends[1:])]
+
+
 def test_round_trip_of_a_table(spark):
     rows = [(i, t, "x", "y") for i, t in enumerate([None, *EDGE, "twice", "twice"])]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string, n string")
