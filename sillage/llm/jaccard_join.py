@@ -99,11 +99,11 @@ def _ranges(c: int, num: int, den: int) -> tuple[int, np.ndarray, np.ndarray]:
 
 
 def route_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys of a sorted set: two linked sets that are not equal share at least one.
+    """Keys of a sorted set: two linked sets share at least one.
 
-    Where linked sets may not differ at all there is nothing to find.  Where they may in one
-    hash, one set is the other less a hash: keys are the set's digest and its digests
-    less each hash.  Else the ranges give keys.  A range of fewer than two hashes, often
+    Where linked sets may not differ at all, the set's digest is its only key.  Where they
+    may in one hash, one set is the other less a hash: keys are the set's digest and its
+    digests less each hash.  Else the ranges give keys.  A range of fewer than two hashes, often
     none or a common shingle's, says little and would be a hot key, so such weak ranges are
     keys only as far as all ranges that agree could be weak: those with a hash come first,
     and where there are few ranges they are keys ``WEAK`` at a time.  Where there are many, so
@@ -114,7 +114,7 @@ def route_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
     scrambled = mix64(tokens)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(scrambled)))
     out = []
-    if 1 in (_differ(own, num, den), _differ(own + 1, num, den)):
+    if _differ(own, num, den) == 1 or _differ(own + 1, num, den) < 2:
         out.append(sums[-1:])
         if _differ(own, num, den) == 1:
             out.append(sums[-1] - scrambled)

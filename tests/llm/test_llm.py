@@ -170,6 +170,15 @@ def test_route_keys_meet_for_all_linked_pairs():
                     assert np.intersect1d(jaccard_join.route_keys(a, num, den), jaccard_join.route_keys(b, num, den)).size
 
 
+@pytest.mark.parametrize("n, num", [(1, 90), (5, 90), (8, 90), (1, 80), (3, 80)])
+def test_sets_that_may_not_differ_have_one_key(n, num):
+    rnd = np.random.default_rng(n)
+    sets = [common.distinct(rnd.integers(0, 1 << 64, n, np.uint64)) for _ in range(50)]
+    keys = [jaccard_join.route_keys(s, num, 100).tolist() for s in sets]
+    assert all(len(k) == 1 for k in keys) and len({k[0] for k in keys}) == 50
+    assert keys == [jaccard_join.route_keys(s.copy(), num, 100).tolist() for s in sets]
+
+
 def test_components_by_star_rounds_and_locally(spark):
     rnd = random.Random(5)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(300, 340)] + [(None, 1), (7, 7)]
