@@ -17,6 +17,21 @@ def spark():
     yield s
 
 
+@pytest.fixture(autouse=True)
+def own_settings():
+    """A command run without a master sets the running session up for a cluster (8,000
+    shuffle partitions); the tests after it get the former settings back."""
+    from pyspark.sql import SparkSession
+
+    names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]
+    session = SparkSession.getActiveSession()
+    before = {n: session.conf.get(n, None) for n in names} if session else {}
+    yield
+    for n, v in before.items():
+        session.conf.unset(n) if v is None else session.conf.set(n, v)
+
+
 @pytest.fixture(scope="session")
 def duck():
     from tests.oracle_compare import duck as make
